@@ -74,7 +74,7 @@ def store_hits(transactions: DataFrame, store: DataFrame) -> DataFrame:
     """Transactions that the store answers, with the stored result."""
     keyed = with_key(transactions)
     return hot_key_join(
-        keyed.select("transaction_id", "cache_key"), usable(store), "cache_key",
+        keyed.select("transaction_id", "cache_key"), usable(store), ["cache_key"],
         counts=first_rows(transactions), rows="n_rows", spread=["transaction_id"], how="inner",
     )
 
@@ -117,7 +117,7 @@ def merge_results(transactions: DataFrame, new: DataFrame, store: DataFrame) ->
     )
     by_id = with_key(transactions).select("transaction_id", "cache_key").join(fresh, "transaction_id", "left")
     by_key = hot_key_join(
-        by_id, stored, "cache_key", counts=first_rows(transactions), rows="n_rows", spread=["transaction_id"]
+        by_id, stored, ["cache_key"], counts=first_rows(transactions), rows="n_rows", spread=["transaction_id"]
     )
     fields = [*BODY, "api_error", "from_cache"]
     return by_key.select(

@@ -40,20 +40,20 @@ def dimension_join(
     return joined if condition is None else joined.filter(condition)
 
 
-def hot_keys(counts: DataFrame, key: str, rows: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """``(key, _salts)`` for the heaviest keys of a table of key counts."""
+def hot_keys(counts: DataFrame, on: Sequence[str], rows: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """The heaviest keys of a table of key counts, each with its number of salts."""
     return (
         counts.filter(F.col(rows) > rows_per_salt)
         .orderBy(F.desc(rows))
         .limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col(rows) / F.lit(rows_per_salt)).cast("int").alias("_salts"))
+        .select(*on, F.ceil(F.col(rows) / F.lit(rows_per_salt)).cast("int").alias("_salts"))
     )
 
 
 def hot_key_join(
     left: DataFrame,
     right: DataFrame,
-    key: str,
+    on: Sequence[str],
     *,
     counts: DataFrame,
     rows: str,
@@ -68,14 +68,15 @@ def hot_key_join(
     keys are repeated; all other keys join as they are. Rows beyond the list of
     hot keys are not lost: they take the ordinary way.
     """
-    hot = F.broadcast(hot_keys(counts, key, rows, rows_per_salt))
-    salted = left.join(hot, key, "left").withColumn(
+    on = list(on)
+    hot = F.broadcast(hot_keys(counts, on, rows, rows_per_salt))
+    salted = left.join(hot, on, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*spread), F.coalesce("_salts", F.lit(1))).cast("int")
     )
-    copies = right.join(hot, key, "left").withColumn(
+    copies = right.join(hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
-    return salted.drop("_salts").join(copies.drop("_salts"), [key, "_salt"], how).drop("_salt")
+    return salted.drop("_salts").join(copies.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
 def global_position(df: DataFrame, order: str, buckets: int = 256) -> DataFrame:

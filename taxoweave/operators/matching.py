@@ -10,7 +10,7 @@ its first characters do.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,26 +18,33 @@ from pyspark.sql import functions as F
 from taxoweave.functions.text import grams
 from taxoweave.operators.joins import dimension_join
 
-GRAM = 4
+LONG_GRAM = 4
+ANY_NEEDLE = (1, 3)
 
 
-def anchor(needle: Column) -> Column:
-    """The leading characters a needle is filed under."""
-    return F.substring(needle, 1, GRAM)
+def gram_sizes(shortest: int | None) -> tuple[int, ...]:
+    """Substring lengths to cut a text into, given the shortest needle.
+
+    One length is enough unless there are needles of one or two characters.
+    """
+    shortest = min(shortest or LONG_GRAM, LONG_GRAM)
+    return (shortest,) if shortest >= 3 else (shortest, 3)
 
 
-def text_grams(text: Column, sizes: Iterable[int]) -> Column:
-    """Distinct substrings of the text for all given sizes."""
-    return F.array_distinct(F.concat(*[grams(text, size) for size in sorted(sizes)]))
+def anchor(needle: Column, sizes: Sequence[int]) -> Column:
+    """The leading characters a needle is filed under: the longest size that fits."""
+    small, large = min(sizes), max(sizes)
+    return F.when(F.length(needle) >= large, F.substring(needle, 1, large)).otherwise(F.substring(needle, 1, small))
 
 
-def all_sizes() -> range:
-    """Sizes that serve needles of any length."""
-    return range(1, GRAM + 1)
+def text_grams(text: Column, sizes: Sequence[int]) -> Column:
+    """All substrings of the given sizes, repeats kept."""
+    cut = [grams(text, size) for size in sizes]
+    return cut[0] if len(cut) == 1 else F.concat(*cut)
 
 
 def substring_hits(
-    texts: DataFrame, text: str, needles: DataFrame, *, bounded: bool, sizes: Iterable[int] | None = None
+    texts: DataFrame, text: str, needles: DataFrame, *, bounded: bool, sizes: Sequence[int] = ANY_NEEDLE
 ) -> DataFrame:
     """Pairs of text row and needle row where the text contains the needle.
 
@@ -45,7 +52,9 @@ def substring_hits(
     of both sides but the text are kept. Matching is case-sensitive.
     """
     kept = [c for c in texts.columns if c != text]
-    filed = needles.filter(F.length("needle") > 0).withColumn("_gram", anchor(F.col("needle")))
-    cut = texts.select(*kept, F.col(text).alias("_text"), F.explode(text_grams(F.col(text), sizes or all_sizes())).alias("_gram"))
+    filed = needles.filter(F.length("needle") > 0).withColumn("_gram", anchor(F.col("needle"), sizes))
+    # A gram that repeats must meet its needles once.
+    pieces = F.array_distinct(text_grams(F.col(text), sizes))
+    cut = texts.select(*kept, F.col(text).alias("_text"), F.explode(pieces).alias("_gram"))
     met = dimension_join(cut, filed, ["_gram"], bounded=bounded, condition=F.contains("_text", "needle"))
     return met.drop("_gram", "_text")

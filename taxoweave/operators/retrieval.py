@@ -22,7 +22,7 @@ from taxoweave import fixed_values as fv
 from taxoweave.functions.text import token_set, with_note
 from taxoweave.operators.cleaning import cross_section
 from taxoweave.operators.joins import dimension_join, hot_key_join
-from taxoweave.operators.matching import GRAM, anchor, text_grams
+from taxoweave.operators.matching import LONG_GRAM, anchor, gram_sizes, text_grams
 from taxoweave.schemas import TAXONOMY as SCHEMA
 from taxoweave.session import settle
 
@@ -36,6 +36,7 @@ _L4_SLOT, _L3_SLOT = _SLOTS - 1, _SLOTS - 2
 # is what fills a ranking up when too few leaves score.
 _FILLER = -1
 _FILLER_TOKEN = ""
+_SIG = ["sig_a", "sig_b"]
 
 
 @dataclass(frozen=True)
@@ -90,21 +91,14 @@ class TaxonomyIndex:
 
     @cached_property
     def _measure(self):
-        """Leaves, characters and short-name lengths: one row, one small job."""
-        size = F.least(F.length("name"), F.lit(GRAM))
-        names = self._names.filter(F.length("name") > 0)
-        return (
-            names.agg(F.collect_set(size).alias("sizes"))
-            .select("sizes", self._totals("leaves").alias("leaves"), self._totals("chars").alias("chars"))
-            .first()
-        )
-
-    def _totals(self, which: str) -> Column:
+        """Leaves, characters and the shortest level name: one row, one small job."""
         chars = sum((F.length(c) for c in ("L1", "L2", "L3", "L4", "boundary_note")), F.lit(0))
-        totals = self.taxonomy.agg(
-            F.count(F.lit(1)).alias("leaves"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")
-        )
-        return totals.select(which).scalar()
+        shortest = F.least(*[F.when(F.length(c) > 0, F.length(c)) for c in ("L3", "L4")])
+        return self.taxonomy.agg(
+            F.count(F.lit(1)).alias("leaves"),
+            F.coalesce(F.sum(chars), F.lit(0)).alias("chars"),
+            F.min(shortest).alias("shortest"),
+        ).first()
 
     @cached_property
     def bounded(self) -> bool:
@@ -112,9 +106,9 @@ class TaxonomyIndex:
         return self._measure.leaves <= BROADCAST_LEAVES and self._measure.chars <= BROADCAST_CHARS
 
     @cached_property
-    def _gram_sizes(self) -> set[int]:
-        phrases = {min(len(key), GRAM) for key in self.lexicon.synonyms if " " in key}
-        return set(self._measure.sizes) | phrases or {GRAM}
+    def _gram_sizes(self) -> tuple[int, ...]:
+        lengths = [len(key) for key in self.lexicon.synonyms if " " in key]
+        return gram_sizes(min([*lengths, self._measure.shortest or LONG_GRAM]))
 
     # -- index tables ----------------------------------------------------
 
@@ -186,7 +180,7 @@ class TaxonomyIndex:
         scored = self.signals.groupBy("feature", "ordinal").agg(F.sum("points").alias("points"))
         first = self.taxonomy.orderBy("ordinal").limit(fv.MODERATE_MAX)
         filler = first.select(F.lit(_FILLER).cast("long").alias("feature"), "ordinal", F.lit(0).cast("long").alias("points"))
-        return settle(scored.unionByName(filler), "postings")
+        return scored.unionByName(filler)
 
     @cached_property
     def _triggers(self) -> DataFrame:
@@ -196,26 +190,26 @@ class TaxonomyIndex:
         the level names and phrases that start with it.
         """
         spark = self.taxonomy.sparkSession
-        tokens, names = self._token_features, self._name_features
-        none = F.lit(None).cast("string")
-        itself = tokens.select(F.lit("t").alias("kind"), F.col("term").alias("probe"), none.alias("needle"), "feature")
-        added = F.broadcast(self.lexicon.table(spark)).join(tokens, F.col("token") == F.col("term"))
-        words = added.filter(~F.col("is_phrase")).select(
-            F.lit("t").alias("kind"), F.col("key").alias("probe"), none.alias("needle"), "feature"
-        )
-        phrases = added.filter("is_phrase").select(
-            F.lit("g").alias("kind"), anchor(F.col("key")).alias("probe"), F.col("key").alias("needle"), "feature"
-        )
-        levels = names.select(
-            F.lit("g").alias("kind"), anchor(F.col("name")).alias("probe"), F.col("name").alias("needle"), "feature"
-        )
-        filler = spark.range(1).select(
-            F.lit("t").alias("kind"), F.lit(_FILLER_TOKEN).alias("probe"), none.alias("needle"),
-            F.lit(_FILLER).cast("long").alias("feature"),
-        )
-        return settle(
-            itself.unionByName(words).unionByName(phrases).unionByName(levels).unionByName(filler), "triggers"
-        )
+        known = self.signals.select("feature", "term", F.endswith("signal", F.lit("_NAME")).alias("is_name")).distinct()
+        tokens, names = known.filter(~F.col("is_name")), known.filter("is_name")
+        added = tokens.join(F.broadcast(self.lexicon.table(spark)), F.col("token") == F.col("term"))
+
+        def by_token(df: DataFrame, token: Column) -> DataFrame:
+            return df.select(F.lit("t").alias("kind"), token.alias("probe"), F.lit(None).cast("string").alias("needle"), "feature")
+
+        def by_gram(df: DataFrame, needle: Column) -> DataFrame:
+            return df.select(F.lit("g").alias("kind"), anchor(needle, self._gram_sizes).alias("probe"), needle.alias("needle"), "feature")
+
+        filler = spark.range(1).withColumn("feature", F.lit(_FILLER).cast("long"))
+        triggers = by_token(tokens, F.col("term"))
+        for more in (
+            by_token(added.filter(~F.col("is_phrase")), F.col("key")),
+            by_gram(added.filter("is_phrase"), F.col("key")),
+            by_gram(names, F.col("term")),
+            by_token(filler, F.lit(_FILLER_TOKEN)),
+        ):
+            triggers = triggers.unionByName(more)
+        return settle(triggers, "triggers")
 
     # -- queries ---------------------------------------------------------
 
@@ -240,41 +234,49 @@ class TaxonomyIndex:
             condition=F.col("needle").isNull() | F.contains("_text", "needle"),
         )
         folded = met.groupBy("query_id").agg(F.sort_array(F.collect_set("feature")).alias("signature"))
+        # 128 bits of hash stand for the array in every later key: longs sort, join and
+        # aggregate far faster, and a chance collision is out of reach of any table size.
+        hashes = {"sig_a": F.xxhash64("signature"), "sig_b": F.xxhash64(F.lit("b"), "signature")}
         # Ranking and the join back both read this, so the texts are cut only once.
-        return settle(folded, "signatures")
+        return settle(folded.select("query_id", *[h.alias(k) for k, h in hashes.items()], "signature"), "signatures")
+
+    def _distinct(self, signatures: DataFrame) -> DataFrame:
+        """One row per signature and feature, spread over a fixed number of tasks.
+
+        The table of distinct signatures is small, but each one meets many
+        leaves; left to its size it would be squeezed into few tasks.
+        """
+        partitions = int(signatures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        distinct = signatures.select(*_SIG, "signature").distinct().repartition(partitions, *_SIG)
+        return distinct.select(*_SIG, F.explode("signature").alias("feature"))
 
     def rank_signatures(self, signatures: DataFrame, top_n: int = fv.DEFAULT_TOP_N) -> DataFrame:
-        """``(signature, n_queries, branch, max_score, candidates)`` per distinct signature.
+        """``(sig_a, sig_b, branch, max_score, candidates)`` per distinct signature.
 
         ``candidates`` is an ordered array of ``(rank, ordinal, score, full_path,
         boundary_note)``. Ties fall to the lower ordinal.
         """
-        distinct = signatures.groupBy("signature").agg(F.count(F.lit(1)).alias("n_queries"))
-        exploded = distinct.select("signature", "n_queries", F.explode("signature").alias("feature"))
         scored = (
-            dimension_join(exploded, self.postings, ["feature"], bounded=self.bounded)
-            .groupBy("signature", "n_queries", "ordinal")
+            dimension_join(self._distinct(signatures), self.postings, ["feature"], bounded=self.bounded)
+            .groupBy(*_SIG, "ordinal")
             .agg(F.sum("points").alias("score"))
         )
-        order = Window.partitionBy("signature").orderBy(F.desc("score"), "ordinal")
+        order = Window.partitionBy(*_SIG).orderBy(F.desc("score"), "ordinal")
         best = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= fv.MODERATE_MAX)
         named = dimension_join(best, self._leaf_labels, ["ordinal"], bounded=self.bounded)
         entry = F.struct("rank", "ordinal", "score", "full_path", "boundary_note")
         # At most MODERATE_MAX rows per signature are left to gather.
-        ranked = named.groupBy("signature", "n_queries").agg(F.sort_array(F.collect_list(entry)).alias("ranked"))
+        ranked = named.groupBy(*_SIG).agg(F.sort_array(F.collect_list(entry)).alias("ranked"))
         top = F.get(F.col("ranked"), F.lit(0))["score"]
         branch = F.when(top >= fv.STRONG_SCORE, "strong").when(top >= fv.MODERATE_SCORE, "moderate").otherwise("weak")
         size = F.when(F.col("branch") == "strong", min(top_n, fv.STRONG_MAX)).otherwise(
             min(max(top_n, fv.MODERATE_MIN), fv.MODERATE_MAX)
         )
-        return (
-            ranked.select("signature", "n_queries", branch.alias("branch"), top.alias("max_score"), "ranked")
-            .select(
-                "signature", "n_queries", "branch", "max_score",
-                F.when(F.col("branch") == "weak", self._cross_section.scalar())
-                .otherwise(F.slice("ranked", F.lit(1), size))
-                .alias("candidates"),
-            )
+        return ranked.select(*_SIG, branch.alias("branch"), top.alias("max_score"), "ranked").select(
+            *_SIG, "branch", "max_score",
+            F.when(F.col("branch") == "weak", self._cross_section.scalar())
+            .otherwise(F.slice("ranked", F.lit(1), size))
+            .alias("candidates"),
         )
 
     @cached_property
@@ -298,15 +300,15 @@ class TaxonomyIndex:
         """Rank per signature, reshape per signature, then join back per query."""
         signatures = self.signatures(queries)
         ranked = self.rank_signatures(signatures, top_n)
-        shaped = ranked.select("signature", *[c.alias(name) for name, c in columns.items()])
-        return self._back_to_queries(signatures, shaped)
+        return self._back_to_queries(signatures, ranked.select(*_SIG, *[c.alias(name) for name, c in columns.items()]))
 
     @staticmethod
     def _back_to_queries(signatures: DataFrame, answers: DataFrame) -> DataFrame:
-        counts = signatures.groupBy("signature").agg(F.count(F.lit(1)).alias("n_queries"))
+        keys = signatures.select("query_id", *_SIG)
+        counts = keys.groupBy(*_SIG).agg(F.count(F.lit(1)).alias("n_queries"))
         return hot_key_join(
-            signatures, answers, "signature", counts=counts, rows="n_queries", spread=["query_id"], how="inner"
-        )
+            keys, answers, _SIG, counts=counts, rows="n_queries", spread=["query_id"], how="inner"
+        ).drop(*_SIG)
 
     def candidates(self, queries: DataFrame, top_n: int = fv.DEFAULT_TOP_N) -> DataFrame:
         """``(query_id, branch, rank, ordinal, score, full_path, boundary_note)``.
@@ -324,16 +326,16 @@ class TaxonomyIndex:
             "max_score": F.col("max_score"),
             "paths": F.transform(listed, lambda c: with_note(c["full_path"], c["boundary_note"])),
             "raw_paths": F.transform(listed, lambda c: c["full_path"]),
-        }).drop("signature")
+        })
 
     def explain(self, queries: DataFrame, top_n: int = fv.DEFAULT_TOP_N) -> DataFrame:
         """One row per candidate and matched signal: what earned which points."""
         signatures = self.signatures(queries)
         ranked = self.rank_signatures(signatures, top_n)
-        listed = ranked.select("signature", F.inline("candidates")).select("signature", "rank", "ordinal", "full_path")
-        features = listed.withColumn("feature", F.explode("signature"))
+        listed = ranked.select(*_SIG, F.inline("candidates")).select(*_SIG, "rank", "ordinal", "full_path")
+        features = self._distinct(signatures).join(listed, _SIG)
         why = dimension_join(features, self.signals, ["feature", "ordinal"], bounded=self.bounded)
-        reasons = why.groupBy("signature").agg(
+        reasons = why.groupBy(*_SIG).agg(
             # Bounded: candidates of one signature times the tokens of a leaf.
             F.collect_list(F.struct("rank", "ordinal", "full_path", "signal", "term", "points")).alias("reasons")
         )
@@ -344,7 +346,7 @@ class TaxonomyIndex:
         first = F.get(F.col("candidates"), F.lit(0))
         return self._joined(queries, top_n, {
             "branch": F.col("branch"), "full_path": first["full_path"], "score": first["score"],
-        }).drop("signature")
+        })
 
 
 def transaction_queries(transactions: DataFrame) -> DataFrame:

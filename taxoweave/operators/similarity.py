@@ -184,10 +184,9 @@ def text_classifier(kind: str = "logistic", max_features: int = fv.TFIDF_MAX_FEA
     """An estimator over ``(text, label)``: multinomial logistic regression, or a one-vs-rest linear SVM."""
     index = StringIndexer(inputCol="label", outputCol="target", stringOrderType="alphabetAsc")
     if kind == "logistic":
-        # An inverse regularisation strength of 5.
-        model = LogisticRegression(labelCol="target", family="multinomial", maxIter=1000, regParam=0.2 / 100)
+        model = LogisticRegression(labelCol="target", family="multinomial", maxIter=1000, regParam=0.002)
     elif kind == "svm":
-        model = OneVsRest(classifier=LinearSVC(maxIter=100, regParam=0.01), labelCol="target", parallelism=4)
+        model = OneVsRest(classifier=LinearSVC(maxIter=50, tol=1e-4, regParam=0.01), labelCol="target", parallelism=8)
     else:
         raise ValueError(f"unknown kind of classifier: {kind}")
     return Pipeline(stages=[index, *_features(max_features), model])

@@ -89,7 +89,7 @@ def pair_reuse(spark, d):
         F.min("transaction_id").alias("answered_by"), F.count(F.lit(1)).alias("n_rows")
     ).withColumn("pair", F.struct(*pair))
     return incremental.hot_key_join(
-        rows.select("transaction_id", F.struct(*pair).alias("pair")), first.select("pair", "answered_by"), "pair",
+        rows.select("transaction_id", F.struct(*pair).alias("pair")), first.select("pair", "answered_by"), ["pair"],
         counts=first, rows="n_rows", spread=["transaction_id"], how="inner",
     ).select("transaction_id", "answered_by")
 

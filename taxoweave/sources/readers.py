@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 from taxoweave import schemas
 from taxoweave.operators.cleaning import clean_taxonomy, clean_transactions, rename_sheet
 
-# Quoted fields may hold commas, quotes and line breaks; only an empty field is null.
-CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": False, "mode": "FAILFAST",
-       "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+# Quoted fields may hold commas and quotes. Only an unquoted empty field is null: words such
+# as NA stay text, and the null mark is a character that no export holds.
+CSV = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "nullValue": "\u0001", "emptyValue": "",
+       "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None = None) -> DataFrame:
