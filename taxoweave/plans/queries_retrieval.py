@@ -64,9 +64,10 @@ def explain_candidates(spark, d):
 
 
 @query(duck_sql("""
-SELECT q.transaction_id, string_agg(c.line, chr(10) ORDER BY c.rank) AS paths,
-       string_agg(c.full_path, chr(10) ORDER BY c.rank) AS raw_paths
-FROM q JOIN cand c ON c.text = q.text GROUP BY q.transaction_id""", retrieval()))
+SELECT q.transaction_id, c.paths, c.raw_paths FROM q JOIN (
+  SELECT text, string_agg(line, chr(10) ORDER BY rank) AS paths,
+         string_agg(full_path, chr(10) ORDER BY rank) AS raw_paths FROM cand GROUP BY text) c ON c.text = q.text""",
+                retrieval()))
 def candidate_contexts(spark, d):
     return named(index(spark, d).contexts(texts(spark, d))).select(
         "transaction_id", F.array_join("paths", "\n").alias("paths"), F.array_join("raw_paths", "\n").alias("raw_paths")
@@ -74,8 +75,9 @@ def candidate_contexts(spark, d):
 
 
 @query(duck_sql("""
-SELECT q.transaction_id, string_agg(DISTINCT qt.token, ' ' ORDER BY qt.token) AS tokens
-FROM q JOIN qt ON qt.text = q.text GROUP BY q.transaction_id""", retrieval()))
+SELECT q.transaction_id, t.tokens FROM q JOIN (
+  SELECT text, string_agg(token, ' ' ORDER BY token) AS tokens FROM qt GROUP BY text) t ON t.text = q.text""",
+                retrieval()))
 def expanded_tokens(spark, d):
     return named(expand_tokens(texts(spark, d), LEXICON)).select(
         "transaction_id", F.array_join("tokens", " ").alias("tokens")
