@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from taxoweave import fixed_values as fv
 from taxoweave.operators.joins import dimension_join
 from taxoweave.operators.retrieval import TaxonomyIndex
+from taxoweave.session import ship_package
 
 Complete = Callable[[str], str]
 Classify = Callable[[pd.DataFrame], pd.DataFrame]
@@ -34,6 +35,7 @@ def complete_prompts(prompts: DataFrame, factory: Callable[[], Complete], *, in_
     partitions. Write the result down before using it twice, so that no prompt
     is sent again; ``plans.classify`` does.
     """
+    ship_package(prompts.sparkSession)
     rows = prompts.select("batch_no", "prompt")
     if in_flight:
         rows = rows.repartition(in_flight, "batch_no")
@@ -65,6 +67,7 @@ def classify_batches(rows: DataFrame, factory: Callable[[], Classify]) -> DataFr
     ``raw_paths``) and returns the answer columns. A batch whose function
     raises becomes error rows.
     """
+    ship_package(rows.sparkSession)
     state: dict[str, Classify] = {}
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:

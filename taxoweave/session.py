@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -49,6 +51,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Needed where the driver found it through its own path only; Spark copies
+    the archive to every executor.
+    """
+    _ship(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _ship(application: str) -> None:
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="taxoweave-"), "taxoweave")
+    archive = shutil.make_archive(target, "zip", os.path.dirname(root), os.path.basename(root))
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
