@@ -19,7 +19,7 @@ TABLES = (
 
 VIEWS = {
     "fx_taxonomy": """
-SELECT row_number() OVER (ORDER BY L1, L2, L3) AS ordinal, L1, L2, L3, L4,
+SELECT CAST(row_number() OVER (ORDER BY L1, L2, L3) AS BIGINT) AS ordinal, L1, L2, L3, L4,
        concat(L1, ' > ', L2, ' > ', L3, ' > ', L4) AS full_path,
        CASE WHEN L3 = 'gizmo' AND L1 = 'PROMO' THEN 'urgent promo items classify here'
             WHEN L2 = 'hot' THEN 'Handle with care' ELSE '' END AS boundary_note
