@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from public_tokenizers import path as vocabulary_path
+
+from . import bpe, exact_dedup
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +33,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts."""
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text they decode to."""
+    return bpe.encode(read_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"),
+                      columns=("n_tokens", "ids_sha256", "decoded_sha256"))
