@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as vocabulary_path
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, mixing
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the text they decode to."""
     return bpe.encode(read_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"),
                       columns=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query()
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all sources takes of each document."""
+    return mixing.mixed_sizes(read_table(spark, sf_dir, "documents"))
