@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as vocabulary_path
 
-from . import bpe, exact_dedup, mixing
+from . import bpe, exact_dedup, mixing, near_dedup
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all sources takes of each document."""
     return mixing.mixed_sizes(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingles agree to 85 percent."""
+    return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), words_per_shingle=3, percent=85)
