@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as vocabulary_path
 
-from . import bpe, exact_dedup, mixing, near_dedup
+from . import bpe, exact_dedup, mixing, near_dedup, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word shingles agree to 85 percent."""
     return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), words_per_shingle=3, percent=85)
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document, by a model fitted on labelled ones."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, toxicity.graded(read_table(spark, sf_dir, "labels")))
+    return toxicity.severity(docs, model)
