@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as vocabulary_path
 
-from . import bpe, exact_dedup, mixing, near_dedup, toxicity
+from . import bpe, exact_dedup, html_text, mixing, near_dedup, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.train(docs, toxicity.graded(read_table(spark, sf_dir, "labels")))
     return toxicity.severity(docs, model)
+
+
+@query()
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
