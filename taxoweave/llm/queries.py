@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as vocabulary_path
 
-from . import bpe, exact_dedup, html_text, mixing, near_dedup, toxicity
+from . import bpe, exact_dedup, html_text, mixing, near_dedup, topk, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+@query(topk.TOPK_SQL)
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors for every hundredth one."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
