@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as vocabulary_path
 
-from . import bpe, exact_dedup, html_text, mixing, near_dedup, topk, toxicity
+from . import bpe, exact_dedup, html_text, mixing, near_dedup, personal, secrets, topk, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,15 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best vectors for every hundredth one."""
     vectors = read_table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query()
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.secret_digest(secrets.scan(read_table(spark, sf_dir, "documents")))
+
+
+@query()
+def op8_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return personal.personal_digest(personal.scan(read_table(spark, sf_dir, "documents")))
