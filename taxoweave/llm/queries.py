@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as vocabulary_path
 
-from . import bpe, exact_dedup, html_text, mixing, near_dedup, personal, secrets, topk, toxicity
+from . import bpe, exact_dedup, html_text, mixing, near_dedup, personal, secrets, topk, toxicity, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return personal.personal_digest(personal.scan(read_table(spark, sf_dir, "documents")))
+
+
+@query(warc.WARC_SQL)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits of a crawl derived from all pages, resolved."""
+    resolved = warc.resolve_revisits(warc.crawl_of(read_table(spark, sf_dir, "pages")))
+    return resolved.withColumn("headers", warc.header_lines(resolved["headers"]))
