@@ -55,8 +55,9 @@ def join_text(*parts: Column) -> Column:
 
 
 def cache_key(description: Column, vendor: Column, version: str = fv.KEY_VERSION) -> Column:
-    """Versioned identity of a transaction in the result store."""
-    return F.concat_ws(fv.KEY_SEPARATOR, F.lit(version), strip(description), strip(vendor))
+    """Versioned identity of a transaction in the result store; a null part reads as the null text."""
+    parts = [F.coalesce(strip(c), F.lit(fv.NULL_TEXT)) for c in (description, vendor)]
+    return F.concat_ws(fv.KEY_SEPARATOR, F.lit(version), *parts)
 
 
 def path_of(l1: Column, l2: Column, l3: Column, l4: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxoweave import fixed_values as fv
+from taxoweave.functions.text import path_of
 from taxoweave.operators.joins import dimension_join
 from taxoweave.operators.retrieval import TaxonomyIndex
 from taxoweave.session import ship_package
@@ -86,10 +87,8 @@ def classify_batches(rows: DataFrame, factory: Callable[[], Classify]) -> DataFr
     answers = rows.groupBy("batch_no").applyInPandas(run, f"{ANSWER_COLUMNS}, api_error string")
     tops = rows.select("transaction_id", F.get("raw_paths", F.lit(0)).alias("top_path"))
     levels = [F.col(c) for c in ("l1", "l2", "l3", "l4")]
-    chosen = F.when(
-        (F.coalesce(levels[0], F.lit("")) != "") & (F.coalesce(levels[3], F.lit("")) != ""),
-        F.concat_ws(fv.PATH_SEPARATOR, *levels),
-    ).when(F.col("api_error").isNull(), F.col("top_path"))
+    full = (F.coalesce(levels[0], F.lit("")) != "") & (F.coalesce(levels[3], F.lit("")) != "")
+    chosen = F.when(full, path_of(*levels)).when(F.col("api_error").isNull(), F.col("top_path"))
     return answers.join(tops, "transaction_id", "left").withColumn("retrieved_taxonomy", chosen).drop("top_path")
 
 

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 # A hot key gets one salt per this many rows of the large side.
 ROWS_PER_SALT = 500_000
-# Heaviest keys that are salted; the list is broadcast, so it is bounded.
-MAX_HOT_KEYS = 1_000
 
 
 def dimension_join(
@@ -41,11 +39,13 @@ def dimension_join(
 
 
 def hot_keys(counts: DataFrame, on: Sequence[str], rows: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """The heaviest keys of a table of key counts, each with its number of salts."""
+    """The keys of a table of key counts that need salts, with their number.
+
+    There are fewer than the table's rows over ``rows_per_salt``, which bounds
+    the list.
+    """
     return (
         counts.filter(F.col(rows) > rows_per_salt)
-        .orderBy(F.desc(rows))
-        .limit(MAX_HOT_KEYS)
         .select(*on, F.ceil(F.col(rows) / F.lit(rows_per_salt)).cast("int").alias("_salts"))
     )
 

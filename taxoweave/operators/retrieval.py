@@ -30,8 +30,6 @@ from taxoweave.session import settle
 BROADCAST_LEAVES = 100_000
 BROADCAST_CHARS = 50_000_000
 
-_SLOTS = 8192
-_L4_SLOT, _L3_SLOT = _SLOTS - 1, _SLOTS - 2
 # A feature every query has: it lists the first leaves with zero points, which
 # is what fills a ranking up when too few leaves score.
 _FILLER = -1
@@ -39,6 +37,11 @@ _FILLER_TOKEN = ""
 _SIG = ["sig_a", "sig_b"]
 
 
+def _feature(kind: Column, term: Column) -> Column:
+    """The number of a feature: a hash of its kind and term, whatever leaf it comes from."""
+    return F.xxhash64(kind, term).alias("feature")
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Stop words and synonyms; a synonym key with a space is a phrase."""
@@ -114,15 +117,14 @@ class TaxonomyIndex:
 
     @cached_property
     def _leaf_tokens(self) -> DataFrame:
-        """``(ordinal, slot, token)`` with the token's place per signal."""
+        """``(ordinal, term, signals)``: each token of a leaf with what it earns."""
         stop = self.lexicon.stopwords
         note = F.coalesce("boundary_note", F.lit(""))
         sets = {"NOTE": token_set(note, stop)} | {c: token_set(F.col(c), stop) for c in ("L4", "L3", "L2", "L1")}
         tokenised = self.taxonomy.select("ordinal", *[s.alias(f"_{name}") for name, s in sets.items()])
         everything = F.array_distinct(F.concat(*[F.col(f"_{name}") for name in sets]))
-        return tokenised.select("*", F.posexplode(everything).alias("slot", "term")).select(
+        return tokenised.select("*", F.explode(everything).alias("term")).select(
             "ordinal",
-            "slot",
             "term",
             F.filter(
                 F.array(*[
@@ -138,39 +140,25 @@ class TaxonomyIndex:
 
     @cached_property
     def _names(self) -> DataFrame:
-        """``(ordinal, slot, name, signal, points)`` for L4 and L3 names."""
+        """``(ordinal, name, signal, points)`` for L4 and L3 names."""
         return self.taxonomy.select(
             "ordinal",
             F.inline(F.array(*[
                 F.struct(
-                    F.lit(slot).alias("slot"),
                     F.lower(level).alias("name"),
                     F.lit(f"{level}_NAME").alias("signal"),
                     F.lit(fv.POINTS[f"{level}_NAME"]).alias("points"),
                 )
-                for level, slot in (("L4", _L4_SLOT), ("L3", _L3_SLOT))
+                for level in ("L4", "L3")
             ])),
         )
 
-    @cached_property
-    def _token_features(self) -> DataFrame:
-        """A number per token: the place of its first appearance, so unique."""
-        place = F.col("ordinal") * _SLOTS + F.col("slot")
-        return self._leaf_tokens.groupBy("term").agg(F.min(place).alias("feature"))
-
-    @cached_property
-    def _name_features(self) -> DataFrame:
-        place = F.col("ordinal") * _SLOTS + F.col("slot")
-        return self._names.filter(F.length("name") > 0).groupBy("signal", "name").agg(F.min(place).alias("feature"))
-
     @cached_property
     def signals(self) -> DataFrame:
         """``(feature, ordinal, signal, term, points)``: every point there is."""
-        by_token = self._leaf_tokens.join(self._token_features, "term").select(
-            "feature", "ordinal", "term", F.inline("signals")
-        )
-        by_name = self._names.join(self._name_features, ["signal", "name"]).select(
-            "feature", "ordinal", F.col("name").alias("term"), "signal", "points"
+        by_token = self._leaf_tokens.select(_feature(F.lit("TOKEN"), F.col("term")), "ordinal", "term", F.inline("signals"))
+        by_name = self._names.filter(F.length("name") > 0).select(
+            _feature(F.col("signal"), F.col("name")), "ordinal", F.col("name").alias("term"), "signal", "points"
         )
         return settle(by_token.unionByName(by_name), "signals")
 
@@ -220,6 +208,7 @@ class TaxonomyIndex:
         meet the triggers in one join; partial aggregation folds them back per
         query before the only shuffle.
         """
+        queries = queries.select("query_id", F.coalesce("text", F.lit("")).alias("text"))  # a null text still has the filler
         words = F.array_append(token_set(F.col("text"), self.lexicon.stopwords), F.lit(_FILLER_TOKEN))
         pieces = queries.select(
             "query_id",

@@ -228,9 +228,12 @@ def candidate_lines(spark, d):
 
 # How many tokens of every document are benchmark tokens, without a pair of texts.
 @query(f"""
-SELECT doc_id, count(*) AS n_shared FROM (SELECT doc_id, unnest({tok('text')}) AS token FROM documents) a
-WHERE token IN (SELECT unnest({tok('text')}) FROM benchmark) GROUP BY doc_id""")
+SELECT d.doc_id, coalesce(n, 0) AS n_shared FROM documents d LEFT JOIN (
+  SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest({tok('text')}) AS token FROM documents) a
+  WHERE token IN (SELECT unnest({tok('text')}) FROM benchmark) GROUP BY doc_id) s ON s.doc_id = d.doc_id""")
 def token_overlap(spark, d):
-    words = table(spark, d, "documents").select("doc_id", F.explode(tx.token_set(F.col("text"))).alias("token"))
+    docs = table(spark, d, "documents")
+    words = docs.select("doc_id", F.explode(tx.token_set(F.col("text"))).alias("token"))
     known = table(spark, d, "benchmark").select(F.explode(tx.token_set(F.col("text"))).alias("token")).distinct()
-    return words.join(known, "token", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_shared"))
+    shared = words.join(known, "token", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_shared"))
+    return docs.select("doc_id").join(shared, "doc_id", "left").withColumn("n_shared", F.coalesce("n_shared", F.lit(0)))

@@ -68,3 +68,22 @@ def test_substring_join_finds_needles_of_any_length(spark):
     expected = sorted((i, n) for i, t in rows for n in needles if n and n in t)
     assert sorted(map(tuple, hits.collect())) == expected
     assert gram_sizes(None) == (4,) and gram_sizes(3) == (3,) and gram_sizes(1) == ANY_NEEDLE
+
+
+def test_long_notes_repeated_ordinals_and_null_texts(spark):
+    """Features of a leaf are not numbered by place, so neither long notes nor equal ordinals mix them up."""
+    from taxoweave.schemas import TAXONOMY as SCHEMA
+
+    note = " ".join(f"term{i}" for i in range(9_000))
+    leaves = [(1, "A", "B", "C", "Dee", "A > B > C > Dee", note), (2, "E", "F", "G", "Hay", "E > F > G > Hay", "term1"), (3, "I", "J", "K", "Ell", "x", "")]
+    rows = [(1, "term0 term8500 term8999"), (2, "term1 hay"), (3, None)]
+    index = R.TaxonomyIndex(spark.createDataFrame(leaves, SCHEMA), R.Lexicon(synonyms={}))
+    found = {}
+    for row in index.candidates(spark.createDataFrame(rows, "query_id bigint, text string"), 7).collect():
+        found.setdefault(row.query_id, []).append((row.rank, row.ordinal, row.score))
+    for key, text in rows:
+        _, ranked = candidates(text or "", leaves, set(index.lexicon.stopwords), {}, 7)
+        assert [r[1:] for r in sorted(found[key])] == [tuple(r) for r in ranked]
+    twice = R.TaxonomyIndex(spark.createDataFrame([leaves[1], (2, "P", "Q", "R", "Sea", "y", "")], SCHEMA), R.Lexicon(synonyms={}))
+    scores = twice.signals.groupBy("feature").agg(F.count_distinct("term").alias("terms"))
+    assert scores.where("terms > 1").isEmpty()
