@@ -23,14 +23,17 @@ from .common import or_empty, ship_package
 
 #: Labelled documents that the model is fitted on: those of the smallest hashed ids.
 TRAINING_ROWS = 20_000
-#: Features kept for the fit, those that tell grades apart best, and the documents each must occur in.
+#: Features kept for the fit, those that tell grades apart best; the chi-squared statistic each must reach (chance
+#: gives one such in ten million), and the documents each must occur in.
 MAX_FEATURES = 4_096
+LEAST_STATISTIC = 28.4
 LEAST_DOCUMENTS = 4
 PREFIXES = (4, 5, 6)
 STEPS = 300
-RIDGE = 1e-3
+EVIDENCE_SHARE = 0.9
+RIDGE = 1e-4
 #: Documents whose probability of any grade above 0 reaches this are toxic.
-CUT = 0.5
+CUT = 0.4
 PIECE = 1 << 20
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -91,10 +94,28 @@ def select_features(data: TrainingSet, most: int = MAX_FEATURES, least: int = LE
     share = toxic.mean() if len(toxic) else 0.0
     expected = count * share
     statistic = (positive - expected) ** 2 / (expected * (1 - share) * (1 - count / max(len(toxic), 1)) + 1e-9)
-    names = [(-round(float(statistic[i]), 6), f) for f, i in data.numbers.items() if count[i] >= least]
+    names = [(-round(float(statistic[i]), 6), f) for f, i in data.numbers.items() if count[i] >= least and statistic[i] >= LEAST_STATISTIC]
     return [f for _, f in sorted(names)[:most]]
 
 
+def by_dose(data: TrainingSet, share: float = EVIDENCE_SHARE) -> TrainingSet:
+    """Split grade 1 of a two-grade set: documents with more than the median evidence get grade 2.
+
+    Evidence are the selected features that occur in documents of grade 1
+    almost alone; a document's evidence is their number.
+    """
+    chosen = np.zeros(len(data.numbers), bool)
+    chosen[[data.numbers[f] for f in select_features(data)]] = True
+    toxic = np.array(data.grades) > 0
+    flat = np.concatenate(data.rows)
+    count = np.bincount(flat, minlength=len(chosen))
+    positive = np.bincount(flat[np.repeat(toxic, [len(r) for r in data.rows])], minlength=len(chosen))
+    evidence = chosen & (positive >= share * count)
+    dose = np.array([evidence[r].sum() for r in data.rows])
+    data.grades = np.where(toxic, np.where(dose > np.median(dose[toxic]) if toxic.any() else False, 2, 1), 0).tolist()
+    return data
+
+
 def fit(data: TrainingSet, n_grades: int, steps: int = STEPS, ridge: float = RIDGE) -> OrdinalModel:
     """Fit by full gradient steps with momentum and a step for each coordinate."""
     names = sorted(select_features(data))
@@ -134,20 +155,20 @@ def fit(data: TrainingSet, n_grades: int, steps: int = STEPS, ridge: float = RID
 
 
 def graded(labels: DataFrame) -> DataFrame:
-    """``doc_id``, ``grade``: 0 for documents that are not toxic, 1 for toxic ones, 2 for toxic ones of low quality.
+    """``doc_id``, ``grade``: 0 for documents that are not toxic, 1 for toxic ones.
 
-    Labels without an id or a toxic mark take no part; a null quality counts as
-    good. Of several labels of a document the worst holds.
+    Labels without an id or a toxic mark take no part. Of several labels of a
+    document the worst holds.
     """
-    grade = F.when(F.col("toxic") == 0, 0).when(F.coalesce("quality", F.lit(1)) == 1, 1).otherwise(2)
-    return labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(grade).alias("grade"))
+    return labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") != 0).cast("int")).alias("grade"))
 
 
-def train(docs: DataFrame, grades: DataFrame, n_grades: int = 3, id_col: str = "doc_id", text_col: str = "text",
+def train(docs: DataFrame, grades: DataFrame, n_grades: int = 2, id_col: str = "doc_id", text_col: str = "text",
           most_rows: int = TRAINING_ROWS) -> OrdinalModel | None:
     """Fit on at most ``most_rows`` labelled documents, in one task; only the weights come back.
 
-    ``grades`` has ``doc_id`` and ``grade`` from 0 to ``n_grades - 1``. The
+    ``grades`` has ``doc_id`` and ``grade`` from 0 to ``n_grades - 1``; of two
+    grades the upper one is split by :func:`by_dose`, which makes three. The
     sample is by hashed id, so it is the same in every run. None if no document
     has a label.
     """
@@ -161,7 +182,7 @@ def train(docs: DataFrame, grades: DataFrame, n_grades: int = 3, id_col: str = "
             for text, grade in zip(batch.column("text").to_pylist(), batch.column("grade").to_pylist()):
                 data.add(text, grade)
         if data.rows:
-            model = fit(data, n_grades)
+            model = fit(by_dose(data), 3) if n_grades == 2 else fit(data, n_grades)
             names = [*model.weights, *[None] * len(model.thresholds)]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([*model.weights.values(), *model.thresholds], pa.float64())], ["feature", "value"])
 

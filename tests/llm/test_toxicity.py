@@ -56,7 +56,7 @@ def test_rows(spark):
     rows = [(i, t, "x", "clash", "clash") for i, t, _ in sample(800, 2)]
     grades = spark.createDataFrame([(i, g) for i, _, g in sample(800, 2)], "doc_id long, grade int")
     docs = spark.createDataFrame(rows, SCHEMA)
-    model = toxicity.train(docs, grades)
+    model = toxicity.train(docs, grades, 3)
     odd = spark.createDataFrame([(1, None, "", "", ""), (1, "", "", "", ""), (None, "zzrude qqmean", "", "", ""), (3, "x" * 2_000_000, "", "", "")], SCHEMA)
     got = toxicity.severity(odd, model).collect()
     assert sorted((str(r.doc_id), r.toxic, r.kept) for r in got) == [("1", False, True), ("1", False, True), ("3", False, True), ("None", True, False)]
@@ -65,13 +65,25 @@ def test_rows(spark):
     assert toxicity.severity(odd.limit(0), model).collect() == []
     assert toxicity.train(docs, grades.limit(0)) is None
     assert not any(r.toxic for r in toxicity.severity(odd, None).collect())
-    again = toxicity.train(docs.repartition(7), grades)
+    again = toxicity.train(docs.repartition(7), grades, 3)
     assert again.weights.keys() == model.weights.keys()
 
 
 def test_labels_with_nulls_and_repeats(spark):
-    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (2, None, 1), (None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
-    assert {tuple(r) for r in toxicity.graded(labels).collect()} == {(1, 2), (2, 1)}
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (2, None, 1), (None, 1, 1), (3, 1, None), (4, 0, 0)], "doc_id long, quality int, toxic int")
+    assert {tuple(r) for r in toxicity.graded(labels).collect()} == {(1, 1), (2, 1), (4, 0)}
+
+
+def test_two_grades_are_split_by_dose():
+    data = toxicity.TrainingSet()
+    for i in range(120):
+        data.add(f"plain words {i}", 0)
+    for i in range(30):
+        data.add("plain rude" if i % 3 else "plain rude mean vile", 1)
+    assert toxicity.by_dose(data).grades == [0] * 120 + [1 if i % 3 else 2 for i in range(30)]
+    empty = toxicity.TrainingSet()
+    empty.add("plain", 0)
+    assert toxicity.by_dose(empty).grades == [0]
 
 
 def test_query_agrees_with_labels(spark):
