@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, settle, ship_package
 
-__all__ = ["let", "of_text", "or_empty", "read_table", "row_numbers", "scratch_path", "settle", "ship_package", "small"]
+__all__ = ["let", "measured", "of_text", "or_empty", "read_table", "row_numbers", "scratch_path", "settle", "ship_package", "small"]
 
 #: White space and words as every contract of this subpackage has them.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
 #: A table is broadcast only when counted to stay below both bounds.
-MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 8 << 20
 
 
@@ -48,3 +48,9 @@ def row_numbers(df: DataFrame, name: str) -> DataFrame:
 def small(df: DataFrame, rows: int, size: int) -> DataFrame:
     """Mark a table for broadcast if its counted rows and bytes are below the bounds; else Spark shuffles it."""
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES else df
+
+
+def measured(ids: DataFrame) -> DataFrame:
+    """A settled table of one id column, marked for broadcast if its count allows it."""
+    n = ids.count()
+    return small(ids, n, n * (8 if ids.schema[0].dataType.simpleString() in ("bigint", "int") else 64))

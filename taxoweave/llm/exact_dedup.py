@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, of_text, or_empty, settle
+from .common import SPACE, measured, of_text, or_empty, settle
 
 #: A chunk ends at the first mark after so many characters, and after twice eight times as many in any case.
 MIN_CHUNK = 1024
@@ -93,8 +93,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows without an id stay, for nothing tells them apart.
     """
     groups = exact_groups(docs, id_col, text_col)
-    dropped = groups.where("not kept").select(F.col(id_col).alias("__dropped")).distinct()
-    return docs.join(dropped, F.col(id_col) == F.col("__dropped"), "left_anti")
+    dropped = settle(groups.where("not kept").select(F.col(id_col).alias("__dropped")).distinct(), "dropped")
+    return docs.join(measured(dropped), F.col(id_col) == F.col("__dropped"), "left_anti")
 
 
 #: The rows of op5_exact_dedup in DuckDB.

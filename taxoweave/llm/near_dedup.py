@@ -5,11 +5,11 @@ hash of a document's shingles, so half the evaluations fill a signature. Bands
 of the signature nominate pairs; every link is confirmed on the full shingle
 sets. Documents with equal sets are one node from the start.
 
-A band's bucket never emits all its pairs. In each round every bucket whose
-nodes are not yet connected compares them with one of them, its hub. Linked
-nodes become one component, and a bucket that lies within one component is
-done. What the rounds leave over is compared exactly: members of different
-components in one bucket, whose set sizes allow a link, block by block.
+A band's bucket never emits all its pairs. It compares its nodes with one of
+them, its hub; linked nodes become one component, and a bucket within one
+component is done. What is left over is compared exactly, but for pairs that
+cannot be linked: how many of a set's shingles no other set, or only few sets,
+hold bounds what it has in common with any other.
 """
 
 from __future__ import annotations
@@ -19,15 +19,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import or_empty, settle, ship_package
+from .common import measured, or_empty, settle, ship_package
 
 #: A pair at a similarity of 0.8 misses all 36 bands of 5 values with probability 6e-7, at 0.85 with 7e-10.
 BANDS = 36
 BAND_VALUES = 5
-HUB_ROUNDS = 2
+#: A shingle in at most so many of the sets left over is rare.
+RARE = 16
 #: Members of a bucket that the exact comparison takes as one block.
 BLOCK = 64
 #: Distinct words a worker remembers.
@@ -138,8 +139,7 @@ def sketches(docs: DataFrame, words_per_shingle: int, bands: int = BANDS, values
 def confirmed(pairs: DataFrame, texts: DataFrame, words_per_shingle: int, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` of nodes with 100 * intersection >= percent * union of their full sets.
 
-    ``texts`` has ``id`` and ``text``, each id once. Only texts of nominated
-    nodes travel.
+    ``texts`` has ``id`` and ``text``, each id once.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, None
@@ -177,28 +177,68 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def leftovers(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a < b`` of different components that share a bucket, with sizes that allow a link.
+def shingle_rows(texts: DataFrame, words_per_shingle: int) -> DataFrame:
+    """``id``, ``shingle``: a row for each distinct shingle of each text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _batches(batches):
+            sets = [shingle_set(t, words_per_shingle) for t in batch.column(1).to_pylist()]
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
+            for start in range(0, len(flat), 1 << 16):
+                part = slice(start, start + (1 << 16))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[part])), pa.array(flat[part])], ["id", "shingle"])
+
+    return texts.select("id", "text").mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, shingle long")
+
+
+def _can_link(common: Column, n: Column, other: Column, percent: int) -> Column:
+    """Whether sets of two sizes can be linked if they have at most ``common`` shingles in common."""
+    return 100 * common >= percent * (n + other - common)
+
+
+def leftovers(members: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a < b`` of different components that share a bucket or a rare shingle, and that can still be linked.
 
-    ``members`` has ``bucket``, ``id``, ``n_shingles`` and ``component``. Linked
-    sets differ in size by a factor of ``percent`` / 100 at most, which is the
-    width of a size class, so a set meets its own class and the next. Within a
-    class members form blocks, and blocks meet blocks: a large bucket is the
-    work of many tasks.
+    ``members`` has ``bucket``, ``id``, ``n_shingles`` and ``component``,
+    ``shingles`` the shingles of these ids. A shingle in at most ``RARE`` sets
+    is rare. Pairs that share rare shingles are few and listed from them, with
+    their number. All others have at most the smaller number of common shingles
+    in common; so the number a set holds bounds the sizes of its partners, and
+    sets that are near their hub but not linked to it rarely have any. In a
+    bucket only members outside its largest component ask for partners.
     """
-    width = float(np.log(100 / percent)) or 1e-3
-    keys = ["bucket", "class"]
-    classed = members.withColumn("class", F.floor(F.log(F.col("n_shingles").cast("double")) / width))
-    slots = classed.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("slots"))
-    right = classed.join(slots, keys).select(
-        *keys, F.pmod(F.xxhash64("id"), "slots").alias("slot"), F.col("id").alias("y"), F.col("n_shingles").alias("ny"), F.col("component").alias("cy"))
-    asked = classed.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") + 1)))
-    left = asked.join(slots, keys).select(
-        *keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"), F.col("id").alias("x"),
-        F.col("n_shingles").alias("nx"), F.col("component").alias("cx"))
-    allowed = (F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    pairs = left.join(right, [*keys, "slot"]).where(allowed)
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rare = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where(F.col("holders") <= RARE).select("shingle")
+    held = settle(shingles.join(rare, "shingle"), "rare")
+    per_id = held.groupBy("id").agg(F.count(F.lit(1)).alias("rare"))
+    own = members.groupBy("id").agg(F.collect_list("bucket").alias("own"))  # one for each band at most
+    counted = settle(members.join(per_id, "id", "left").join(own, "id").select(
+        "bucket", "own", "id", "component", F.col("n_shingles").alias("n"), (F.col("n_shingles") - F.coalesce("rare", F.lit(0))).alias("common")), "counted")
+
+    nodes = counted.select("id", "component", "n", "common").distinct()
+    shared = held.alias("x").join(held.alias("y"), "shingle").where("x.id < y.id").groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count(F.lit(1)).alias("both"))
+    for side in ("a", "b"):
+        shared = shared.join(nodes.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("component", "n", "common")]), side)
+    by_rare = shared.where(F.col("component_a") != F.col("component_b")).where(
+        _can_link(F.least("common_a", "common_b") + F.col("both"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+
+    def cell(size: Column) -> Column:
+        return F.floor(F.log(size.cast("double")) / float(np.log(1.03)) + 1e-9)
+
+    sizes = counted.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("k", "component")).alias("largest"))
+    answering = counted.withColumn("cell", cell(F.col("n")))
+    slots = answering.groupBy("bucket", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("slots"))
+    right = answering.join(slots, ["bucket", "cell"]).select(
+        "bucket", "cell", F.pmod(F.xxhash64("id"), "slots").alias("slot"), F.col("id").alias("y"), F.col("n").alias("ny"), F.col("common").alias("my"), F.col("component").alias("cy"), F.col("own").alias("by"))
+    low, high = F.ceil(F.col("n") * percent / 100), F.floor(F.col("common") * 100 / percent - (F.col("n") - F.col("common")) + 1e-6)
+    asking = counted.join(largest, "bucket").where("component <> largest").withColumns({"low": low.cast("long"), "high": high.cast("long")}).where("low <= high")
+    asking = asking.withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high"))))).join(slots, ["bucket", "cell"])
+    left = asking.select("bucket", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"),
+                         F.col("id").alias("x"), F.col("n").alias("nx"), F.col("common").alias("mx"), F.col("component").alias("cx"), F.col("own").alias("bx"), "low", "high")
+    allowed = (F.col("cx") != F.col("cy")) & F.col("ny").between(F.col("low"), F.col("high")) & _can_link(F.least("mx", "my"), F.col("nx"), F.col("ny"), percent)
+    allowed &= F.array_min(F.array_intersect("bx", "by")) == F.col("bucket")  # one of the buckets that a pair shares lists it
+    in_buckets = left.join(right, ["bucket", "cell", "slot"]).where(allowed).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return by_rare.unionByName(in_buckets).distinct()
 
 
 def near_groups(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80, bands: int = BANDS, values: int = BAND_VALUES,
@@ -227,32 +267,24 @@ def near_groups(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80,
     nodes = named.join(sets.select(F.col("node").alias("id")), "id", "left_semi").select("id", "n_shingles", F.explode("keys").alias("bucket"))
     shared = nodes.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("bucket")
     buckets = settle(nodes.join(shared, "bucket"), "buckets")
-    active, links, labels = buckets.withColumn("component", F.col("id")), None, None
-    for turn in range(HUB_ROUNDS + 1):
-        if turn < HUB_ROUNDS:
-            chosen = F.min_by(F.struct("id", "component"), F.col("id") if turn == 0 else F.xxhash64(F.lit(turn), "component", "id"))
-            hubs = active.groupBy("bucket").agg(chosen.alias("hub"))
-            pairs = active.join(hubs, "bucket").where("component <> hub.component").select(
-                F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
-        else:
-            pairs = leftovers(active, percent)
-        pairs = settle(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        node_texts = settle(texts.join(wanted, "id", "left_semi"), "texts")
-        found = confirmed(pairs, node_texts, words_per_shingle, percent)
-        links = settle(found if links is None else links.unionByName(found), "links")
-        labels = components(links)
-        # A bucket within one component is done.
-        labeled = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        open_ = labeled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-        active = settle(labeled.join(open_, "bucket"), "active")
+    # Only the texts of nodes in shared buckets travel from here on.
+    nominated = settle(buckets.select("id").distinct(), "nominated")
+    texts = settle(texts.join(measured(nominated), "id", "left_semi"), "texts")
+    # Every bucket compares its nodes with its hub; one whose nodes are then in one component is done.
+    hubs = buckets.groupBy("bucket").agg(F.min("id").alias("a"))
+    pairs = settle(buckets.join(hubs, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "pairs")
+    links = settle(confirmed(pairs, texts, words_per_shingle, percent), "links")
+    labels = components(links)
+    labeled = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_ = labeled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
+    active = settle(labeled.join(open_, "bucket"), "active")
+    asked = texts.join(measured(settle(active.select("id").distinct(), "asked")), "id", "left_semi")
+    rest = settle(leftovers(active, settle(shingle_rows(asked, words_per_shingle), "shingles"), percent), "rest")
+    more = settle(confirmed(rest, texts, words_per_shingle, percent), "links")
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     by_id = named.select("id", "digest").join(sets, "digest").select("id", "node")
-    if labels is None:
-        by_id = by_id.select("id", F.col("node").alias("component"))
-    else:
-        by_id = by_id.join(labels.withColumnRenamed("id", "node"), "node", "left").select("id", F.coalesce("component", "node").alias("component"))
+    by_id = by_id.join(labels.withColumnRenamed("id", "node"), "node", "left").select("id", F.coalesce("component", "node").alias("component"))
     return sketched.select("id", "n_shingles").join(by_id, "id", "left").select(
         F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"),
         F.coalesce("component", "id").eqNullSafe(F.col("id")).alias("kept"))
@@ -261,5 +293,5 @@ def near_groups(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80,
 def drop_near_copies(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, with all its columns; rows without an id stay."""
     groups = near_groups(docs, words_per_shingle, percent, id_col=id_col, text_col=text_col)
-    dropped = groups.where("not kept").select(F.col(id_col).alias("__dropped")).distinct()
-    return docs.join(dropped, F.col(id_col) == F.col("__dropped"), "left_anti")
+    dropped = settle(groups.where("not kept").select(F.col(id_col).alias("__dropped")).distinct(), "dropped")
+    return docs.join(measured(dropped), F.col(id_col) == F.col("__dropped"), "left_anti")

@@ -88,12 +88,27 @@ def test_different_texts_under_one_id(spark):
     assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (1, 1), (2, 2), (3, 1)]
 
 
-def test_leftovers_hold_every_allowed_pair(spark):
+def test_leftovers_hold_every_link(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "RARE", 2)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
     rng = random.Random(1)
-    members = [(b, i, rng.randint(1, 60), rng.choice([i, 0, 1])) for b in (1, 2) for i in range(200)]
-    got = {tuple(r) for r in near_dedup.leftovers(spark.createDataFrame(members, "bucket long, id long, n_shingles long, component long"), 80).collect()}
-    want = {(min(x, y), max(x, y)) for p, x, nx, cx in members for q, y, ny, cy in members if p == q and cx != cy and 100 * min(nx, ny) >= 80 * max(nx, ny)}
-    assert got == want
+    sets, component, odd = {}, {}, set()
+    for family in range(4):
+        base = [rng.randrange(10**6) for _ in range(60)]
+        for _ in range(40):
+            own = rng.choice([0, 2, 20])
+            odd |= {len(sets)} if own == 20 else set()
+            sets[len(sets)] = {*[s for s in base if rng.random() > 0.04], *[rng.randrange(10**6) for _ in range(own)], rng.randrange(30)}
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    for i in sets:
+        component[i] = rng.choice([i, i % 3])
+    members = [(i // 40, i, len(s), component[i]) for i, s in sets.items()]
+    shingles = spark.createDataFrame([(i, x) for i, s in sets.items() for x in s], "id long, shingle long")
+    got = {tuple(r) for r in near_dedup.leftovers(spark.createDataFrame(members, "bucket long, id long, n_shingles long, component long"), shingles, 80).collect()}
+    want = {(a, b) for a, b in linked if component[a] != component[b]}
+    assert want and want <= got
+    # A quarter of its shingles to itself rules any link out.
+    assert odd and not odd & {i for pair in got for i in pair}
 
 
 def test_signature_estimates_similarity():
