@@ -13,12 +13,21 @@ from taxoweave.schemas import RESPONSE_ITEM, RESPONSE_LIST, RESPONSE_OBJECT
 FIELDS = RESPONSE_ITEM.fieldNames()
 
 
+def is_one_value(response: Column) -> Column:
+    """Whether a text is one JSON value and nothing else.
+
+    The parser stops at the end of a value; inside a list and inside an object
+    it has to meet the closing bracket behind it.
+    """
+    within = F.from_json(F.concat(F.lit('{"value":'), response, F.lit("}")), "value string, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    return F.coalesce((F.json_array_length(F.concat(F.lit("["), response, F.lit("]"))) == 1) & within["_bad"].isNull(), F.lit(False))
+
+
 def response_items(response: Column) -> Column:
-    """The list of classifications: under its key, or as a bare list; else null."""
+    """The list of classifications: under its key, or as a bare list; else null, also if other text follows."""
     bare = F.startswith(F.ltrim(response), F.lit("["))
-    return F.when(bare, F.from_json(response, RESPONSE_LIST)).otherwise(
-        F.from_json(response, RESPONSE_OBJECT)["classifications"]
-    )
+    items = F.when(bare, F.from_json(response, RESPONSE_LIST)).otherwise(F.from_json(response, RESPONSE_OBJECT)["classifications"])
+    return F.when(is_one_value(response), items)
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
