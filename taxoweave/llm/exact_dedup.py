@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, measured, of_text, or_empty, settle
 
-#: A chunk ends at the first mark after so many characters, and after twice eight times as many in any case.
+#: A chunk ends at the first mark after so many characters, and after eight times as many in any case.
 MIN_CHUNK = 1024
 MAX_CHUNK = 8 * MIN_CHUNK
 MARKS = ".!?;:,。！？、"

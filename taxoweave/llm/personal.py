@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import or_empty, row_numbers, settle
-from .spans import Kind, count_of, in_order, joined, of_kind, overlaps, with_spans
+from .spans import Kind, count_of, in_order, joined, overlaps, with_spans
 
 
 def _digits(value: Column) -> Column:

@@ -65,8 +65,10 @@ def battery(token: Column) -> Column:
 
 
 def p_value(b: Column) -> Column:
-    """How likely text of a token's length looks as random by all three tests: runs and serial correlation over the places of the characters in their alphabet,
-    combined with the first test.
+    """How likely text of a token's length looks as random by all three tests.
+
+    The runs and the serial correlation are those of the characters' places in
+    their alphabet.
     """
     n, middle = b["n"], (b["size"] + 1) / 2
     total = F.aggregate(b["x"], F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("squares"), F.lit(0.0).alias("above")), lambda acc, v: F.struct(
