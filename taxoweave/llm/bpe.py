@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 from .common import or_empty, ship_package
 
 #: Words a worker remembers before it starts anew; longer words are not remembered.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 CACHED_LENGTH = 64
 #: Rows and characters after which a worker hands over a batch.
 BATCH_ROWS = 2_000
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 NEVER = np.iinfo(np.int64).max
 
 # White space of the vocabulary's patterns, and the contractions that are words of their own.

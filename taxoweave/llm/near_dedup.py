@@ -32,7 +32,7 @@ RARE = 16
 #: Members of a bucket that the exact comparison takes as one block.
 BLOCK = 64
 #: Distinct words a worker remembers.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 CHUNK = 4096
 BATCH_BYTES = 4 << 20
 SEED = 9
