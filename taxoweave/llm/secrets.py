@@ -3,16 +3,20 @@
 A long token's encoding gives its alphabet. Three statistics compare it with
 independent, uniform characters: chi-squared over the alphabet, the number of
 runs above and below the middle of the alphabet, and the correlation of
-neighbours. Each is turned into the probability that a token which is as uneven
-as text (an index of coincidence, a deviation of runs, a correlation as large as
-stated below) looks as random as this one. A token must look random by all
-three, so the largest of the three is its p-value. Step-up control of the false
-discovery rate then runs within classes of length, for short tokens can't say
-much; its cut is found on a grid of p-values, so it needs counts only.
+neighbours. The letters of an alphabet stand in the order of their frequency in
+text, so text stays on one side of the middle and has few runs. A weighted sum of
+the three is one score, whose distribution on ordinary tokens gives the p-value:
+stated values for each length, moved and widened by what the ordinary tokens of
+the whole corpus show in each class of length. Step-up control of the false
+discovery rate then runs within the classes; its cut is found on a grid of
+p-values, so it needs counts only.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,15 +34,27 @@ BASE = [
 NAMES = [k.name for k in BASE] + ["random"]
 CANDIDATE = Kind("token", r"[A-Za-z0-9+/_-]{20,}+={0,2}+")
 
-LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+# Letters by their frequency in text.
+LOWER, UPPER, DIGITS = "etaoinsrhldcumfpgwybvkxjqz", "ETAOINSRHLDCUMFPGWYBVKXJQZ", "0123456789"
+LETTERS = "".join(a + b for a, b in zip(LOWER, UPPER))
 #: Encodings by the narrowest first: pattern and alphabet.
 ENCODINGS = [
     ("^[0-9a-f]+$", DIGITS + "abcdef"), ("^[0-9A-F]+$", DIGITS + "ABCDEF"), ("^[A-Z2-7]+$", UPPER + "234567"),
-    ("^[0-9a-z]+$", DIGITS + LOWER), ("^[0-9A-Z]+$", DIGITS + UPPER), ("^[0-9A-Za-z]+$", DIGITS + UPPER + LOWER),
-    ("^[0-9A-Za-z+/]+$", UPPER + LOWER + DIGITS + "+/"), ("", UPPER + LOWER + DIGITS + "-_+/"),
+    ("^[0-9a-z]+$", LOWER + DIGITS), ("^[0-9A-Z]+$", UPPER + DIGITS), ("^[0-9A-Za-z]+$", LETTERS + DIGITS),
+    ("^[0-9A-Za-z+/]+$", "/+" + LETTERS + DIGITS), ("", "_-/+" + LETTERS + DIGITS),
 ]
 #: How uneven text is: index of coincidence over uniform less 1, correlation of neighbours, deviation of runs over sqrt(n).
 TEXT_EXCESS, TEXT_CORRELATION, TEXT_RUNS = 0.7, 0.5, 0.5
+#: By least length: weights of the logarithm of chi-squared over its freedom and of the correlation (runs weigh 1), and
+#: mean and deviation of the sum on ordinary tokens, measured on joined words (plain, camel case, snake case, paths).
+SCORES = [
+    (20, 3.64, 0.29, 5.43, 1.74), (24, 4.21, 0.29, 6.60, 1.97), (32, 5.15, 0.32, 9.38, 2.49), (48, 4.08, 0.19, 12.61, 2.88), (96, 6.79, 0.16, 23.87, 4.94),
+]
+#: Mean and deviation of the scores of random tokens by length class, which follow from the formula alone.
+RANDOM = ((-3.3, 0.8), (-3.9, 0.7), (-4.4, 0.55), (-4.9, 0.4))
+#: What ordinary tokens are held for before the corpus is measured, the tokens that this weighs as much as, and bounds.
+ORDINARY, PRIOR, LEAST_DEVIATION, MOST_SCORE = (0.0, 0.85), 50, 0.6, 3.0
+STEPS, BINS = 60, 10
 RATE = 0.01
 #: Length classes of the false-discovery control, by their least length.
 CLASSES = (20, 32, 48, 96)
@@ -56,19 +72,20 @@ def battery(token: Column) -> Column:
         symbols = F.filter(F.split(alphabet, ""), lambda c: c != "")
         counts = F.transform(symbols, lambda c: F.char_length(body) - F.char_length(F.replace(body, c, F.lit(""))))
         square = F.aggregate(counts, F.lit(0.0), lambda acc, k: acc + (k - n / size) * (k - n / size))
-        freedom, excess = size - 1, n * TEXT_EXCESS
-        uniform = normal_cdf((square * size / n - freedom - excess) / F.sqrt(2 * (freedom + 2 * excess)))
+        freedom, text = size - 1, n * TEXT_EXCESS
+        uniform = normal_cdf((square * size / n - freedom - text) / F.sqrt(2 * (freedom + 2 * text)))
         numbers = F.transform(F.filter(F.split(body, ""), lambda c: c != ""), lambda c: F.call_function("instr", alphabet, c).cast("double"))
-        return F.struct(n.alias("n"), size.alias("size"), uniform.alias("uniform"), numbers.alias("x"))
+        excess = F.log(F.greatest(square * size / n / freedom, F.lit(0.05)))
+        return F.struct(n.alias("n"), size.alias("size"), uniform.alias("uniform"), excess.alias("excess"), numbers.alias("x"))
 
     return let(F.struct(trimmed.alias("body"), chosen.alias("alphabet")), measured)
 
 
-def p_value(b: Column) -> Column:
-    """How likely text of a token's length looks as random by all three tests.
+def _compared(b: Column, body: Callable[[Column, Column, Column], Column]) -> Column:
+    """``body`` of the correlation of neighbours, the number of runs and twice the product of the sides' counts.
 
-    The runs and the serial correlation are those of the characters' places in
-    their alphabet.
+    The runs and the correlation are those of the characters' places in their
+    alphabet.
     """
     n, middle = b["n"], (b["size"] + 1) / 2
     total = F.aggregate(b["x"], F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("squares"), F.lit(0.0).alias("above")), lambda acc, v: F.struct(
@@ -81,15 +98,66 @@ def p_value(b: Column) -> Column:
         followed = F.aggregate(pairs, start, lambda acc, p: F.struct(
             (acc["product"] + (p["a"] - mean) * (p["c"] - mean)).alias("product"),
             (acc["runs"] + F.when((p["a"] > middle) != (p["c"] > middle), 1.0).otherwise(0.0)).alias("runs")))
-        return let(followed, lambda f: compared(f, sums["squares"] - n * mean * mean, 2 * above * (n - above)))
+        spread = sums["squares"] - n * mean * mean
+        return let(followed, lambda f: body(F.when(spread <= 1e-9, 1.0).otherwise(f["product"] / spread), f["runs"], 2 * above * (n - above)))
+
+    return let(total, tests)
 
-    def compared(followed: Column, spread: Column, mixed: Column) -> Column:
-        correlation = F.when(spread <= 1e-9, 1.0).otherwise(F.abs(followed["product"] / spread))
+
+def p_value(b: Column) -> Column:
+    """How likely text of a token's length looks as random by all three tests, each for itself; for single tokens, without power below 64 characters."""
+    n = b["n"]
+
+    def largest(correlation: Column, runs: Column, mixed: Column) -> Column:
         deviation = F.sqrt(F.greatest(mixed * (mixed - n) / (n * n * (n - 1)), F.lit(0.0)))
-        z = F.when(deviation <= 1e-9, F.sqrt(n)).otherwise(F.abs(followed["runs"] - mixed / n - 1) / deviation)
-        return F.greatest(b["uniform"], normal_cdf((correlation - TEXT_CORRELATION) * F.sqrt(n)), normal_cdf(z - TEXT_RUNS * F.sqrt(n)))
+        z = F.when(deviation <= 1e-9, F.sqrt(n)).otherwise(F.abs(runs - mixed / n - 1) / deviation)
+        return F.greatest(b["uniform"], normal_cdf((F.abs(correlation) - TEXT_CORRELATION) * F.sqrt(n)), normal_cdf(z - TEXT_RUNS * F.sqrt(n)))
+
+    return _compared(b, largest)
 
-    return let(total, tests)
+
+def score(b: Column) -> Column:
+    """The three tests in one number: about 0 with deviation 1 on ordinary tokens of any length, far below on random ones."""
+    n = b["n"]
+
+    def of_length(place: int) -> Column:
+        return F.coalesce(*[F.when(n >= row[0], F.lit(row[place])) for row in reversed(SCORES)], F.lit(SCORES[0][place]))
+
+    def weighed(correlation: Column, runs: Column, mixed: Column) -> Column:
+        total = b["excess"] * of_length(1) + correlation * F.sqrt(n) * of_length(2) + ((n + 1) / 2 - runs) / (F.sqrt(n - 1) / 2)
+        return (total - of_length(3)) / of_length(4)
+
+    return _compared(b, weighed)
+
+
+def nulls(candidates: DataFrame) -> dict[int, tuple[float, float]]:
+    """For each length class mean and deviation of the scores of ordinary tokens.
+
+    ``candidates`` has ``class`` and ``score``. Equal tokens count once. The
+    scores are a mixture of ordinary tokens and of random ones, whose
+    distribution is known; the ordinary part is fitted by expectation and
+    maximisation on counts, so that secrets do not shift it. At most some
+    hundred counts to a class reach the driver.
+    """
+    place = F.floor(F.greatest(F.least("score", F.lit(MOST_SCORE)), F.lit(-30.0)) * BINS).cast("int")
+    counts = candidates.distinct().groupBy("class", place.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {c: _fitted([((r["bin"] + 0.5) / BINS, r["n"]) for r in counts if r["class"] == c], *RANDOM[c]) for c in range(len(CLASSES))}
+
+
+def _fitted(counts: list[tuple[float, int]], random_mean: float, random_sd: float) -> tuple[float, float]:
+    """Mean and deviation of the ordinary part of counted scores."""
+    (mean, sd), share, total = ORDINARY, 0.9, sum(n for _, n in counts)
+    for _ in range(STEPS if counts else 0):
+        held = []
+        for x, n in counts:
+            ordinary = share / sd * math.exp(-((x - mean) / sd) ** 2 / 2)
+            other = (1 - share) / random_sd * math.exp(-((x - random_mean) / random_sd) ** 2 / 2)
+            held.append((x, n * (ordinary / (ordinary + other) if ordinary + other else float(x > mean))))
+        weight = sum(n for _, n in held)
+        mean = (sum(x * n for x, n in held) + PRIOR * ORDINARY[0]) / (weight + PRIOR)
+        spread = sum((x - mean) ** 2 * n for x, n in held) + PRIOR * (ORDINARY[1] ** 2 + (mean - ORDINARY[0]) ** 2)
+        sd, share = max(LEAST_DEVIATION, math.sqrt(spread / (weight + PRIOR))), min(max(weight / total, 0.01), 0.99)
+    return mean, sd
 
 
 def length_class(length: Column) -> Column:
@@ -120,22 +188,30 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
 
     Both are arrays of ``start``, ``kind`` (place in ``NAMES``) and ``end`` in
     code points, by start and then kind; ``found`` has the base spans and the
-    tokens that the battery adds, which overlap none of them. Null texts count
+    tokens that the battery adds, which overlap none of them; only tokens that
+    overlap none are tested and counted. Null texts count
     as empty and hold nothing. Other columns are ignored; an empty table gives
     an empty result.
     """
     texts = docs.select(F.col(id_col).alias("id"), or_empty(text_col).alias("text"))
     spans = with_spans(texts, "text", [*BASE, CANDIDATE]).select("id", in_order(NAMES[:-1]).alias("base"), "token")
+    spans = spans.withColumn("token", F.filter("token", lambda s: ~overlaps(s, F.col("base"))))
     tested = spans.withColumn("tests", F.transform("token", lambda s: battery(s["value"])))
     tested = tested.withColumn("token", F.zip_with("token", "tests", lambda s, b: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), length_class(b["n"]).alias("class"), grid_cell(p_value(b)).alias("cell"))))
+        s["start"].alias("start"), s["end"].alias("end"), length_class(b["n"]).alias("class"), score(b).alias("score"))))
     tested = settle(tested.select("id", "base", "token"), "tokens")
-    cut = cuts(tested.select(F.explode("token").alias("t")).select("t.class", "t.cell"), rate)
+    candidates = tested.select(F.explode("token").alias("t")).select("t.class", "t.score")
+    ordinary = nulls(candidates)
+
+    def cell(t: Column) -> Column:
+        return grid_cell(F.coalesce(*[F.when(t["class"] == c, normal_cdf((t["score"] - mean) / sd)) for c, (mean, sd) in ordinary.items()]))
+
+    cut = cuts(candidates.select("class", cell({"class": F.col("class"), "score": F.col("score")}).alias("cell")), rate)
 
     def discovered(t: Column) -> Column:
-        return F.coalesce(*[F.when(t["class"] == c, t["cell"] >= cell) for c, cell in sorted(cut.items())], F.lit(False))
+        return F.coalesce(*[F.when(t["class"] == c, cell(t) >= first) for c, first in sorted(cut.items())], F.lit(False))
 
-    added = F.filter("token", lambda t: discovered(t) & ~overlaps(t, F.col("base")))
+    added = F.filter("token", discovered)
     extra = of_kind(added, len(NAMES) - 1)
     return tested.select(F.col("id").alias(id_col), "base", F.array_sort(F.concat("base", extra)).alias("found"))
 

@@ -98,6 +98,39 @@ def test_random_tokens_are_added(spark):
     assert sum(got[i] == "random:6:126" for i in range(20)) >= 18 and got[50] == ""
 
 
+def ordinary_tokens(count, seed):
+    """Words of text joined as identifiers and paths are, some with a number."""
+    chosen, out = random.Random(seed), []
+    words = ("the of river border town account report monthly index value update version service handler config default manager request response "
+             "image thumb large small product category search result page user profile setting network build release archive history summary").split()
+    while len(out) < count:
+        parts = chosen.choices(words, k=chosen.randrange(4, 12))
+        if chosen.random() < 0.3:
+            parts.insert(chosen.randrange(1, 4), str(chosen.randrange(1, 3000)))
+        out.append(chosen.choice(["".join, "_".join, "-".join, "/".join, lambda p: "".join(w.capitalize() for w in p), lambda p: "_".join(p).upper()])(parts)[:chosen.randrange(20, 70)])
+    return [t for t in out if len(t) >= 20]
+
+
+def test_short_random_tokens_are_found_among_ordinary_ones(spark):
+    chosen = random.Random(11)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    planted = {n: ["".join(chosen.choices(alphabet, k=n)) for _ in range(40)] for n in (20, 24, 32, 40, 64)}
+    ordinary = ordinary_tokens(1500, 12)
+    tokens = [t for n in planted for t in planted[n]] + ordinary
+    df = spark.createDataFrame([(i, f"see {t} there", "", "", 1) for i, t in enumerate(tokens)], SCHEMA)
+    found = {tokens[r.doc_id] for r in secrets.secret_digest(secrets.scan(df)).collect() if "random:" in r.spans}
+    recall = {n: sum(t in found for t in planted[n]) / 40 for n in planted}
+    assert recall[20] >= 0.4 and recall[24] >= 0.55 and min(recall[n] for n in (32, 40, 64)) >= 0.85, recall
+    assert sum(t in found for t in ordinary) <= 4
+
+
+def test_null_is_measured_on_the_ordinary_part(spark):
+    chosen = random.Random(13)
+    scores = [chosen.gauss(-1.0, 0.7) for _ in range(4000)] + [chosen.gauss(*secrets.RANDOM[0]) for _ in range(1000)]
+    mean, sd = secrets.nulls(spark.createDataFrame([(0, v) for v in scores], "class int, score double"))[0]
+    assert mean == pytest.approx(-1.0, abs=0.1) and sd == pytest.approx(0.7, abs=0.1)
+
+
 def test_empty(spark):
     assert secrets.secret_digest(secrets.scan(spark.createDataFrame([], SCHEMA))).collect() == []
 
