@@ -73,7 +73,10 @@ class Block:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     furniture: bool = False
+    inside: int = -1
+    holder: int = -1
     main: bool = False
+    suspect: bool = False
     heading: bool = False
     text: str = ""
     label: str = ""
@@ -85,31 +88,45 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(source)}
 
 
-def _is_furniture(tag: str, attrs: dict[str, str]) -> bool:
-    """Whether an element holds something else than the page's own text, by its name, role and class."""
-    if attrs.get("role", "").lower() in FURNITURE_ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
-        return True
+SURE, LISTED, HINT = 3, 2, 1
+
+
+def _furniture(tag: str, attrs: dict[str, str]) -> int:
+    """How surely an element holds something else than the page's own text, by its name, role and class; 0 says nothing.
+
+    A class of listed words alone is ``LISTED``; a form and a class that merely
+    contains a listed word are a ``HINT``.
+    """
+    role = attrs.get("role", "").lower()
+    if role in FURNITURE_ROLES and role != "form" or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
+        return SURE
     if HIDDEN.search(attrs.get("style", "")):
-        return True
+        return SURE
     if tag in ("html", "body"):
-        return False
-    if tag in FURNITURE:
-        return True
+        return 0
+    if tag in FURNITURE and tag != "form":
+        return SURE
+    level = HINT if tag == "form" or role == "form" else 0
     marks = COMMENT_WORDS if tag in ("article", "main") else FURNITURE_WORDS
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
         words = PARTS.findall(CAMEL.sub(r"\1 \2", name).lower())
         if not words or words[0] in STATE_WORDS:
             continue
-        if marks.intersection(words) or words == ["header"] or words[-1] == "header" and words[0] in HEADER_OF_PAGE:
-            return True
-    return False
+        if words == ["header"] or words[-1] == "header" and words[0] in HEADER_OF_PAGE or marks.issuperset(words):
+            level = LISTED
+        elif marks.intersection(words):
+            # "site-footer" and "main-nav" are a footer and a menu.
+            level = max(level, LISTED if words[-1] in marks and words[0] in HEADER_OF_PAGE else HINT)
+    return level
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, each with its text; the hidden and the empty ones are left out."""
     out: list[Block] = []
-    # Open elements: name, whether skipped, furniture, main.
-    stack: list[tuple[str, bool, bool, bool]] = []
+    # Open elements: name, whether skipped, furniture, main, the numbers of the innermost suspect one and of that around the first article or main.
+    stack: list[tuple[str, bool, bool, bool, int, int]] = []
+    nothing = ("", False, False, False, -1, -1)
+    suspects: list[tuple[int, int]] = []  # level, and the suspect element around
     opened: dict[str, int] = {}
     current, links, at = Block(), 0, 0
 
@@ -125,7 +142,7 @@ def blocks(page: str) -> list[Block]:
         if raw and not (stack and stack[-1][1]):
             text = html.unescape(raw) if decode and "&" in raw else raw
             if not current.parts:
-                _, _, current.furniture, current.main = stack[-1] if stack else ("", False, False, False)
+                _, _, current.furniture, current.main, current.inside, current.holder = stack[-1] if stack else nothing
                 current.heading = any(e[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for e in stack[-3:])
             current.parts.append(text)
             if links:
@@ -185,10 +202,15 @@ def blocks(page: str) -> list[Block]:
             if k >= 0 and stack[k][0] == "p" and tag in CLOSED_BY["p"]:
                 close("p")
         attrs = _attributes(source)
-        _, skipped, furniture, main = stack[-1] if stack else ("", False, False, False)
+        _, skipped, furniture, main, inside, holder = stack[-1] if stack else nothing
         in_article = main and tag == "header" and any(e[0] in ("article", "main") for e in stack)
-        furniture = furniture or (_is_furniture(tag, attrs) and not in_article)
-        stack.append((tag, skipped or tag in SKIPPED, furniture, main or tag in ("article", "main") or attrs.get("role") == "main"))
+        level = 0 if in_article else _furniture(tag, attrs)
+        if level in (LISTED, HINT):
+            suspects.append((level, inside))
+            inside = len(suspects) - 1
+        if not main and (tag in ("article", "main") or attrs.get("role") == "main"):
+            main, holder = True, inside
+        stack.append((tag, skipped or tag in SKIPPED, furniture or level == SURE, main, inside, holder))
         links += tag == "a"
         opened[tag] = opened.get(tag, 0) + 1
         if tag in RAW and not source.endswith("/"):
@@ -196,20 +218,56 @@ def blocks(page: str) -> list[Block]:
             at = end.end() if end else n
             close(tag)
     end_block()
+    _weigh_suspects(out, suspects)
     return out
 
 
+def _weigh_suspects(found: list[Block], suspects: list[tuple[int, int]]) -> None:
+    """Decide which suspect elements are furniture, by what they hold.
+
+    One of listed words is, unless all text of articles and mains is in it. A
+    form or a mere hint is nothing if it holds half of that text or of the
+    page's; else its blocks stay suspect.
+    """
+    held, mains, total, all_mains = [0] * len(suspects), [0] * len(suspects), 0, 0
+    for block in found:
+        if block.furniture:
+            continue
+        size = len(block.text)
+        total += size
+        all_mains += size * block.main
+        if block.inside >= 0:
+            held[block.inside] += size
+        if block.holder >= 0:
+            mains[block.holder] += size
+    for i in range(len(suspects) - 1, -1, -1):
+        around = suspects[i][1]
+        if around >= 0:
+            held[around] += held[i]
+            mains[around] += mains[i]
+    verdicts: list[int] = []  # the surest level of an element and those around it
+    for i, (level, around) in enumerate(suspects):
+        wraps = 0 < all_mains == mains[i] if level == LISTED else 0 < all_mains <= 2 * mains[i] or total < 2 * held[i]
+        verdicts.append(max(0 if wraps else level, verdicts[around] if around >= 0 else 0))
+    for block in found:
+        verdict = verdicts[block.inside] if block.inside >= 0 else 0
+        block.furniture = block.furniture or verdict == LISTED
+        block.suspect = verdict == HINT
+
+
 def _first_pass(block: Block, page_has_main: bool) -> str:
     """``good``, ``bad``, ``near`` (leans to good) or ``short`` (undecided)."""
     if block.furniture:
         return "bad"
-    if block.main:
+    if block.main and not block.suspect:
         return "good"
     text = block.text
-    if page_has_main or block.linked / len(text) > LINKED:
+    if page_has_main and not block.main or block.linked / len(text) > LINKED:
         return "bad"
     words = text.lower().split()
     stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+    if block.suspect:
+        return "short" if stops >= MANY_STOP and len(text) > LONG else "bad"
     if len(text) < SHORT or block.heading:
         return "short"
     if stops >= MANY_STOP:

@@ -35,6 +35,31 @@ def test_rules_without_article():
     assert html_text.main_text(page) == f"Of rivers\n{TEXT}\nShort.\n{TEXT}"
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<form method=post>{}</form>", "<div class='layout-sidebar-right'>{}</div>", "<div id='page' class='content-widgets'>{}</div>", "<div class=overlay>{}</div>",
+])
+def test_wrappers_of_the_article_are_no_furniture(wrapper):
+    body = f"<article><h1>Of rivers</h1><p>{TEXT}</p><p>Short.</p></article>"
+    page = "<body><nav><a>Home</a></nav>" + wrapper.format(f"{body}<div class=footer>{TEXT}</div>") + "</body>"
+    assert html_text.main_text(page) == f"Of rivers\n{TEXT}\nShort."
+
+
+def test_wrappers_of_plain_text_are_no_furniture():
+    body = f"<h1>Of rivers</h1><p>{TEXT}</p><p>Short.</p><p>{TEXT}</p>"
+    for page in (f"<form>{body}</form>", f"<div class='content-widgets'>{body}</div>", f"<div class='comment-page'><div class=x>{body}</div></div>"):
+        assert html_text.main_text(page) == f"Of rivers\n{TEXT}\nShort.\n{TEXT}"
+    assert html_text.main_text(f"<article class='post comments-open'>{body}</article>") == f"Of rivers\n{TEXT}\nShort.\n{TEXT}"
+
+
+def test_deep_suspects_end():
+    assert html_text.main_text("<div class='x-ad-y'>" * 20_000 + "<p>x") == "x"
+
+
+def test_small_suspects_stay_out():
+    page = f"<main><p>{TEXT}</p><p>{TEXT}</p></main><form>Your name</form><div class='site-footer'>{TEXT}</div><div class='related-posts'><p>More</p></div>"
+    assert html_text.main_text(page) == f"{TEXT}\n{TEXT}"
+
+
 def test_first_and_second_pass():
     blocks = [html_text.Block(text=t, linked=k) for t, k in [("menu entries here", 17), (TEXT, 0), ("ja", 0), (TEXT, 0), ("x", 0), ("link text", 9), ("y", 0)]]
     assert [b.label for b in html_text.classify(blocks)] == ["bad", "good", "good", "good", "good", "bad", "bad"]
