@@ -2,9 +2,10 @@
 
 A page is cut into blocks at block-level tags. The first pass classifies each
 block by what surrounds it (menus, footers, notices and the like), and where
-that says nothing by its length, link density and share of stop words. Short
-blocks stay undecided. The second pass gives them the label of their nearest
-decided neighbours.
+that says nothing by its length, link density and share of stop words, inside
+articles and mains as well. Short blocks stay undecided. The second pass gives
+them the label of their nearest decided neighbours; articles and mains are a
+prior there.
 """
 
 from __future__ import annotations
@@ -255,14 +256,12 @@ def _weigh_suspects(found: list[Block], suspects: list[tuple[int, int]]) -> None
         block.suspect = verdict == HINT
 
 
-def _first_pass(block: Block, page_has_main: bool) -> str:
+def _first_pass(block: Block) -> str:
     """``good``, ``bad``, ``near`` (leans to good) or ``short`` (undecided)."""
     if block.furniture:
         return "bad"
-    if block.main and not block.suspect:
-        return "good"
     text = block.text
-    if page_has_main and not block.main or block.linked / len(text) > LINKED:
+    if block.linked / len(text) > LINKED:
         return "bad"
     words = text.lower().split()
     stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
@@ -282,9 +281,21 @@ def classify(found: list[Block]) -> list[Block]:
     side, good if they are equally near; a heading looks ahead first. Page
     furniture is no neighbour. A block that leans to good is bad only between
     bad ones. What has no neighbours is good.
+
+    Articles and mains are a prior, where they hold as much text as the good
+    blocks outside: undecided blocks in them lean to good, those outside to
+    bad, and a neighbour counts only if no block of the other side of that
+    border stands between.
     """
-    page_has_main = any(b.main and not b.furniture for b in found)
-    first = [_first_pass(b, page_has_main) for b in found]
+    first = [_first_pass(b) for b in found]
+    inside = sum(len(b.text) for b in found if b.main and not b.furniture)
+    prior = inside > 0 and inside >= sum(len(b.text) for b, label in zip(found, first) if label == "good" and not b.main)
+    if prior:
+        for i, block in enumerate(found):
+            if block.main and not block.suspect and (first[i] == "short" or first[i] == "bad" and block.heading and not block.furniture):
+                first[i] = "near"
+            elif not block.main and first[i] == "near":
+                first[i] = "short"
     # A row of blocks that are links alone is a menu, wherever it stands.
     run = 0
     for i in range(len(found) + 1):
@@ -294,8 +305,10 @@ def classify(found: list[Block]) -> list[Block]:
         run = run + 1 if linked else 0
     sides: list[list[tuple[int, str]]] = [[], []]
     for side, order in enumerate((range(len(found)), range(len(found) - 1, -1, -1))):
-        last = (-1, "")
+        last, region = (-1, ""), None
         for i in order:
+            if prior and not found[i].furniture and found[i].main != region:
+                last, region = (-1, ""), found[i].main
             sides[side].append(last)
             if first[i] in ("good", "bad") and not found[i].furniture:
                 last = (i, first[i])
@@ -306,7 +319,7 @@ def classify(found: list[Block]) -> list[Block]:
             label = "bad" if before == after == "bad" else "good"
         elif label == "short":
             if not before or not after:
-                label = before or after or "good"
+                label = before or after or ("bad" if prior and not block.main else "good")
             elif block.heading:
                 label = after
             else:

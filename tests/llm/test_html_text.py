@@ -60,6 +60,19 @@ def test_small_suspects_stay_out():
     assert html_text.main_text(page) == f"{TEXT}\n{TEXT}"
 
 
+def test_teasers_in_articles_do_not_hide_the_text():
+    cards = "".join(f"<article><h3><a href=x>Title of card {i}</a></h3><p><a href=x>Read the whole story of the day</a></p></article>" for i in range(4))
+    page = f"<body><div><h1>Of rivers</h1><p>{TEXT}</p><p>Short.</p><p>{TEXT} {TEXT}</p><p>{TEXT} {TEXT}</p></div>{cards}</body>"
+    assert html_text.main_text(page) == f"Of rivers\n{TEXT}\nShort.\n{TEXT} {TEXT}\n{TEXT} {TEXT}"
+
+
+def test_links_in_main_are_judged_and_text_outside_is_kept():
+    promo = "<p>Buy <a href=x>this great offer of the week</a> now</p>"
+    page = (f"<div>Log in</div><main><h1><a href=x>Of rivers</a></h1><p>{TEXT}</p>{promo}<ul><li><a>One thing</a></li><li><a>Two things</a></li></ul><p>Short.</p>"
+            f"<p>{TEXT}</p></main><div><p>{TEXT}</p></div>")
+    assert html_text.main_text(page) == f"Of rivers\n{TEXT}\nShort.\n{TEXT}\n{TEXT}"
+
+
 def test_first_and_second_pass():
     blocks = [html_text.Block(text=t, linked=k) for t, k in [("menu entries here", 17), (TEXT, 0), ("ja", 0), (TEXT, 0), ("x", 0), ("link text", 9), ("y", 0)]]
     assert [b.label for b in html_text.classify(blocks)] == ["bad", "good", "good", "good", "good", "bad", "bad"]
