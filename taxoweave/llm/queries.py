@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as vocabulary_path
 
-from . import bpe, exact_dedup, html_text, mixing, near_dedup, personal, secrets, topk, toxicity, warc
+from . import bpe, exact_dedup, html_text, mixing, near_dedup, personal, pivot_codes, secrets, topk, toxicity, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revisits of a crawl derived from all pages, resolved."""
     resolved = warc.resolve_revisits(warc.crawl_of(read_table(spark, sf_dir, "pages")))
     return resolved.withColumn("headers", warc.header_lines(resolved["headers"]))
+
+
+@query(pivot_codes.PIVOT_CODES_SQL)
+def op13_pivot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, four parts of 256 entries."""
+    return pivot_codes.compress(read_table(spark, sf_dir, "embeddings"))
