@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as vocabulary_path
 
-from . import bpe, exact_dedup, html_text, mixing, near_dedup, personal, pivot_codes, secrets, topk, toxicity, warc
+from . import alignment, bpe, exact_dedup, html_text, mixing, near_dedup, personal, pivot_codes, secrets, topk, toxicity, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_pivot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of all vectors, four parts of 256 entries."""
     return pivot_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned tokens of every document under two vocabularies."""
+    return alignment.align(read_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
