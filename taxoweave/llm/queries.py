@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as vocabulary_path
 
-from . import alignment, bpe, exact_dedup, html_text, mixing, near_dedup, personal, pivot_codes, secrets, topk, toxicity, warc
+from . import alignment, bpe, exact_dedup, graph_dedup, html_text, mixing, near_dedup, personal, pivot_codes, secrets, topk, toxicity, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,9 @@ def op13_pivot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aligned tokens of every document under two vocabularies."""
     return alignment.align(read_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
+
+
+@query(graph_dedup.NEAR_VECTORS_SQL)
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of vectors of a label at a cosine of 0.93 or more."""
+    return graph_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
