@@ -2,10 +2,15 @@
 
 "Which of these needles occur in this text" is a theta join. Here every needle
 is filed under its first few characters, every text is cut once into all of its
-substrings of that length, and the two meet in an equi-join; the few pairs that
-meet are then checked with ``contains``. The work grows with the text, not with
-the number of needles, and nothing is missed: a needle occurs in a text only if
-its first characters do.
+substrings of that length, and the two meet in an equi-join. The work grows with
+the text, not with the number of needles, and nothing is missed: a needle occurs
+in a text only if its first characters do.
+
+Needles that fit to be broadcast come to the texts, and the few pairs that meet
+are checked with ``contains``. Other needles are cut into tiles that cover them
+side by side, and the texts send the place of every substring: a needle occurs
+where all its tiles lie at their distances from one start. Places and substrings
+travel then, the texts stay where they are.
 """
 
 from __future__ import annotations
@@ -43,18 +48,55 @@ def text_grams(text: Column, sizes: Sequence[int]) -> Column:
     return cut[0] if len(cut) == 1 else F.concat(*cut)
 
 
+def tiles(needle: Column, sizes: Sequence[int]) -> Column:
+    """Substrings that cover a needle side by side, the last one at its end, each with its ``offset``."""
+    def cover(size: int) -> Column:
+        cut = grams(needle, size)
+        last = F.size(cut) - 1
+        places = F.array_distinct(F.array_append(F.sequence(F.lit(0), last, F.lit(size)), last))
+        return F.transform(places, lambda at: F.struct(at.alias("offset"), F.get(cut, at).alias("gram")))
+
+    small, large = min(sizes), max(sizes)
+    return F.when(F.length(needle) >= large, cover(large)).otherwise(cover(small))
+
+
+def placed_grams(text: Column, sizes: Sequence[int]) -> Column:
+    """All substrings of the given sizes, each with its place ``at``."""
+    def cut(size: int) -> Column:
+        return F.transform(grams(text, size), lambda gram, at: F.struct(at.alias("at"), gram.alias("gram")))
+
+    parts = [cut(size) for size in sizes]
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def placed_hits(texts: DataFrame, text: str, needles: DataFrame, sizes: Sequence[int] = ANY_NEEDLE) -> DataFrame:
+    """:func:`substring_hits` without the text in any shuffle, for needles beyond a broadcast."""
+    kept = [c for c in texts.columns if c != text]
+    covered = needles.filter(F.length("needle") > 0).withColumn("_tiles", tiles(F.col("needle"), sizes))
+    tiled = covered.select(*needles.columns, F.size("_tiles").alias("_needed"), F.inline("_tiles")).withColumnRenamed("gram", "_gram")
+    postings = texts.select(*kept, F.inline(placed_grams(F.col(text), sizes))).withColumnRenamed("gram", "_gram")
+    met = dimension_join(postings, tiled, ["_gram"], bounded=False)
+    columns = [*kept, *needles.columns]
+    found = met.groupBy(*columns, "_needed", (F.col("at") - F.col("offset")).alias("_start")).agg(F.count(F.lit(1)).alias("_tiles"))
+    return found.filter(F.col("_tiles") == F.col("_needed")).select(*columns).distinct()
+
+
 def substring_hits(
     texts: DataFrame, text: str, needles: DataFrame, *, bounded: bool, sizes: Sequence[int] = ANY_NEEDLE
 ) -> DataFrame:
     """Pairs of text row and needle row where the text contains the needle.
 
     ``needles`` has a column ``needle``; empty needles never match. All columns
-    of both sides but the text are kept. Matching is case-sensitive.
+    of both sides but the text are kept. Matching is case-sensitive. Rows of
+    ``needles`` and, where they are not ``bounded``, of ``texts`` are told apart
+    by their columns.
     """
+    if not bounded:
+        return placed_hits(texts, text, needles, sizes)
     kept = [c for c in texts.columns if c != text]
     filed = needles.filter(F.length("needle") > 0).withColumn("_gram", anchor(F.col("needle"), sizes))
     # A gram that repeats must meet its needles once.
     pieces = F.array_distinct(text_grams(F.col(text), sizes))
     cut = texts.select(*kept, F.col(text).alias("_text"), F.explode(pieces).alias("_gram"))
-    met = dimension_join(cut, filed, ["_gram"], bounded=bounded, condition=F.contains("_text", "needle"))
+    met = dimension_join(cut, filed, ["_gram"], bounded=True, condition=F.contains("_text", "needle"))
     return met.drop("_gram", "_text")

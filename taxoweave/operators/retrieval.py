@@ -6,6 +6,12 @@ against every leaf is therefore fixed by its set of features, its *signature*.
 Many queries share one signature, so the scoring runs once per distinct
 signature, against an inverted index (feature -> leaf, points), and the result
 is joined back. No pair of query and leaf without a common feature is formed.
+
+In a large taxonomy most leaves share some cheap feature with a query and cannot
+reach its best twelve. There the postings of a feature lie in blocks, the best
+points first, and a few leaves scored first give each signature a limit: a block
+is opened only if its best leaf, with all that the features behind it could still
+add, can pass the limit.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from taxoweave import fixed_values as fv
 from taxoweave.functions.text import token_set, with_note
 from taxoweave.operators.cleaning import cross_section
 from taxoweave.operators.joins import dimension_join, hot_key_join
-from taxoweave.operators.matching import LONG_GRAM, anchor, gram_sizes, text_grams
+from taxoweave.operators.matching import LONG_GRAM, anchor, gram_sizes, placed_hits, substring_hits, text_grams
 from taxoweave.schemas import TAXONOMY as SCHEMA
 from taxoweave.session import settle
 
@@ -30,6 +36,13 @@ from taxoweave.session import settle
 BROADCAST_LEAVES = 100_000
 BROADCAST_CHARS = 50_000_000
 
+# A taxonomy above this many leaves is ranked by bounds. Postings of a block, and the
+# features and leaves of each that give a signature its first limit.
+PRUNED_LEAVES = 1_000
+BLOCK_LEAVES = 64
+FIRST_FEATURES = 4
+FIRST_LEAVES = 16
+
 # A feature every query has: it lists the first leaves with zero points, which
 # is what fills a ranking up when too few leaves score.
 _FILLER = -1
@@ -49,6 +62,12 @@ class Lexicon:
     stopwords: Sequence[str] = field(default_factory=lambda: tuple(fv.STOPWORDS))
     synonyms: Mapping[str, Sequence[str]] = field(default_factory=lambda: fv.SYNONYMS)
 
+    @property
+    def bounded(self) -> bool:
+        """True when the tokens that keys add may be broadcast."""
+        words = [word for words in self.synonyms.values() for word in words]
+        return len(words) <= BROADCAST_LEAVES and sum(map(len, [*self.synonyms, *words])) <= BROADCAST_CHARS
+
     def table(self, spark) -> DataFrame:
         """``(key, is_phrase, token)``, one row per token a key adds."""
         rows = [(key, " " in key, token) for key, words in self.synonyms.items() for token in words]
@@ -64,18 +83,12 @@ def expand_tokens(queries: DataFrame, lexicon: Lexicon) -> DataFrame:
     table = lexicon.table(spark)
     lowered = F.lower("text")
     words = queries.select("query_id", F.explode(token_set(F.col("text"), lexicon.stopwords)).alias("key"))
-    # The lexicon is driver-side configuration, so broadcasting it is safe.
-    by_word = words.join(F.broadcast(table.filter(~F.col("is_phrase"))), "key").select("query_id", "token")
+    by_word = dimension_join(words, table.filter(~F.col("is_phrase")), ["key"], bounded=lexicon.bounded).select("query_id", "token")
     hits = by_word.unionByName(words.withColumnRenamed("key", "token"))
-    phrases = [key for key in lexicon.synonyms if " " in key]
-    if phrases:
-        found = F.array_compact(
-            F.array(*[F.when(F.contains(lowered, F.lit(p)), F.lit(p)) for p in phrases])
-        )
-        by_phrase = queries.select("query_id", F.explode(found).alias("key")).join(
-            F.broadcast(table.filter("is_phrase")), "key"
-        )
-        hits = hits.unionByName(by_phrase.select("query_id", "token"))
+    phrases = table.filter("is_phrase").select(F.col("key").alias("needle"), "token")
+    shortest = min((len(key) for key in lexicon.synonyms if " " in key), default=None)
+    by_phrase = substring_hits(queries.select("query_id", lowered.alias("text")), "text", phrases, bounded=lexicon.bounded, sizes=gram_sizes(shortest))
+    hits = hits.unionByName(by_phrase.select("query_id", "token"))
     return hits.groupBy("query_id").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
 
 
@@ -180,7 +193,7 @@ class TaxonomyIndex:
         spark = self.taxonomy.sparkSession
         known = self.signals.select("feature", "term", F.endswith("signal", F.lit("_NAME")).alias("is_name")).distinct()
         tokens, names = known.filter(~F.col("is_name")), known.filter("is_name")
-        added = tokens.join(F.broadcast(self.lexicon.table(spark)), F.col("token") == F.col("term"))
+        added = dimension_join(tokens.withColumn("token", F.col("term")), self.lexicon.table(spark), ["token"], bounded=self.lexicon.bounded)
 
         def by_token(df: DataFrame, token: Column) -> DataFrame:
             return df.select(F.lit("t").alias("kind"), token.alias("probe"), F.lit(None).cast("string").alias("needle"), "feature")
@@ -210,18 +223,26 @@ class TaxonomyIndex:
         """
         queries = queries.select("query_id", F.coalesce("text", F.lit("")).alias("text"))  # a null text still has the filler
         words = F.array_append(token_set(F.col("text"), self.lexicon.stopwords), F.lit(_FILLER_TOKEN))
-        pieces = queries.select(
-            "query_id",
-            F.lower("text").alias("_text"),
-            F.inline(F.array(
-                F.struct(F.lit("t").alias("kind"), words.alias("_probes")),
-                F.struct(F.lit("g").alias("kind"), text_grams(F.lower("text"), self._gram_sizes).alias("_probes")),
-            )),
-        ).select("query_id", "_text", "kind", F.explode("_probes").alias("probe"))
-        met = dimension_join(
-            pieces, self._triggers, ["kind", "probe"], bounded=self.bounded,
-            condition=F.col("needle").isNull() | F.contains("_text", "needle"),
-        )
+        if self.bounded:
+            pieces = queries.select(
+                "query_id",
+                F.lower("text").alias("_text"),
+                F.inline(F.array(
+                    F.struct(F.lit("t").alias("kind"), words.alias("_probes")),
+                    F.struct(F.lit("g").alias("kind"), text_grams(F.lower("text"), self._gram_sizes).alias("_probes")),
+                )),
+            ).select("query_id", "_text", "kind", F.explode("_probes").alias("probe"))
+            met = dimension_join(
+                pieces, self._triggers, ["kind", "probe"], bounded=True,
+                condition=F.col("needle").isNull() | F.contains("_text", "needle"),
+            )
+        else:
+            by_word, by_needle = self._triggers.filter("kind = 't'"), self._triggers.filter("kind = 'g'")
+            probes = queries.select("query_id", F.explode(words).alias("probe"))
+            met = dimension_join(probes, by_word, ["probe"], bounded=False).select("query_id", "feature").unionByName(
+                placed_hits(queries.select("query_id", F.lower("text").alias("text")), "text", by_needle.select("needle", "feature"), self._gram_sizes)
+                .select("query_id", "feature")
+            )
         folded = met.groupBy("query_id").agg(F.sort_array(F.collect_set("feature")).alias("signature"))
         # 128 bits of hash stand for the array in every later key: longs sort, join and
         # aggregate far faster, and a chance collision is out of reach of any table size.
@@ -245,11 +266,15 @@ class TaxonomyIndex:
         ``candidates`` is an ordered array of ``(rank, ordinal, score, full_path,
         boundary_note)``. Ties fall to the lower ordinal.
         """
-        scored = (
-            dimension_join(self._distinct(signatures), self.postings, ["feature"], bounded=self.bounded)
-            .groupBy(*_SIG, "ordinal")
-            .agg(F.sum("points").alias("score"))
-        )
+        features = self._distinct(signatures)
+        if self._measure.leaves > PRUNED_LEAVES:
+            scored = self._scores(self.contenders(features), features)
+        else:
+            scored = (
+                dimension_join(features, self.postings, ["feature"], bounded=self.bounded)
+                .groupBy(*_SIG, "ordinal")
+                .agg(F.sum("points").alias("score"))
+            )
         order = Window.partitionBy(*_SIG).orderBy(F.desc("score"), "ordinal")
         best = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= fv.MODERATE_MAX)
         named = dimension_join(best, self._leaf_labels, ["ordinal"], bounded=self.bounded)
@@ -268,6 +293,58 @@ class TaxonomyIndex:
             .alias("candidates"),
         )
 
+    @cached_property
+    def _scored_postings(self) -> DataFrame:
+        """``(feature, ordinal, points)``; a leaf with an ordinal that repeats has its points added up."""
+        return settle(self.signals.groupBy("feature", "ordinal").agg(F.sum("points").alias("points")), "postings")
+
+    @cached_property
+    def _blocks(self) -> DataFrame:
+        """``(feature, block, entries)``: postings in blocks, the most points and then the lowest ordinal first."""
+        place = F.row_number().over(Window.partitionBy("feature").orderBy(F.desc("points"), "ordinal")) - 1
+        dealt = self._scored_postings.withColumn("block", F.floor(place / BLOCK_LEAVES))
+        entry = F.struct((-F.col("points")).alias("minus"), "ordinal")
+        # At most BLOCK_LEAVES rows per block.
+        return settle(dealt.groupBy("feature", "block").agg(F.sort_array(F.collect_list(entry)).alias("entries")), "blocks")
+
+    def _scores(self, pairs: DataFrame, features: DataFrame) -> DataFrame:
+        """``(sig_a, sig_b, ordinal, score)``: exact scores of distinct pairs of signature and leaf."""
+        met = dimension_join(pairs, self._scored_postings, ["ordinal"], bounded=self.bounded)
+        earned = met.join(features, [*_SIG, "feature"]).select(*_SIG, "ordinal", "points")
+        nothing = pairs.select(*_SIG, "ordinal", F.lit(0).cast("long").alias("points"))
+        return earned.unionByName(nothing).groupBy(*_SIG, "ordinal").agg(F.sum("points").alias("score"))
+
+    def contenders(self, features: DataFrame) -> DataFrame:
+        """``(sig_a, sig_b, ordinal)``: the leaves that can be among a signature's best, and few others.
+
+        ``features`` has a row per signature and feature. A signature's features
+        are ordered by the most that one can earn. A leaf is looked for in the
+        list of its first feature only, so what it can earn beyond its points
+        there is at most what the later features can.
+        """
+        sizes = self._scored_postings.groupBy("feature").agg(F.max("points").alias("most"), F.count(F.lit(1)).alias("leaves"))
+        known = dimension_join(features, sizes, ["feature"], bounded=self.bounded)
+        order = Window.partitionBy(*_SIG).orderBy(F.desc("most"), "leaves", "feature")
+        listed = settle(known.select(
+            *_SIG, "feature", F.row_number().over(order).alias("place"),
+            F.coalesce(F.sum("most").over(order.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)).alias("later"),
+        ), "listed")
+        fillers = self.taxonomy.orderBy("ordinal").limit(fv.MODERATE_MAX).agg(F.collect_list("ordinal"))  # a dozen
+        opened = dimension_join(listed.filter(F.col("place") <= FIRST_FEATURES), self._blocks.filter("block = 0"), ["feature"], bounded=self.bounded)
+        first = opened.select(*_SIG, F.explode(F.slice("entries", 1, FIRST_LEAVES)).alias("e")).select(*_SIG, "e.ordinal")
+        first = settle(first.unionByName(features.select(*_SIG).distinct().select(*_SIG, F.explode(fillers.scalar()).alias("ordinal"))).distinct(), "first")
+        # At most FIRST_FEATURES * FIRST_LEAVES rows per signature and the fillers.
+        best = self._scores(first, features).groupBy(*_SIG).agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "ordinal"))).alias("best"))
+        limit = settle(best.select(*_SIG, F.get("best", F.lit(fv.MODERATE_MAX - 1)).alias("limit")), "limits")
+        passes = F.col("limit").isNull() | (F.struct((F.col("e.minus") - F.col("later")).alias("minus"), F.col("e.ordinal").alias("ordinal")) < F.col("limit"))
+        head = self._blocks.select("feature", "block", F.get("entries", F.lit(0)).alias("e"), F.array_min(F.transform("entries", lambda x: x["ordinal"])).alias("lowest"))
+        # A block's best leaf has its most points and, for ties, its lowest ordinal.
+        reachable = F.col("limit").isNull() | (F.struct((F.col("e.minus") - F.col("later")).alias("minus"), F.col("lowest").alias("ordinal")) < F.col("limit"))
+        asked = dimension_join(listed.join(limit, _SIG), head, ["feature"], bounded=self.bounded).filter(reachable)
+        more = dimension_join(asked.drop("e", "lowest", "place"), self._blocks, ["feature", "block"], bounded=self.bounded)
+        more = more.select(*_SIG, "later", "limit", F.explode("entries").alias("e")).filter(passes).select(*_SIG, "e.ordinal")
+        return settle(first.unionByName(more).distinct(), "contenders")
+
     @cached_property
     def _leaf_labels(self) -> DataFrame:
         return self.taxonomy.select("ordinal", "full_path", F.coalesce("boundary_note", F.lit("")).alias("boundary_note"))

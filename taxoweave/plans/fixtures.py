@@ -25,6 +25,18 @@ SELECT CAST(row_number() OVER (ORDER BY L1, L2, L3) AS BIGINT) AS ordinal, L1, L
             WHEN L2 = 'hot' THEN 'Handle with care' ELSE '' END AS boundary_note
 FROM (SELECT DISTINCT p_type AS L1, split_part(p_name, ' ', 1) AS L2,
              split_part(p_name, ' ', 2) AS L3, p_name AS L4 FROM {part}) t""",
+    # A taxonomy that grows with the data: one leaf per part.
+    "fx_parts": """
+SELECT p_partkey + 1 AS ordinal, p_type AS L1, p_brand AS L2, p_name AS L3, concat(p_name, ' ', p_partkey) AS L4,
+       concat(p_type, ' > ', p_brand, ' > ', p_name, ' > ', p_name, ' ', p_partkey) AS full_path,
+       CASE WHEN p_size = 7 THEN 'seventh shelf' ELSE '' END AS boundary_note
+FROM {part}""",
+    "fx_part_orders": """
+SELECT o.o_orderkey AS transaction_id,
+       CASE WHEN o.o_orderkey % 5 = 0 THEN concat(p.p_name, ' ', p.p_brand)
+            WHEN o.o_orderkey % 5 = 1 THEN concat('seventh ', split_part(p.p_name, ' ', 2), ' ', p.p_type)
+            ELSE concat(p.p_name, ' ', p.p_partkey, ', ', o.o_orderpriority) END AS text
+FROM {orders} o JOIN {part} p ON p.p_partkey = o.o_custkey % (SELECT count(*) FROM {part})""",
     "fx_base": """
 SELECT o.o_orderkey AS transaction_id, p.p_type AS t1, split_part(p.p_name, ' ', 1) AS t2,
        split_part(p.p_name, ' ', 2) AS t3, p.p_name AS t4, s.s_name AS vendor,

@@ -95,6 +95,17 @@ cand AS MATERIALIZED (
   JOIN leaf ON leaf.ordinal = c.ordinal)"""
 
 
+#: The default lexicon as a table.
+DEFAULT_SYNONYMS = "default_synonyms AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{key}', '{token}')" for key, words in fv.SYNONYMS.items() for token in words) + ") AS s(syn_key, token))"
+
+
+def retrieval_of(texts: str, taxonomy: str = "fx_taxonomy", synonyms: str = "fx_synonyms", top_n: int = 7) -> str:
+    """:func:`retrieval` for ``transaction_id, text`` of a query, another taxonomy or other synonyms."""
+    parts = retrieval(top_n).split(" FROM fx_transactions),", 1)
+    return f"q AS ({texts})," + parts[1].replace("fx_taxonomy", taxonomy).replace("fx_synonyms", synonyms)
+
+
 # First row per key, and whether the store answers it.
 RUN = """
 keyed AS MATERIALIZED (

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxoweave.operators.matching import substring_hits
-from taxoweave.operators.retrieval import TaxonomyIndex, expand_tokens, transaction_queries
-from taxoweave.plans.fixtures import LEXICON, duck_sql, view
-from taxoweave.plans.oracles import retrieval
+from taxoweave.operators.retrieval import Lexicon, TaxonomyIndex, expand_tokens, transaction_queries
+from taxoweave.plans.fixtures import LEXICON, duck_sql, table, view
+from taxoweave.plans.oracles import DEFAULT_SYNONYMS, retrieval, retrieval_of
 from taxoweave.plans.registry import query
 
 
@@ -97,3 +97,35 @@ def name_hits(spark, d):
     lowered = texts(spark, d).withColumn("text", F.lower("text"))
     needles = names.withColumn("needle", F.col("name"))
     return named(substring_hits(lowered, "text", needles, bounded=built.bounded)).drop("needle")
+
+
+# Whole documents against the taxonomy, with the default lexicon.
+@query(duck_sql("""
+SELECT q.transaction_id AS doc_id, c.branch, c.rank, c.ordinal, c.score, c.full_path FROM q JOIN cand c ON c.text = q.text""",
+                f"{DEFAULT_SYNONYMS}, " + retrieval_of(
+                    "SELECT doc_id AS transaction_id, coalesce(text, '') AS text FROM documents", synonyms="default_synonyms")))
+def retrieve_documents(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("query_id"), "text")
+    found = TaxonomyIndex(view(spark, d, "fx_taxonomy")).candidates(docs)
+    return found.select(F.col("query_id").alias("doc_id"), "branch", F.col("rank").cast("long").alias("rank"), "ordinal", "score", "full_path")
+
+
+# A taxonomy large enough to be ranked by bounds.
+@query(duck_sql("""
+SELECT q.transaction_id, c.branch, c.rank, c.ordinal, c.score, c.full_path FROM q JOIN cand c ON c.text = q.text""",
+                retrieval_of("SELECT transaction_id, text FROM fx_part_orders", "fx_parts")))
+def retrieve_parts(spark, d):
+    texts_of_orders = view(spark, d, "fx_part_orders").withColumnRenamed("transaction_id", "query_id")
+    found = named(TaxonomyIndex(view(spark, d, "fx_parts"), LEXICON).candidates(texts_of_orders))
+    return found.select("transaction_id", "branch", F.col("rank").cast("long").alias("rank"), "ordinal", "score", "full_path")
+
+
+# The default lexicon over whole documents.
+@query(duck_sql("""
+SELECT q.transaction_id AS doc_id, t.tokens FROM q JOIN (
+  SELECT text, string_agg(token, ' ' ORDER BY token) AS tokens FROM qt GROUP BY text) t ON t.text = q.text""",
+                f"{DEFAULT_SYNONYMS}, " + retrieval_of(
+                    "SELECT doc_id AS transaction_id, coalesce(text, '') AS text FROM documents", synonyms="default_synonyms")))
+def expanded_documents(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("query_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return expand_tokens(docs, Lexicon()).select(F.col("query_id").alias("doc_id"), F.array_join("tokens", " ").alias("tokens"))

@@ -25,9 +25,11 @@ def texts(spark):
 
 @pytest.mark.parametrize("top_n", [3, 7, 15])
 @pytest.mark.parametrize("limit", [R.BROADCAST_LEAVES, 0])
-def test_same_as_scoring_every_leaf(spark, taxonomy, monkeypatch, top_n, limit):
-    """Both join strategies give the result of comparing every text with every leaf."""
+@pytest.mark.parametrize("pruned", [R.PRUNED_LEAVES, 0])
+def test_same_as_scoring_every_leaf(spark, taxonomy, monkeypatch, top_n, limit, pruned):
+    """Both join strategies and both rankings give the result of comparing every text with every leaf."""
     monkeypatch.setattr(R, "BROADCAST_LEAVES", limit)
+    monkeypatch.setattr(R, "PRUNED_LEAVES", pruned)
     index = R.TaxonomyIndex(taxonomy, R.Lexicon(synonyms=SYNONYMS))
     assert index.bounded is (limit > 0)
     rows = texts(spark)
@@ -87,3 +89,59 @@ def test_long_notes_repeated_ordinals_and_null_texts(spark):
     twice = R.TaxonomyIndex(spark.createDataFrame([leaves[1], (2, "P", "Q", "R", "Sea", "y", "")], SCHEMA), R.Lexicon(synonyms={}))
     scores = twice.signals.groupBy("feature").agg(F.count_distinct("term").alias("terms"))
     assert scores.where("terms > 1").isEmpty()
+
+
+def wide_taxonomy(n, seed=3):
+    rng = random.Random(seed)
+    things, kinds, groups = [f"thing{i}" for i in range(n // 4)], [f"kind{i}" for i in range(40)], ["alpha", "beta", "gamma"]
+    out = []
+    for i in range(n):
+        levels = (rng.choice(groups), rng.choice(kinds), f"class{rng.randrange(200)}", " ".join(rng.sample(things, 2)))
+        out.append((i * 3, *levels, " > ".join(levels), rng.choice(["", "", "", "about " + rng.choice(things)])))
+    return out
+
+
+def test_ranking_by_bounds_opens_few_blocks(spark, monkeypatch):
+    from taxoweave.schemas import TAXONOMY as SCHEMA
+
+    leaves = wide_taxonomy(3_000)
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choices([w for leaf in rng.sample(leaves, 3) for w in leaf[5].split() if w != ">"], k=4))) for i in range(80)]
+    rows += [(100, "alpha"), (101, "beta gamma"), (102, "nothing"), (103, "kind1 alpha beta gamma"), (104, None)]
+    index = R.TaxonomyIndex(spark.createDataFrame(leaves, SCHEMA), R.Lexicon(synonyms={}))
+    queries = spark.createDataFrame(rows, "query_id bigint, text string")
+    found = {}
+    for row in index.candidates(queries, 15).collect():
+        found.setdefault(row.query_id, []).append((row.rank, row.ordinal, row.score))
+    for key, text in rows:
+        _, ranked = candidates(text or "", leaves, set(index.lexicon.stopwords), {}, 15)
+        assert [r[1:] for r in sorted(found[key])] == [tuple(r) for r in ranked], text
+    signatures = index.signatures(queries)
+    pairs = index.contenders(index._distinct(signatures)).count()
+    assert pairs < 0.1 * signatures.select("sig_a", "sig_b").distinct().count() * len(leaves)
+
+
+def test_needles_found_by_places_alone(spark):
+    """Tiles at their distances, in texts with repeats and letters beyond the first plane; no text is shuffled."""
+    rng = random.Random(5)
+    letters = ["a", "b", "\U0001F600", "\U0001F601", " ", "é"]
+    rows = [(i, "".join(rng.choices(letters, k=rng.randint(0, 40)))) for i in range(60)] + [(99, "abababababab")]
+    needles = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(60)] + ["abababab", "", "bab"]
+    needles = list(dict.fromkeys(needles))
+    df = spark.createDataFrame(rows, "id int, body string")
+    hits = substring_hits(df, "body", spark.createDataFrame([(n,) for n in needles], "needle string"), bounded=False)
+    assert sorted(map(tuple, hits.collect())) == sorted((i, n) for i, t in rows for n in needles if n and n in t)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in plan.splitlines() if "body" in line]
+    assert "Exchange" in plan and all("Exchange" not in line for line in exchanged)
+
+
+def test_large_lexicons_are_not_broadcast(spark, monkeypatch):
+    rows = [(1, "digital twin temp"), (2, "salesforce"), (3, "nothing"), (4, None)]
+    queries = spark.createDataFrame(rows, "query_id bigint, text string")
+    lexicon = R.Lexicon(synonyms=SYNONYMS)
+    small = {r.query_id: r.tokens for r in R.expand_tokens(queries, lexicon).collect()}
+    monkeypatch.setattr(R, "BROADCAST_LEAVES", 0)
+    assert not lexicon.bounded
+    assert {r.query_id: r.tokens for r in R.expand_tokens(queries, lexicon).collect()} == small
+    assert small[1] == ["compute", "contractors", "digital", "staff", "temp", "twin"]
