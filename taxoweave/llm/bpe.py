@@ -30,6 +30,10 @@ CACHED_LENGTH = 64
 #: Rows and characters after which a worker hands over a batch.
 BATCH_ROWS = 2_000
 BATCH_CHARS = 1_000_000
+#: Letters up to which a word's lowest rank is searched for directly.
+SHORT = 64
+#: Words merged side by side.
+SIDE_BY_SIDE = 50_000
 NEVER = np.iinfo(np.int64).max
 
 # White space of the vocabulary's patterns, and the contractions that are words of their own.
@@ -37,11 +41,11 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 
 
-def _char_class(kind: str) -> str:
-    """The code points whose general category starts with ``kind``, as ranges of a character class."""
+def _char_class(kind: str, end: int) -> str:
+    """The code points up to ``end`` whose general category starts with ``kind``, as ranges of a character class."""
     parts, start = [], None
-    for code in range(sys.maxunicode + 2):
-        inside = code <= sys.maxunicode and unicodedata.category(chr(code))[0] == kind
+    for code in range(end + 2):
+        inside = code <= end and unicodedata.category(chr(code))[0] == kind
         if inside and start is None:
             start = code
         elif not inside and start is not None:
@@ -57,10 +61,20 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of words one behind the other, and where each word starts and ends."""
+    spelled = [w.encode() for w in words]
+    ends = np.cumsum(np.fromiter(map(len, spelled), np.int64, len(words)))
+    letters = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64)
+    return letters, np.concatenate([[0], ends[:-1]]), ends
+
+
 class WordBpe:
     """A vocabulary with its merges, read from the JSON of a tokenizer file."""
 
-    def __init__(self, spec: str) -> None:
+    def __init__(self, spec: str, forms: tuple[str, ...] = ("text", "decoded")) -> None:
+        """``forms`` names what is remembered of a word: ``text`` (decimal ids), ``decoded`` or ``numbers`` (four bytes an id)."""
+        self.makers = [{"text": self.text, "decoded": self.decode, "numbers": self.numbers}[f] for f in forms]
         data = json.loads(spec)
         model = data["model"]
         suffix = model["end_of_word_suffix"]
@@ -69,17 +83,22 @@ class WordBpe:
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         self.inner = {t: i for t, i in vocab.items() if not t.endswith(suffix)}
         self.final = {t.removesuffix(suffix): i for t, i in vocab.items() if t.endswith(suffix)}
-        self.longest = max(map(len, [*self.inner, *self.final]))
+        self.byte_chars = _byte_chars()
+        self._index_letters()
+        self.decimals = [str(i) for i in range(max(self.tokens) + 1)]
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.ranks = {(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(pairs)}
+        self.rank_of = {(vocab[a], vocab[b]): r for r, (a, b) in enumerate(pairs)}
+        self.merged = [vocab[a + b] for a, b in pairs]
+        self.merged_ids = np.array(self.merged, np.int64)
         self._index_merges(max(self.tokens) + 1)
-        letters, numbers = _char_class("L"), _char_class("N")
-        self.words = re.compile(f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+")
+        # Classes that end at U+FFFF are tables for the pattern matcher, others lists of ranges.
+        self.words, self.plane_words = (
+            re.compile(f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+")
+            for letters, numbers in ((_char_class("L", end), _char_class("N", end)) for end in (sys.maxunicode, 0xFFFF)))
         self.ascii_words = re.compile(rf"{CONTRACTIONS}|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
-        self.byte_chars = _byte_chars()
-        self.cache: dict[str | int, tuple[int, str, str]] = {}
-        self.older: dict[str | int, tuple[int, str, str]] = {}
+        self.cache: dict[str | int, tuple] = {}
+        self.older: dict[str | int, tuple] = {}
 
     def _index_merges(self, size: int) -> None:
         """Arrays over tokens: whether a token encodes to itself, and the pieces along its left and right edge.
@@ -87,12 +106,12 @@ class WordBpe:
         ``spines[side][level]`` is ``(piece, end)``: a piece at that edge of the
         token, and the rank of the merge that takes it up.
         """
-        ordered = sorted((a << 32 | b, r) for (a, b), (r, _) in self.ranks.items())
+        ordered = sorted((a << 32 | b, r) for (a, b), r in self.rank_of.items())
         self.keys = np.array([k for k, _ in ordered], np.int64)
         self.key_ranks = np.array([r for _, r in ordered], np.int64)
         made: dict[int, tuple[int, int, int]] = {}
-        for (a, b), (r, t) in self.ranks.items():
-            made.setdefault(t, (a, b, r))
+        for (a, b), r in self.rank_of.items():
+            made.setdefault(self.merged[r], (a, b, r))
         self.sound = np.ones(size, bool)
         spines = []
         for side in (0, 1):
@@ -111,7 +130,7 @@ class WordBpe:
         self.left_edge, self.right_edge = spines
         # The argument about borders needs merges that come after their parts.
         order = {t: r for t, (_, _, r) in made.items()}
-        late = all(order.get(a, -1) < r and order.get(b, -1) < r for (a, b), (r, _) in self.ranks.items())
+        late = all(order.get(a, -1) < r and order.get(b, -1) < r for (a, b), r in self.rank_of.items())
         for t, (a, b, r) in made.items():
             self.sound[t] = late
         if late:
@@ -150,58 +169,148 @@ class WordBpe:
                 good[look[crossed]] = False
         return good
 
-    def propose(self, word: str) -> list[int]:
-        """The greedy cut into the longest tokens."""
-        out, i, n = [], 0, len(word)
-        inner, final, longest = self.inner, self.final, self.longest
-        while i < n:
-            if n - i <= longest and word[i:] in final:
-                out.append(final[word[i:]])
-                return out
-            j = min(n - 1, i + longest)
-            while word[i:j] not in inner:
-                j -= 1
-            out.append(inner[word[i:j]])
-            i = j
+    def _index_letters(self) -> None:
+        """A trie over the bytes of all tokens: sorted edges, and the token that ends at each node inside and at the end of a word."""
+        code = {c: b for b, c in self.byte_chars.items()}
+        nodes: dict[str, int] = {"": 0}
+        edges = []
+        for token in [*self.inner, *self.final]:
+            for end in range(1, len(token) + 1):
+                if token[:end] not in nodes:
+                    nodes[token[:end]] = len(nodes)
+                    edges.append((nodes[token[: end - 1]] << 8 | code[token[end - 1]], nodes[token[:end]]))
+        edges.sort()
+        self.edge_keys, self.edge_nodes = (np.array(x, np.int64) for x in zip(*edges))
+        self.inner_at, self.final_at = (np.array([kind.get(prefix, -1) for prefix in nodes], np.int64) for kind in (self.inner, self.final))
+        self.inner_of, self.final_of = (np.array([kind[self.byte_chars[b]] for b in range(256)], np.int64) for kind in (self.inner, self.final))
+
+    def propose(self, letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The greedy cut into the longest tokens, of all words at once: ``tokens``, word after word, and each one's ``owner``.
+
+        Every step reads one more letter of every word; a word without a longer
+        token takes the longest it came by and goes on behind it.
+        """
+        owners, tokens = [], []
+        word = np.flatnonzero(starts < ends)
+        at, node = starts[word].copy(), np.zeros(len(word), np.int64)
+        best, behind = np.full(len(word), -1, np.int64), starts[word].copy()
+        while len(word):
+            end = ends[word]
+            key = node << 8 | letters[np.minimum(at, len(letters) - 1)]
+            place = np.minimum(np.searchsorted(self.edge_keys, key), len(self.edge_keys) - 1)
+            on = (self.edge_keys[place] == key) & (at < end)
+            node = np.where(on, self.edge_nodes[place], 0)
+            at = at + on
+            token = np.where(at == end, self.final_at[node], self.inner_at[node])
+            longer = on & (token >= 0)
+            best, behind = np.where(longer, token, best), np.where(longer, at, behind)
+            stop = np.flatnonzero(~on | (at == end))
+            if len(stop):
+                owners.append(word[stop])
+                tokens.append(best[stop])
+                at[stop], node[stop], best[stop] = behind[stop], 0, -1
+                live = at < end
+                if not live.all():
+                    word, at, node, best, behind = (x[live] for x in (word, at, node, best, behind))
+        if not owners:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(tokens)[order], owner[order]
+
+    def merge(self, words: str | list[str]) -> list:
+        """The exact encoding of a word, or of each of several: the pair of the lowest rank is merged first, the leftmost of equals.
+
+        Words of similar length are merged side by side, one merge each at a time.
+        """
+        if isinstance(words, str):
+            return self.merge([words])[0]
+        letters, starts, ends = _letters(words)
+        out: list = [None] * len(starts)
+        sizes = ends - starts
+        for low, high in ((0, 8), (8, 16), (16, 32), (32, SHORT)):
+            mine = np.flatnonzero((sizes > low) & (sizes <= high))
+            for part in (mine[k:k + SIDE_BY_SIDE] for k in range(0, len(mine), SIDE_BY_SIDE)):
+                for k, ids in zip(part.tolist(), self._merge_rows(letters, starts[part], sizes[part], high)):
+                    out[k] = ids
+        for k in np.flatnonzero(sizes > SHORT).tolist():
+            inside = letters[starts[k]:ends[k]]
+            out[k] = self._merge_long([*self.inner_of[inside[:-1]].tolist(), int(self.final_of[inside[-1]])])
         return out
 
-    def merge(self, word: str) -> list[int]:
-        """The exact encoding: the pair of the lowest rank is merged first, the leftmost of equals."""
-        ids = [self.inner[c] for c in word[:-1]] + [self.final[word[-1]]]
+    def _merge_rows(self, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int) -> list[list[int]]:
+        rows, span = np.arange(len(starts)), np.arange(width)
+        inside = span < sizes[:, None]
+        ids = np.where(inside, self.inner_of[letters[np.where(inside, starts[:, None] + span, 0)]], -1)
+        ids[rows, sizes - 1] = self.final_of[letters[starts + sizes - 1]]
+        ranks = np.full(ids.shape, NEVER)  # of each id and the one behind it
+        r, c = np.nonzero(inside[:, 1:])
+        ranks[r, c] = self._ranks(ids[r, c], ids[r, c + 1])
+        active = rows
+        while len(active):
+            at = ranks[active].argmin(axis=1)
+            rank = ranks[active, at]
+            some = rank != NEVER
+            active, at, rank = active[some], at[some], rank[some]
+            if not len(active):
+                break
+            for table, empty in ((ids, -1), (ranks, NEVER)):  # close the gap behind the merged id
+                part = table[active]
+                shifted = np.concatenate([part[:, 1:], np.full((len(active), 1), empty)], axis=1)
+                table[active] = np.where(span > at[:, None], shifted, part)
+            ids[active, at] = self.merged_ids[rank]
+            last = np.minimum(at + 1, width - 1)
+            right = np.where(at + 1 < width, ids[active, last], -1)
+            ranks[active, at] = np.where(right >= 0, self._ranks(ids[active, at], right), NEVER)
+            left = at > 0
+            a, k = active[left], at[left]
+            ranks[a, k - 1] = self._ranks(ids[a, k - 1], ids[a, k])
+        left_over = ids >= 0
+        return [x.tolist() for x in np.split(ids[left_over], np.cumsum(left_over.sum(axis=1))[:-1])]
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.key_ranks[at], NEVER)
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same by a heap of pairs, for words whose length makes a search for the lowest rank slow."""
         after = [*range(1, len(ids)), -1]
         prior = [-1, *range(len(ids) - 1)]
-        heap = [(self.ranks[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.ranks]
+        heap = [(self.rank_of[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.rank_of]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            rank, i, pair = heapq.heappop(heap)
             j = after[i]
             if j < 0 or (ids[i], ids[j]) != pair:
                 continue
-            ids[i], ids[j] = self.ranks[pair][1], -1
+            ids[i], ids[j] = self.merged[rank], -1
             after[i] = after[j]
             if after[j] >= 0:
                 prior[after[j]] = i
             for left, right in ((prior[i], i), (i, after[i])):
-                if left >= 0 and right >= 0 and (p := (ids[left], ids[right])) in self.ranks:
-                    heapq.heappush(heap, (self.ranks[p][0], left, p))
+                if left >= 0 and right >= 0 and (p := (ids[left], ids[right])) in self.rank_of:
+                    heapq.heappush(heap, (self.rank_of[p], left, p))
         return [t for t in ids if t >= 0]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Token ids of words as the pre-tokenizer cuts them."""
-        spelled = [w if w.isascii() and w.isprintable() else "".join(map(self.byte_chars.__getitem__, w.encode())) for w in words]
-        cuts = [self.propose(w) for w in spelled]
-        flat = np.fromiter((t for c in cuts for t in c), np.int64)
-        ends = np.cumsum([len(c) for c in cuts])
-        failing = np.zeros(len(cuts), bool)
-        owner = np.repeat(np.arange(len(cuts)), [len(c) for c in cuts])
-        failing[owner[~self.sound[flat]]] = True
-        inside = np.ones(max(len(flat) - 1, 0), bool)
-        inside[ends[:-1] - 1] = False
-        pairs, which = np.unique(flat[:-1][inside] << 32 | flat[1:][inside], return_inverse=True)
+        """Token ids of words as the pre-tokenizer cuts them; none is empty."""
+        letters, starts, ends = _letters(words)
+        tokens, owner = self.propose(letters, starts, ends)
+        failing = np.zeros(len(words), bool)
+        failing[owner[~self.sound[tokens]]] = True
+        inside = owner[:-1] == owner[1:]
+        pairs, which = np.unique(tokens[:-1][inside] << 32 | tokens[1:][inside], return_inverse=True)
         good = self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)[which]
         failing[owner[:-1][inside][~good]] = True
-        for k in np.flatnonzero(failing):
-            cuts[k] = self.merge(spelled[k])
+        counts = np.bincount(owner, minlength=len(words))
+        flat, stops = tokens.tolist(), np.cumsum(counts).tolist()
+        cuts = [flat[a:b] for a, b in zip([0, *stops], stops)]
+        wrong = np.flatnonzero(failing)
+        if len(wrong):
+            for k, ids in zip(wrong.tolist(), self.merge([words[k] for k in wrong])):
+                cuts[k] = ids
         return cuts
 
     def cut(self, text: str) -> list[str | int]:
@@ -216,11 +325,12 @@ class WordBpe:
             else:
                 # Lower case goes letter by letter, so a sigma has no final form.
                 lower = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                out += self.words.findall(lower)
+                first_plane = len(lower.encode("utf-16-le")) == 2 * len(lower)
+                out += (self.plane_words if first_plane else self.words).findall(lower)
         return out
 
-    def look_up(self, texts: list[list[str | int]]) -> dict[str | int, tuple[int, str, str]]:
-        """For each word of the texts: number of ids, ids, and their decoded form."""
+    def look_up(self, texts: list[list[str | int]]) -> dict[str | int, tuple]:
+        """For each word of the texts: the number of its ids, then its forms."""
         if len(self.cache) > CACHED_WORDS:  # words still in use come back from the older half
             self.cache, self.older = {}, self.cache
         wanted = set().union(*texts) - self.cache.keys()
@@ -233,8 +343,16 @@ class WordBpe:
             (self.cache if len(w) <= CACHED_LENGTH else long)[w] = self._entry(ids)
         return _Layered(long, self.cache) if long else self.cache
 
-    def _entry(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+    def _entry(self, ids: list[int]) -> tuple:
+        return len(ids), *(make(ids) for make in self.makers)
+
+    def text(self, ids: list[int]) -> str:
+        """The ids in decimal digits, joined by one space."""
+        return " ".join(map(self.decimals.__getitem__, ids))
+
+    def numbers(self, ids: list[int]) -> bytes:
+        """The ids as 32-bit numbers."""
+        return np.array(ids, np.int32).tobytes()
 
     def decode(self, ids: list[int]) -> str:
         """The tokens' texts joined by one space, for the vocabulary names no decoder."""
@@ -252,14 +370,15 @@ class _Layered(dict):
         return self.rest[key]
 
 
-_MODELS: dict[str, WordBpe] = {}
+_MODELS: dict[tuple, WordBpe] = {}
 
 
-def _model(spec: str) -> WordBpe:
-    """The vocabulary of this worker, read once."""
-    key = hashlib.md5(spec.encode()).hexdigest()
+def _model(spec: str, forms: tuple[str, ...]) -> WordBpe:
+    """The vocabulary of this worker, read once; only the last one asked for is kept."""
+    key = (hashlib.md5(spec.encode()).hexdigest(), forms)
     if key not in _MODELS:
-        _MODELS[key] = WordBpe(spec)
+        _MODELS.clear()
+        _MODELS[key] = WordBpe(spec, forms)
     return _MODELS[key]
 
 
@@ -300,23 +419,27 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col), or_empty(text_col).alias("text"))
     key = rows.schema[0].dataType.simpleString()
 
+    form_of = {"ids": "numbers", "ids_sha256": "text", "decoded": "decoded", "decoded_sha256": "decoded"}
+    forms = tuple(dict.fromkeys(form_of[c] for c in columns if c in form_of))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(spec)
+        model = _model(spec, forms)
         for keys, texts in _slices(batches):
             cut = [model.cut(t) for t in texts]
             entry = model.look_up(cut)
             found = [[entry[w] for w in words] for words in cut]
+            sizes = [sum(e[0] for e in row) for row in found]
             out = {}
             for name in columns:
+                place = 1 + forms.index(form_of[name]) if name in form_of else 0
                 if name == "n_tokens":
-                    out[name] = pa.array([sum(e[0] for e in row) for row in found], pa.int64())
-                elif name.startswith("ids"):
-                    joined = [" ".join([e[1] for e in row]) for row in found]
-                    out[name] = pa.array(map(_sha256, joined)) if name == "ids_sha256" else pa.array(
-                        [np.array(x.split(), np.int32) for x in joined], pa.list_(pa.int32()))
+                    out[name] = pa.array(sizes, pa.int64())
+                elif name == "ids":
+                    flat = np.frombuffer(b"".join([e[place] for row in found for e in row]), np.int32)
+                    out[name] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat))
                 else:
-                    joined = [" ".join([e[2] for e in row]) for row in found]
-                    out[name] = pa.array(map(_sha256, joined) if name == "decoded_sha256" else joined, pa.string())
+                    joined = (" ".join([e[place] for e in row]) for row in found)
+                    out[name] = pa.array(joined if name == "decoded" else map(_sha256, joined), pa.string())
             yield pa.RecordBatch.from_arrays([keys, *out.values()], [id_col, *out])
 
     return rows.mapInArrow(run, ", ".join([f"`{id_col}` {key}", *(f"{c} {kinds[c]}" for c in columns)]))

@@ -78,3 +78,34 @@ def test_query_equals_the_library(spark, folder, library):
         assert r.n_tokens == len(want)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_side_by_side_merging_equals_the_heap(model):
+    rng = random.Random(5)
+    letters = "etaoinsrhlé'%zqж😀"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 50))) for _ in range(800)]
+    for word, ids in zip(words, model.merge(words)):
+        raw = word.encode()
+        assert ids == model._merge_long([*model.inner_of[list(raw[:-1])].tolist(), int(model.final_of[raw[-1]])])
+
+
+def test_only_failing_words_are_merged(model):
+    merged = []
+    exact = model.merge
+    model.merge = lambda words: merged.extend(words) or exact(words)
+    words = [t for t in list(model.final)[600:4000] if t.isascii() and t.isalpha()]
+    try:
+        pairs = [a + b for a, b in zip(words, words[1:])]
+        model.encode_words(pairs)
+    finally:
+        model.merge = exact
+    assert 0 < len(merged) < len(pairs) and set(merged) <= set(pairs)
+
+
+def test_columns_and_long_texts(spark, library):
+    text = "some words, and längere Wörter 12 " * 60_000
+    df = spark.createDataFrame([(1, text), (1, text), (2, "x")], "doc_id long, text string")
+    want = library.encode(text, add_special_tokens=False).ids
+    rows = bpe.encode(df, PATH, columns=("ids", "n_tokens")).collect()
+    assert sorted(r.n_tokens for r in rows) == [1, len(want), len(want)]
+    assert all(r.ids == want for r in rows if r.doc_id == 1)
