@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from taxoweave import fixed_values as fv
 from taxoweave.functions.text import cache_key, is_error, present
-from taxoweave.operators.joins import global_position, hot_key_join
+from taxoweave.operators.joins import global_position, hot_key_join, one_row_per_key
 from taxoweave.schemas import RESULT_BODY
 
 BODY = RESULT_BODY.fieldNames()
@@ -21,18 +21,19 @@ def with_key(transactions: DataFrame) -> DataFrame:
 def first_rows(transactions: DataFrame) -> DataFrame:
     """The first transaction (lowest id) of every key, with its number of rows.
 
-    Aggregated before the shuffle, so copies of a hot key meet as one row per
-    input partition.
+    Ids and counts are aggregated before the shuffle; the rows are looked up.
     """
-    row = F.struct("transaction_id", "spend_description", "vendor", "source_type")
-    return (
-        with_key(transactions)
-        .groupBy("cache_key")
-        .agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("n_rows"))
-        .select("cache_key", "first.*", "n_rows")
+    rows = with_key(transactions.select("transaction_id", "spend_description", "vendor", "source_type"))
+    return one_row_per_key(rows, ["cache_key"], "transaction_id", count="n_rows").select(
+        "cache_key", "transaction_id", "spend_description", "vendor", "source_type", "n_rows"
     )
 
 
+def rows_per_key(transactions: DataFrame) -> DataFrame:
+    """``(cache_key, n_rows)``."""
+    return with_key(transactions).groupBy("cache_key").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def usable(store: DataFrame) -> DataFrame:
     """Stored results that count as classified."""
     return store.filter(present(F.col("l1")))
@@ -75,23 +76,24 @@ def store_hits(transactions: DataFrame, store: DataFrame) -> DataFrame:
     keyed = with_key(transactions)
     return hot_key_join(
         keyed.select("transaction_id", "cache_key"), usable(store), ["cache_key"],
-        counts=first_rows(transactions), rows="n_rows", spread=["transaction_id"], how="inner",
+        counts=rows_per_key(transactions), rows="n_rows", spread=["transaction_id"], how="inner",
     )
 
 
-def upsert_store(store: DataFrame, results: DataFrame) -> DataFrame:
-    """The store after a run: good new results replace stored ones by key.
+def newest_good(results: DataFrame) -> DataFrame:
+    """What a run adds to the store: its good results, of several per key the one with the highest id.
 
     ``results`` carries ``cache_key``; rows with an error or without ``l1`` do
-    not enter, and the transaction id is not part of the stored identity. Of
-    several results per key the one with the highest id stays.
+    not enter, and the transaction id is not part of the stored identity.
     """
     good = results.filter(~is_error(F.col("api_error")) & present(F.col("l1")))
-    latest = (
-        good.groupBy("cache_key")
-        .agg(F.max(F.struct("transaction_id", *BODY)).alias("last"))
-        .select("cache_key", *[F.col(f"last.{c}").alias(c) for c in BODY])
-    )
+    rows = good.select("cache_key", "transaction_id", *BODY)
+    return one_row_per_key(rows, ["cache_key"], "transaction_id", last=True).select("cache_key", *BODY)
+
+
+def upsert_store(store: DataFrame, results: DataFrame) -> DataFrame:
+    """The store after a run: good new results replace stored ones by key."""
+    latest = newest_good(results)
     kept = store.select("cache_key", *BODY).join(latest.select("cache_key"), "cache_key", "left_anti")
     return kept.unionByName(latest)
 
@@ -117,7 +119,7 @@ def merge_results(transactions: DataFrame, new: DataFrame, store: DataFrame) ->
     )
     by_id = with_key(transactions).select("transaction_id", "cache_key").join(fresh, "transaction_id", "left")
     by_key = hot_key_join(
-        by_id, stored, ["cache_key"], counts=first_rows(transactions), rows="n_rows", spread=["transaction_id"]
+        by_id, stored, ["cache_key"], counts=rows_per_key(transactions), rows="n_rows", spread=["transaction_id"]
     )
     fields = [*BODY, "api_error", "from_cache"]
     return by_key.select(

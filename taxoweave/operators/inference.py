@@ -92,11 +92,10 @@ def classify_batches(rows: DataFrame, factory: Callable[[], Classify]) -> DataFr
     return answers.join(tops, "transaction_id", "left").withColumn("retrieved_taxonomy", chosen).drop("top_path")
 
 
-def top_candidate_answers(rows: DataFrame, index: TaxonomyIndex) -> DataFrame:
-    """``(batch_no, response, error)``: the offline default, without Python.
+def _first_candidates(rows: DataFrame, index: TaxonomyIndex) -> DataFrame:
+    """Rows with the levels of their first candidate, a reason, a confidence and a review flag.
 
-    Answers every transaction with its first candidate. Confidence follows the
-    cut-off branch, and weak matches ask for review.
+    Confidence follows the cut-off branch, and weak matches ask for review.
     """
     leaf = index.taxonomy.select("full_path", *[F.col(c).alias(c.lower()) for c in ("L1", "L2", "L3", "L4")])
     # Paths may repeat in a taxonomy; the default needs one row per path.
@@ -104,15 +103,24 @@ def top_candidate_answers(rows: DataFrame, index: TaxonomyIndex) -> DataFrame:
     topped = dimension_join(
         rows.withColumn("full_path", F.get("raw_paths", F.lit(0))), leaf, ["full_path"], bounded=index.bounded, how="left"
     )
-    item = F.struct(
-        "transaction_id", "l1", "l2", "l3", "l4",
-        F.lit("first candidate").alias("classification_reason"),
-        F.when(F.col("branch") == "strong", "HIGH").when(F.col("branch") == "moderate", "MEDIUM").otherwise("LOW")
-        .alias("confidence_level"),
-        (F.col("branch") == "weak").alias("human_review_required"),
-    )
-    gathered = topped.groupBy("batch_no").agg(
-        F.sort_array(F.collect_list(F.struct("transaction_id", F.to_json(item).alias("item")))).alias("items")
+    return topped.withColumns({
+        "classification_reason": F.lit("first candidate"),
+        "confidence_level": F.when(F.col("branch") == "strong", "HIGH").when(F.col("branch") == "moderate", "MEDIUM").otherwise("LOW"),
+        "human_review_required": F.col("branch") == "weak",
+    })
+
+
+_ANSWER = ["l1", "l2", "l3", "l4", "classification_reason", "confidence_level", "human_review_required"]
+
+
+def top_candidate_answers(rows: DataFrame, index: TaxonomyIndex) -> DataFrame:
+    """``(batch_no, response, error)``: the offline default, without Python.
+
+    Answers every transaction of a batch with its first candidate.
+    """
+    item = F.to_json(F.struct("transaction_id", *_ANSWER))
+    gathered = _first_candidates(rows, index).groupBy("batch_no").agg(
+        F.sort_array(F.collect_list(F.struct("transaction_id", item.alias("item")))).alias("items")
     )
     body = F.array_join(F.transform("items", lambda i: i["item"]), ",")
     return gathered.select(
@@ -122,6 +130,13 @@ def top_candidate_answers(rows: DataFrame, index: TaxonomyIndex) -> DataFrame:
     )
 
 
+def top_candidate_objects(rows: DataFrame, index: TaxonomyIndex) -> DataFrame:
+    """``(transaction_id, response, error)``: the same, one response per transaction."""
+    return _first_candidates(rows, index).select(
+        "transaction_id", F.to_json(F.struct(*_ANSWER)).alias("response"), F.lit(None).cast("string").alias("error")
+    )
+
+
 def first_path_classifier() -> Classify:
     """The same default as a batch function, for the pandas hook."""
 

@@ -79,6 +79,26 @@ def hot_key_join(
     return salted.drop("_salts").join(copies.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
+def one_row_per_key(df: DataFrame, keys: Sequence[str], order: str, *, last: bool = False, count: str | None = None) -> DataFrame:
+    """Of the rows of each key the one with the lowest ``order`` number, or the highest if ``last``.
+
+    Keys travel as two hashes, and a row as its order and a hash of itself in one
+    number, which decides between rows of the same order; the row is then looked
+    up. So only numbers are aggregated, by hash and before the shuffle. ``count``
+    names a column for the number of rows of the key.
+    """
+    weight = F.lit(1 << 62).cast("decimal(19,0)")
+    itself = F.shiftrightunsigned(F.xxhash64(*df.columns), 2)
+    packed = F.col(order).cast("decimal(19,0)") * weight + itself
+    marked = df.withColumns({"_key_a": F.xxhash64(*keys), "_key_b": F.xxhash64(F.lit(1), *keys), "_row": packed})
+    found = [F.max("_row").alias("_row") if last else F.min("_row").alias("_row")]
+    if count:
+        found.append(F.count(F.lit(1)).alias(count))
+    chosen = marked.groupBy("_key_a", "_key_b").agg(*found)
+    # Rows that are equal in everything meet here once.
+    return marked.join(chosen, ["_key_a", "_key_b", "_row"]).distinct().drop("_key_a", "_key_b", "_row")
+
+
 def global_position(df: DataFrame, order: str, buckets: int = 256) -> DataFrame:
     """Add ``position``: 0, 1, 2, ... in ascending order of a unique number.
 

@@ -22,6 +22,12 @@ class PromptStyle:
         "purchase bundles several services or no path fits.\n"
         "Answer every purchase, and keep its transaction_id."
     )
+    single_task: str = (
+        "You sort one purchase into a four-level taxonomy.\n"
+        "Choose one of the candidate paths and copy its wording; a boundary note binds.\n"
+        "Judge by what is bought; the vendor is context.\n"
+        "State HIGH, MEDIUM or LOW confidence, and answer with one JSON object."
+    )
     closing: str = (
         "Pick the path above that fits best. If the purchase is a bundle or no path fits,\n"
         "pick the closest and set human_review_required to true."
@@ -57,7 +63,7 @@ def single_prompts(rows: DataFrame, examples: DataFrame, style: PromptStyle = Pr
         return f"\n\n{RULE}\n{title}\n{RULE}\n"
 
     prompt = F.concat(
-        F.lit("Examples of correct classifications:\n\n"), few_shot_block(examples).scalar(),
+        F.lit(style.single_task + "\n\nExamples of correct classifications:\n\n"), few_shot_block(examples).scalar(),
         F.lit(heading("CANDIDATE TAXONOMY PATHS FOR THIS TRANSACTION")), candidate_block(F.col("paths")),
         F.lit(heading("TRANSACTION TO CLASSIFY")),
         F.lit("Spend Description: "), F.col("spend_description"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from taxoweave import fixed_values as fv
 from taxoweave.functions.text import path_of, present
 from taxoweave.operators.incremental import BODY
+from taxoweave.operators.joins import one_row_per_key
 from taxoweave.schemas import RESPONSE_ITEM, RESPONSE_LIST, RESPONSE_OBJECT
 
 FIELDS = RESPONSE_ITEM.fieldNames()
@@ -30,20 +31,29 @@ def response_items(response: Column) -> Column:
     return F.when(is_one_value(response), items)
 
 
+#: What makes a batch fail beside the documented cases.
+CUT_OFF = "JSONDecodeError: The response is cut off or followed by other text."
+UNUSABLE_ID = "ValueError: A transaction_id of the response is no whole number."
+
+
 def parse_responses(responses: DataFrame) -> DataFrame:
     """``(batch_no, error, items)``: a batch either has items or an error.
 
     A response that is no list of classifications, or that holds an item
-    without a usable id, spoils its whole batch.
+    without a usable id, spoils its whole batch; the error says which.
     """
-    parsed = responses.select("batch_no", "error", response_items(F.col("response")).alias("items"))
-    bad_id = F.exists("items", lambda i: i["transaction_id"].try_cast("bigint").isNull())
-    broken = F.col("items").isNull() | F.coalesce(bad_id, F.lit(False))
-    return parsed.select(
-        "batch_no",
-        F.when(F.col("error").isNotNull(), F.col("error")).when(broken, F.lit(fv.BAD_RESPONSE)).alias("error"),
-        F.when(F.col("error").isNull() & ~broken, F.col("items")).alias("items"),
+    parsed = responses.select("batch_no", "response", "error", response_items(F.col("response")).alias("items"))
+    no_id = F.coalesce(F.exists("items", lambda i: i["transaction_id"].isNull()), F.lit(False))
+    bad_id = F.coalesce(F.exists("items", lambda i: i["transaction_id"].try_cast("bigint").isNull()), F.lit(False))
+    opened = F.coalesce(F.ltrim("response").rlike(r"^[\[{]"), F.lit(False))
+    problem = (
+        F.when(F.col("items").isNull() & opened & ~is_one_value(F.col("response")), CUT_OFF)
+        .when(F.col("items").isNull(), fv.BAD_RESPONSE)
+        .when(no_id, fv.MISSING_ID)
+        .when(bad_id, UNUSABLE_ID)
     )
+    told = parsed.select("batch_no", F.coalesce("error", problem).alias("error"), "items")
+    return told.select("batch_no", "error", F.when(F.col("error").isNull(), F.col("items")).alias("items"))
 
 
 def explode_items(parsed: DataFrame) -> DataFrame:
@@ -60,10 +70,13 @@ def explode_items(parsed: DataFrame) -> DataFrame:
 
 
 def last_per_id(items: DataFrame) -> DataFrame:
-    """Of several answers to one id, the last one."""
-    rest = [c for c in items.columns if c not in ("batch_no", "item_no", "transaction_id")]
-    newest = F.max(F.struct("batch_no", "item_no", *rest)).alias("newest")
-    return items.groupBy("transaction_id").agg(newest).select("transaction_id", "newest.*")
+    """Of several answers to one id, the last one: of the highest batch, and there of the highest place.
+
+    Batch and place make one number; a batch holds fewer than 2**20 items.
+    """
+    order = F.col("batch_no") * F.lit(1 << 20) + F.col("item_no") + 1  # rows of failed batches have the place -1
+    newest = one_row_per_key(items.withColumn("_order", order), ["transaction_id"], "_order", last=True).drop("_order")
+    return newest.select("transaction_id", *[c for c in items.columns if c != "transaction_id"])
 
 
 def batch_results(batches: DataFrame, responses: DataFrame) -> DataFrame:
@@ -98,14 +111,14 @@ def batch_results(batches: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def conformance(responses: DataFrame) -> DataFrame:
-    """Check every item against the declared response schema.
+    """Check every item of well-formed responses against the declared response schema.
 
     ``(batch_no, item_no, has_required, confidence_allowed, no_extra_keys, conforms)``
     """
     items = F.from_json(
         F.coalesce(F.get_json_object("response", "$.classifications"), F.col("response")), "array<string>"
     )
-    rows = responses.select("batch_no", F.posexplode(items).alias("item_no", "item"))
+    rows = responses.filter(is_one_value(F.col("response"))).select("batch_no", F.posexplode(items).alias("item_no", "item"))
     # Items that came back as text are parsed one by one.
     parsed = rows.select("batch_no", "item_no", F.from_json("item", RESPONSE_ITEM).alias("f"), F.json_object_keys("item").alias("keys"))
     required = F.lit(True)
@@ -125,7 +138,7 @@ def conformance(responses: DataFrame) -> DataFrame:
 
 def parse_single(responses: DataFrame) -> DataFrame:
     """One object per response (the single-transaction lane) as result columns."""
-    item = F.from_json("response", RESPONSE_ITEM)
+    item = F.when(is_one_value(F.col("response")), F.from_json("response", RESPONSE_ITEM))
     rows = responses.select("transaction_id", "top_path", "error", item.alias("f"))
     flag = F.col("f.human_review_required").try_cast("boolean")
     failed = F.col("error").isNotNull() | ~present(F.coalesce(*[F.col(f"f.{c}") for c in FIELDS[1:]]))
@@ -139,3 +152,25 @@ def parse_single(responses: DataFrame) -> DataFrame:
         F.when(failed, F.coalesce("error", F.lit(fv.BAD_RESPONSE))).alias("api_error"),
         F.lit(False).alias("from_cache"),
     )
+
+
+def quarantine(results: DataFrame) -> DataFrame:
+    """New results with an error on those that break the response schema.
+
+    A result must have all four levels, a reason, an allowed confidence and a
+    review flag. Others keep what was answered, ask for review and carry
+    ``api_error``, which keeps them out of the store.
+    """
+    missing = [F.when(~present(F.col(c)), F.lit(c)) for c in ("l1", "l2", "l3", "l4", "classification_reason")]
+    wrong = [
+        *missing,
+        F.when(~F.coalesce(F.col("confidence_level").isin(fv.CONFIDENCE_LEVELS), F.lit(False)), F.lit("confidence_level")),
+        F.when(F.col("human_review_required").isNull(), F.lit("human_review_required")),
+    ]
+    broken = F.array_compact(F.array(*wrong))
+    held = F.col("api_error").isNull() & (F.size(broken) > 0)
+    note = F.concat(F.lit("ValueError: The result breaks the response schema: "), F.array_join(broken, ", "))
+    return results.withColumns({
+        "human_review_required": F.when(held, F.lit(True)).otherwise(F.col("human_review_required")),
+        "api_error": F.when(held, note).otherwise(F.col("api_error")),
+    })

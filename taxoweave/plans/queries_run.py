@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from taxoweave.operators import incremental, inference, prompting, responses
 from taxoweave.operators.inference import first_path_classifier
 from taxoweave.operators.retrieval import transaction_queries
 from taxoweave.plans import classify as runs
-from taxoweave.plans.fixtures import LEXICON, duck_sql, view
+from taxoweave.plans.fixtures import LEXICON, duck_sql, table, view
 from taxoweave.plans.oracles import DEFAULT_RUN, RUN, retrieval
 from taxoweave.plans.queries_retrieval import index
 from taxoweave.plans.registry import query
@@ -160,27 +162,47 @@ def store_upsert(spark, d):
 _NEW = "transaction_id, l1, l2, l3, l4, classification_reason, confidence_level, human_review_required, retrieved_taxonomy"
 
 
+def classified_now(spark, d, settings, **hooks):
+    """The rows of a whole run that did not come from the store."""
+    results = runs.classify(transactions(spark, d), index(spark, d), seeded_store(spark, d), settings, **hooks)
+    return results.filter("NOT from_cache")
+
+
 @query(duck_sql(f"SELECT {_NEW} FROM fresh", DEFAULT_RUN))
 def batch_hook(spark, d):
-    answers = inference.classify_batches(batches(spark, d), first_path_classifier)
-    return answers.select(_NEW.split(", "))
+    return classified_now(spark, d, SETTINGS, frame=first_path_classifier).select(_NEW.split(", "))
 
 
 @query(duck_sql(f"SELECT {_NEW} FROM fresh", DEFAULT_RUN))
 def single_row_lane(spark, d):
-    rows = batches(spark, d, 1).join(view(spark, d, "fx_taxonomy").select(
-        F.col("full_path"), *[F.col(c).alias(c.lower()) for c in ("L1", "L2", "L3", "L4")]
-    ), F.col("full_path") == F.get("raw_paths", F.lit(0)))
-    body = F.to_json(F.struct(
-        "l1", "l2", "l3", "l4", F.lit("first candidate").alias("classification_reason"),
-        F.when(F.col("branch") == "strong", "HIGH").when(F.col("branch") == "moderate", "MEDIUM").otherwise("LOW")
-        .alias("confidence_level"), (F.col("branch") == "weak").alias("human_review_required"),
-    ))
-    answers = rows.select(
-        "transaction_id", F.get("raw_paths", F.lit(0)).alias("top_path"),
-        F.lit(None).cast("string").alias("error"), body.alias("response"),
-    )
-    return responses.parse_single(answers).select(_NEW.split(", "))
+    return classified_now(spark, d, replace(SETTINGS, lane="single")).select(_NEW.split(", "))
+
+
+def _careless():
+    """A model that forgets a level, or writes a confidence in lower case, for two kinds of purchases."""
+    answer = first_path_classifier()
+
+    def classify(batch):
+        found = answer(batch)
+        found.loc[batch["spend_description"].str.contains("URGENT"), "confidence_level"] = "low"
+        found.loc[batch["spend_description"].str.contains("HIGH"), "l3"] = None
+        return found
+
+    return classify
+
+
+# Results that break the response schema become error rows; only the others enter the store.
+@query(duck_sql("""
+SELECT n.transaction_id, f.l1, CASE WHEN contains(n.spend_description, 'HIGH') THEN NULL ELSE f.l3 END AS l3, f.l4,
+       f.human_review_required OR contains(n.spend_description, 'HIGH') OR contains(n.spend_description, 'URGENT') AS human_review_required,
+       CASE WHEN contains(n.spend_description, 'HIGH') THEN 'ValueError: The result breaks the response schema: l3'
+            WHEN contains(n.spend_description, 'URGENT') THEN 'ValueError: The result breaks the response schema: confidence_level'
+       END AS api_error
+FROM needed n JOIN fresh f ON f.transaction_id = n.transaction_id""", DEFAULT_RUN))
+def quarantined_results(spark, d):
+    results = classified_now(spark, d, replace(SETTINGS, enforce_schema=True), frame=_careless)
+    return results.filter("coalesce(api_error, '') <> 'No classification result returned.'").select(
+        "transaction_id", "l1", "l3", "l4", "human_review_required", "api_error")
 
 
 def _refuses_urgent():
@@ -232,7 +254,7 @@ _HEAD = f"chr(10) || chr(10) || '{prompting.RULE}' || chr(10) || '%s' || chr(10)
 
 
 @query(duck_sql(f"""
-SELECT t.transaction_id, concat('Examples of correct classifications:', chr(10), chr(10), (SELECT block FROM shots),
+SELECT t.transaction_id, concat({_lit(_STYLE.single_task)}, chr(10), chr(10), 'Examples of correct classifications:', chr(10), chr(10), (SELECT block FROM shots),
   {_HEAD % 'CANDIDATE TAXONOMY PATHS FOR THIS TRANSACTION'}, c.lines,
   {_HEAD % 'TRANSACTION TO CLASSIFY'}, 'Spend Description: ', t.spend_description, chr(10),
   'Vendor / Supplier: ', t.vendor, chr(10), 'Source Type: ', t.source_type,
@@ -358,15 +380,21 @@ def _as_stream(spark, d):
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
-@query(duck_sql("SELECT transaction_id, l1, l2, l3, l4, retrieved_taxonomy FROM merged", DEFAULT_RUN))
+# Two arrivals, even and odd ids, one micro-batch each: what the first one learnt, the second finds in the store.
+@query(duck_sql("""
+SELECT m.transaction_id, m.l1, m.l2, m.l3, m.l4, m.retrieved_taxonomy, CAST(NULL AS VARCHAR) AS api_error,
+       a.first_id IS NULL AS from_cache
+FROM merged m LEFT JOIN (
+  SELECT k.cache_key, coalesce(min(k.transaction_id) FILTER (k.transaction_id % 2 = 0), min(k.transaction_id)) AS first_id
+  FROM keyed k WHERE k.cache_key IN (SELECT cache_key FROM needed) GROUP BY k.cache_key) a ON a.first_id = m.transaction_id""", DEFAULT_RUN))
 def stream_classify(spark, d):
-    output = scratch_path(spark, "stream-results")
-    stream = classify_stream(
-        _as_stream(spark, d), index(spark, d), seeded_store(spark, d), output,
-        scratch_path(spark, "stream-state"), SETTINGS,
-    )
-    stream.awaitTermination()
-    return spark.read.parquet(output).select("transaction_id", "l1", "l2", "l3", "l4", "retrieved_taxonomy")
+    arrivals, output, state = (scratch_path(spark, name) for name in ("arrivals", "stream-results", "stream-state"))
+    rows, built, store = transactions(spark, d), index(spark, d), seeded_store(spark, d)
+    for part in (0, 1):
+        rows.filter(F.col("transaction_id") % 2 == part).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(rows.schema).parquet(arrivals)
+        classify_stream(stream, built, store, output, state, SETTINGS).awaitTermination()
+    return spark.read.parquet(output).select("transaction_id", "l1", "l2", "l3", "l4", "retrieved_taxonomy", "api_error", "from_cache")
 
 
 @query(duck_sql("SELECT cache_key, spend_description, vendor FROM uniq", RUN))
@@ -374,3 +402,14 @@ def stream_unique(spark, d):
     output = scratch_path(spark, "stream-unique")
     unique_stream(_as_stream(spark, d), output, scratch_path(spark, "stream-state")).awaitTermination()
     return spark.read.parquet(output).select("cache_key", "spend_description", "vendor")
+
+
+# The same with keys that expire: all events of a user, type and day arrive together, so each is kept once.
+@query("SELECT DISTINCT user_id, event_type, date_trunc('day', ts)::DATE AS day FROM events")
+def stream_unique_events(spark, d):
+    path, output = scratch_path(spark, "arrivals"), scratch_path(spark, "stream-unique")
+    events = table(spark, d, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")).withColumn("day", F.to_date("ts"))
+    events.write.parquet(path)
+    stream = spark.readStream.schema(events.schema).parquet(path)
+    unique_stream(stream, output, scratch_path(spark, "stream-state"), keys=["user_id", "event_type", "day"], event_time="ts", delay="2 days").awaitTermination()
+    return spark.read.parquet(output).select("user_id", "event_type", "day")

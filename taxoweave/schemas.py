@@ -30,6 +30,8 @@ RESULTS = T.StructType(
     + RESULT_BODY.fields
     + _schema("api_error STRING, from_cache BOOLEAN").fields
 )
+# New results of a run: what is not yet known to come from the store.
+RUN_RESULTS = T.StructType([f for f in RESULTS.fields if f.name != "from_cache"])
 STORE = T.StructType([T.StructField("cache_key", T.StringType())] + RESULT_BODY.fields)
 GOLD = _schema(
     "transaction_id BIGINT, final_ground_truth_L1 STRING, final_ground_truth_L2 STRING, "
