@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -11,9 +14,11 @@ from pyspark.ml.feature import CountVectorizer, IDF, NGram, RegexTokenizer, SQLT
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from taxoweave import fixed_values as fv
-from taxoweave.session import settle
+from taxoweave.session import settle, ship_package
 
 # Runs of two or more letters, digits or underscores, in any script.
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -34,13 +39,8 @@ def terms(text: Column) -> Column:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """``(doc_id, term, tf)``.
-
-    The texts are shuffled by document once; exploded terms then meet where
-    they are, which moves less than shuffling every (document, term) pair.
-    """
-    placed = docs.select("doc_id", "text").repartition("doc_id")
-    exploded = placed.select("doc_id", F.explode(terms(F.col("text"))).alias("term"))
+    """``(doc_id, term, tf)``; the texts stay where they are, counts of terms travel."""
+    exploded = docs.select("doc_id", F.explode(terms(F.col("text"))).alias("term"))
     return exploded.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -79,36 +79,63 @@ def label_centroids(vectors: DataFrame) -> DataFrame:
     return gathered.select("label", F.transform("dims", lambda d: d["mean"]).alias("centroid"))
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
+
+def _cosines(vectors: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Cosines of all pairs; with a zero vector 0."""
+    sizes = np.linalg.norm(vectors, axis=1)[:, None] * np.linalg.norm(labels, axis=1)[None, :]
+    return np.divide(vectors @ labels.T, sizes, out=np.zeros(sizes.shape), where=sizes > 0)
+
+
 def nearest_labels(vectors: DataFrame, labels: DataFrame, top_k: int = 5) -> DataFrame:
-    """``(vec_id, rank, label, cosine)``: the closest labels of every vector.
+    """``(vec_id, rank, label, cosine)``: the closest labels of every vector, ties to the smaller label.
 
-    The labels are gathered into blocks of bounded size. A vector meets each
-    block once and leaves with that block's ``top_k``, so neither a pair per
-    label is shuffled nor the label table assumed to be small.
+    The labels go round in blocks of bounded size. In a round every task
+    multiplies its vectors with the block at once and keeps the ``top_k`` found so
+    far, so the vectors stay where they are and no key gathers them. Rows without
+    a vector have no labels.
     """
-    blocks = -(-labels.count() // LABELS_PER_BLOCK) or 1
-    centroid = F.col("centroid")
-    entry = F.struct("label", centroid.alias("v"), F.sqrt(_dot(centroid, centroid)).alias("norm"))
-    packed = (
-        labels.withColumn("block", F.pmod(F.xxhash64("label"), F.lit(blocks)).cast("int"))
-        .groupBy("block")
-        .agg(F.collect_list(entry).alias("entries"))
+    ship_package(vectors.sparkSession)
+    rounds = -(-labels.count() // LABELS_PER_BLOCK) or 1
+    dealt = settle(labels.withColumn("_block", F.pmod(F.xxhash64("label"), F.lit(rounds)).cast("int")), "labels")
+    kinds = dict(labels.dtypes) | dict(vectors.dtypes)
+    schema = f"vec_id {kinds['vec_id']}, embedding array<double>, best array<struct<minus:double,label:{kinds['label']}>>"
+    best_type = to_arrow_type(T.ArrayType(T.StructType([T.StructField("minus", T.DoubleType()), T.StructField("label", labels.schema["label"].dataType)])))
+
+    def meet(block: list) -> Callable:
+        """A function that holds vectors against one block."""
+        names = [r.label for r in block]
+        matrix = np.array([r.centroid for r in block], float)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for start in range(0, whole.num_rows, LABELS_PER_BLOCK):
+                    batch = whole.slice(start, LABELS_PER_BLOCK)
+                    minus = -_cosines(_matrix(batch.column("embedding")), matrix)
+                    # Names ascend, so a stable sort gives ties to the smaller one.
+                    order = minus.argsort(axis=1, kind="stable")[:, :top_k]
+                    found = [[(float(minus[i, k]), names[k]) for k in row] for i, row in enumerate(order)]
+                    merged = [
+                        sorted([*((e["minus"], e["label"]) for e in before), *now])[:top_k]
+                        for before, now in zip(batch.column("best").to_pylist(), found)
+                    ]
+                    listed = pa.array([[{"minus": m, "label": x} for m, x in row] for row in merged], best_type)
+                    yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), listed], ["vec_id", "embedding", "best"])
+
+        return run
+
+    state = vectors.filter(F.col("embedding").isNotNull()).select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("embedding"), F.from_json(F.lit("[]"), schema.split("best ")[1]).alias("best")
     )
-    vector = F.col("embedding").cast("array<double>")
-    probes = vectors.select(
-        "vec_id", vector.alias("v"), F.sqrt(_dot(vector, vector)).alias("norm"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    )
-    # One block holds at most LABELS_PER_BLOCK labels on average; one or two blocks are broadcast.
-    met = probes.join(F.broadcast(packed) if blocks <= 2 else packed, "block")
-    scored = F.transform(
-        "entries",
-        lambda e: F.struct((-_dot(F.col("v"), e["v"]) / (F.col("norm") * e["norm"])).alias("minus"), e["label"].alias("label")),
-    )
-    best = met.select("vec_id", F.inline(F.slice(F.array_sort(scored), 1, top_k)))
-    order = Window.partitionBy("vec_id").orderBy("minus", "label")
-    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k).select(
-        "vec_id", "rank", "label", (-F.col("minus")).alias("cosine")
+    for number in range(rounds):
+        block = sorted(dealt.filter(F.col("_block") == number).select("label", "centroid").collect(), key=lambda r: r.label)  # LABELS_PER_BLOCK rows on average
+        if block:
+            state = state.mapInArrow(meet(block), schema)
+            state = settle(state, "nearest") if rounds > 1 else state
+    return state.select("vec_id", F.posexplode("best").alias("place", "e")).select(
+        "vec_id", (F.col("place") + 1).alias("rank"), "e.label", (-F.col("e.minus")).alias("cosine")
     )
 
 
@@ -166,6 +193,68 @@ def hybrid_scores(
     )
 
 
+def rule_boosts(docs: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, object, float]]) -> DataFrame:
+    """``(doc_id, label)``: the labels that a rule boosts for a document."""
+    hits = F.array_compact(F.array(*[F.when(F.contains(F.lower("text"), F.lit(term)), F.lit(i)) for i, (term, _, _) in enumerate(rules)]))
+    kind = labels.schema["label"].dataType
+    target = F.get(F.array(*[F.lit(t).cast(kind) for _, t, _ in rules]), F.col("rule"))
+    return docs.select("doc_id", F.explode(hits).alias("rule")).select("doc_id", target.alias("label")).distinct()
+
+
+def hybrid_best(
+    docs: DataFrame,
+    vectors: DataFrame,
+    labels: DataFrame,
+    weights: DataFrame,
+    profiles: DataFrame,
+    rules: Sequence[tuple[str, object, float]],
+    bundled: tuple[str, str],
+    top_k: int = 5,
+) -> DataFrame:
+    """The ``top_k`` labels of every document by the hybrid score over *all* labels, with ``rank``.
+
+    A threshold search over three ranked lists: the nearest labels by cosine, the
+    largest TF-IDF overlaps, and the boosted labels, which are few and all taken.
+    A label in none of the lists' heads scores at most what the last ones of the
+    two heads do together; a document is done when its ``top_k`` th score beats
+    that, and the heads of the others are read twice as deep.
+    """
+    total = labels.count()
+    overlaps = settle(
+        weights.join(profiles.withColumnRenamed("weight", "profile"), "term")
+        .groupBy("doc_id", "label").agg(F.sum(F.col("weight") * F.col("profile")).alias("overlap")), "overlaps")
+    boosted = settle(rule_boosts(docs, labels, rules), "boosts")
+    w = fv.HYBRID_WEIGHTS
+    todo, depth, finished = vectors.join(docs.select(F.col("doc_id").alias("vec_id")), "vec_id", "left_semi"), top_k, []
+    by_overlap = Window.partitionBy("doc_id").orderBy(F.desc("overlap"), "label")
+    by_score = Window.partitionBy("doc_id").orderBy(F.desc("score"), "label")
+    while True:
+        ids = todo.select(F.col("vec_id").alias("doc_id"))
+        near = settle(nearest_labels(todo, labels, depth).withColumnRenamed("vec_id", "doc_id"), "near")
+        head = overlaps.join(ids, "doc_id", "left_semi").withColumn("place", F.row_number().over(by_overlap)).filter(F.col("place") <= depth)
+        others = head.select("doc_id", "label").unionByName(boosted.join(ids, "doc_id", "left_semi")).distinct().join(near, ["doc_id", "label"], "left_anti")
+        looked_up = others.join(todo.select(F.col("vec_id").alias("doc_id"), F.col("embedding").cast("array<double>").alias("v")), "doc_id").join(labels, "label")
+        size = F.sqrt(_dot(F.col("v"), F.col("v"))) * F.sqrt(_dot(F.col("centroid"), F.col("centroid")))
+        looked_up = looked_up.select("doc_id", "label", F.when(size > 0, _dot(F.col("v"), F.col("centroid")) / size).otherwise(0.0).alias("cosine"))
+        candidates = settle(near.select("doc_id", "label", "cosine").unionByName(looked_up), "candidates")
+        ranked = hybrid_scores(docs, candidates, weights, profiles, rules, bundled).withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= top_k)
+        last_near = near.filter(F.col("rank") == depth).select("doc_id", F.col("cosine").alias("unseen_cosine"))
+        last_head = head.filter(F.col("place") == depth).select("doc_id", F.col("overlap").alias("unseen_overlap"))
+        known = settle(ranked.join(last_near, "doc_id", "left").join(last_head, "doc_id", "left"), "ranked")
+        bound = F.col("unseen_cosine") * w["cosine"] + F.coalesce("unseen_overlap", F.lit(0.0)) * w["tfidf"]
+        beaten = known.filter((F.col("rank") == top_k) & (F.col("score") > bound)).select("doc_id")
+        if depth >= total:
+            finished.append(known)
+            break
+        beaten = settle(beaten, "beaten")
+        finished.append(known.join(beaten, "doc_id", "left_semi"))
+        todo = settle(todo.join(beaten.withColumnRenamed("doc_id", "vec_id"), "vec_id", "left_anti"), "todo")
+        if todo.isEmpty():
+            break
+        depth = min(2 * depth, total)
+    return reduce(DataFrame.unionByName, finished).drop("unseen_cosine", "unseen_overlap")
+
+
 # -- linear models -----------------------------------------------------------
 
 

@@ -81,6 +81,34 @@ def hybrid_scores(spark, d):
     return scores.withColumns({c: F.round(c, 6) for c in ("cosine", "tfidf", "boost", "score")})
 
 
+# Every label of every document is scored here; the library stops at a bound.
+@query(f"""
+WITH {_TFIDF},{_NEAREST},
+sums AS (SELECT e.label, t.term, sum(t.weight) AS s FROM tfidf t JOIN embeddings e ON e.vec_id = t.doc_id GROUP BY ALL),
+sizes AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+prof AS MATERIALIZED (
+  SELECT label, term, (s / n) / sqrt(sum((s / n) * (s / n)) OVER (PARTITION BY label)) AS weight
+  FROM sums JOIN sizes USING (label)),
+lap AS (
+  SELECT t.doc_id, p.label, sum(t.weight * p.weight) AS tfidf FROM tfidf t JOIN prof p ON p.term = t.term GROUP BY ALL),
+parts AS (
+  SELECT d.doc_id, n.label, n.cosine, coalesce(lap.tfidf, 0) AS tfidf,
+    {" + ".join(f"CASE WHEN contains(lower(d.text), '{t}') AND n.label = {l} THEN {b} ELSE 0 END" for t, l, b in BOOSTS)}
+      AS boost
+  FROM cos n JOIN documents d ON d.doc_id = n.vec_id LEFT JOIN lap ON lap.doc_id = d.doc_id AND lap.label = n.label),
+scored AS (SELECT *, 0.5 * cosine + 0.3 * tfidf + 0.2 * boost AS score FROM parts)
+SELECT doc_id, rank, label, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rank FROM scored) r WHERE rank <= 3""")
+def hybrid_best(spark, d):
+    docs, vectors = table(spark, d, "documents"), table(spark, d, "embeddings")
+    weights = settle(similarity.tfidf(docs), "weights")
+    labelled = vectors.select(F.col("vec_id").alias("doc_id"), "label")
+    profiles = settle(similarity.label_profiles(weights, labelled), "profiles")
+    centroids = settle(similarity.label_centroids(vectors), "centroids")
+    best = similarity.hybrid_best(docs, vectors, centroids, weights, profiles, BOOSTS, BUNDLED, top_k=3)
+    return best.select("doc_id", F.col("rank").cast("long").alias("rank"), "label", F.round("score", 6).alias("score"))
+
+
 def _predict(spark, d, kind, level):
     """Train on the names of the taxonomy, predict every transaction."""
     corpus = settle(similarity.label_corpus(view(spark, d, "fx_taxonomy"), level), "corpus")
