@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from taxoweave.session import settle
+
 # A hot key gets one salt per this many rows of the large side.
 ROWS_PER_SALT = 500_000
 
@@ -99,34 +100,49 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str], order: str, *, last: boo
     return marked.join(chosen, ["_key_a", "_key_b", "_row"]).distinct().drop("_key_a", "_key_b", "_row")
 
 
-def global_position(df: DataFrame, order: str, buckets: int = 256) -> DataFrame:
-    """Add ``position``: 0, 1, 2, ... in ascending order of a unique number.
+def numbered(df: DataFrame, groups: Sequence[str], order: str, name: str) -> DataFrame:
+    """Number rows 0, 1, 2, ... by ``groups`` and within a group by ``order``.
 
-    Approximate quantiles split the rows into ordered buckets of about equal
-    size; every bucket is numbered by itself and shifted by the size of the
-    buckets before it, so no task sorts the whole table. The quantiles only
-    place the cuts: the positions are exact wherever the cuts fall.
+    Every group is numbered by itself and shifted by the measured sizes of the
+    groups before it, so no task sorts the whole table. Groups are few: ranges
+    of a shuffle, or blocks of files.
     """
-    probes = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(order, probes, 0.5 / buckets)))
-    if not cuts:
-        return df.withColumn("position", F.lit(0).cast("long"))
-    binned = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="_order", outputCol="_bucket"
-    ).transform(df.withColumn("_order", F.col(order).cast("double")))
-    sizes = binned.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    # At most `buckets` rows, so one task and a broadcast are safe here.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_bucket").orderBy(order)
+    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*groups, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*groups).orderBy(order)
     return (
-        binned.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn("position", (F.col("_offset") + F.col("_rank") - 1).cast("long"))
-        .drop("_order", "_bucket", "_rank", "_offset")
+        df.withColumn("_rank", F.row_number().over(inside))
+        .join(offsets, list(groups))
+        .withColumn(name, (F.col("_offset") + F.col("_rank") - 1).cast("long"))
+        .drop("_rank", "_offset")
     )
 
 
+def global_position(df: DataFrame, order: str, buckets: int | None = None) -> DataFrame:
+    """Add ``position``: 0, 1, 2, ... in ascending order of a unique number.
+
+    A range shuffle puts the rows into ordered parts, as many as the session has
+    shuffle partitions or ``buckets``; the parts are written down and counted.
+    """
+    ranged = df.repartitionByRange(buckets, order) if buckets else df.repartitionByRange(order)
+    parts = settle(ranged.withColumn("_part", F.spark_partition_id()), "ranges")
+    return numbered(parts, ["_part"], order, "position").drop("_part")
+
+
+def file_ordinals(df: DataFrame, name: str = "ordinal") -> DataFrame:
+    """Add the place of each row, from 1, in files read in the order of their paths.
+
+    ``df`` is a file source as read: a row's place is that of its file, of its
+    block in the file, and its own in the block.
+    """
+    placed = df.withColumns({
+        "_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"), "_row": F.monotonically_increasing_id(),
+    })
+    ordered = numbered(settle(placed, "rows"), ["_file", "_block"], "_row", name)
+    return ordered.withColumn(name, F.col(name) + 1).drop("_file", "_block", "_row")
+
+
 def forward_fill(df: DataFrame, columns: Sequence[str], order: str, block: int = 100_000) -> DataFrame:
     """Fill nulls with the last value above, in ascending ``order``.
 

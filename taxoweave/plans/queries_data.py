@@ -11,6 +11,7 @@ from taxoweave.operators import cleaning, incremental
 from taxoweave.operators.joins import forward_fill
 from taxoweave.plans.fixtures import TABLES, duck_sql, table, view
 from taxoweave.plans.oracles import tok
+from taxoweave.operators.joins import file_ordinals
 from taxoweave.plans.registry import query
 from taxoweave.session import scratch_path
 from taxoweave.sources import readers, sinks
@@ -52,6 +53,22 @@ def load_taxonomy(spark, d):
     return readers.read_taxonomy(spark, path, "csv")
 
 
+# A sheet of several files without numbers: the places of the rows number them.
+@query(TAXONOMY_ROWS)
+def load_taxonomy_sheet(spark, d):
+    sheet, path = merged_cells(view(spark, d, "fx_taxonomy")), scratch_path(spark, "taxonomy-sheet")
+    sheet.repartitionByRange(5, "ordinal").sortWithinPartitions("ordinal").drop("ordinal").write.options(**readers.CSV).csv(path)
+    return readers.read_taxonomy(spark, path, "csv", numbered=False)
+
+
+# Rows in the order of a sink, read back by the places where they lie.
+@query(duck_sql("SELECT row_number() OVER (ORDER BY vendor, transaction_id) AS place, transaction_id, vendor FROM fx_transactions"))
+def ordered_sink(spark, d):
+    rows = view(spark, d, "fx_transactions").select("transaction_id", "vendor")
+    path = sinks.write_parquet(rows, scratch_path(spark, "ordered"), order_by=["vendor", "transaction_id"])
+    return file_ordinals(spark.read.schema(rows.schema).parquet(path), "place")
+
+
 @query(duck_sql("SELECT full_path FROM fx_taxonomy"))
 def load_dropdown_list(spark, d):
     paths = view(spark, d, "fx_taxonomy").select("full_path")

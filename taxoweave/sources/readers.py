@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from taxoweave import schemas
 from taxoweave.operators.cleaning import clean_taxonomy, clean_transactions, rename_sheet
+from taxoweave.operators.joins import file_ordinals
 
 # Quoted fields may hold commas and quotes. Only an unquoted empty field is null: words such
 # as NA stay text, and the null mark is a character that no export holds.
@@ -30,9 +31,16 @@ def read_transactions(spark: SparkSession, path: str, fmt: str | None = None, *,
     return clean_transactions(rename_sheet(read_table(spark, path, schemas.RAW_SHEET, fmt)), strict_ids=strict_ids)
 
 
-def read_taxonomy(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """The exported taxonomy sheet: an ``ordinal`` and six columns taken by position."""
-    raw = read_table(spark, path, schemas.TAXONOMY, fmt)
+def read_taxonomy(spark: SparkSession, path: str, fmt: str | None = None, *, numbered: bool = True) -> DataFrame:
+    """The exported taxonomy sheet, its columns taken by position.
+
+    A ``numbered`` sheet has an ``ordinal`` before its six columns. Others get
+    it from the places of their rows, over all files in the order of their paths.
+    """
+    if numbered:
+        raw = read_table(spark, path, schemas.TAXONOMY, fmt)
+    else:
+        raw = file_ordinals(read_table(spark, path, T.StructType(schemas.TAXONOMY.fields[1:]), fmt)).select(schemas.TAXONOMY.fieldNames())
     return clean_taxonomy(raw.toDF(*schemas.TAXONOMY.fieldNames()))
 
 
