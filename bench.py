@@ -41,6 +41,9 @@ def main() -> None:
     new = pred.withColumn("retrieved_taxonomy", pred.l4)
     needed = settle(uncached_rows(tx, stored), "needed")
 
+    parts_index = TaxonomyIndex(settle(view(spark, folder, "fx_parts"), "fx_parts"), LEXICON)
+    part_orders = prepared("fx_part_orders").withColumnRenamed("transaction_id", "query_id")
+
     def full_run():
         store = ResultStore(spark, scratch_path(spark, "bench-store"))
         store.write(stored)
@@ -50,6 +53,7 @@ def main() -> None:
         "data_quality": lambda: data_quality_report(tx, taxonomy),
         "retrieve_candidates": lambda: index.candidates(transaction_queries(tx)),
         "candidate_contexts": lambda: index.contexts(transaction_queries(tx)),
+        "retrieve_parts": lambda: parts_index.candidates(part_orders),
         "uncached_rows": lambda: uncached_rows(tx, stored),
         "batch_numbers": lambda: assign_batches(needed),
         "run_counters": lambda: run_counters(plan_run(tx, stored)),
