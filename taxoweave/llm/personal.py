@@ -2,8 +2,8 @@
 
 The matches of the fixed patterns are seeds. The words around a seed are its
 lexical patterns: the two words before it, and the word on either side. Tokens
-that look like an identifier of some kind without matching its pattern are
-candidates, with patterns of their own. Patterns and instances form a graph,
+and numbers spaced like phones or cards that look like an identifier of some kind
+without matching its pattern are candidates, with patterns of their own. Patterns and instances form a graph,
 which is scored in rounds: a pattern by the share of its different instances
 that are known, an instance by the patterns it occurs in. Candidates that reach
 the cut are known from then on; at the end they are what is discovered.
@@ -44,6 +44,11 @@ KINDS = [k.name for k in BASE]
 NAMES = KINDS + [f"context_{k}" for k in KINDS]
 #: Tokens that may be an identifier, and what they must look like to be one of a kind.
 CANDIDATE = Kind("token", r"(?:(?<![A-Za-z0-9@._%+()-])|\G)(?=[A-Za-z._%+()-]*+[0-9@])[A-Za-z0-9@._%+()-]{4,}+")
+#: Numbers with the separators of phones and cards, spaces among them.
+NUMBER = Kind("number", r"(?<![A-Za-z0-9@._%+()-])[(+]{0,2}+[0-9](?:[\x20().-]{0,3}+[0-9])++", None, lambda m: F.contains(m, F.lit(" ")))
+SPACED = {
+    "card": r"^[0-9](?:[\x20-]?[0-9]){12,18}$", "phone": r"^[(+]*[0-9](?:[^0-9]*[0-9]){6,14}$",
+}
 SHAPES = {
     "email": r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9._-]+$", "ip": r"^[0-9]+(?:\.[0-9]+){3}$",
     "card": r"^[0-9][0-9-]{10,21}[0-9]$", "phone": r"^\(?[0-9][0-9().-]{5,}[0-9]$",
@@ -92,10 +97,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     for itself. Other columns are ignored; an empty table gives an empty result.
     """
     texts = docs.select(F.col(id_col).alias("id"), or_empty(text_col).alias("text"))
-    spans = with_spans(texts, "text", [*BASE, CANDIDATE]).withColumn("base", in_order(KINDS))
+    spans = with_spans(texts, "text", [*BASE, CANDIDATE, NUMBER]).withColumn("base", in_order(KINDS))
+    spans = spans.withColumn("number", F.coalesce(F.filter("number", lambda s: ~overlaps(s, F.col("base"))), F.array().cast(spans.schema["number"].dataType)))
     seeds = F.flatten(F.array(*[F.coalesce(_occurrences(F.col(k), F.lit(i), True), _none()) for i, k in enumerate(KINDS)]))
-    clean = F.filter("token", lambda s: ~overlaps(s, F.col("base")))
-    shaped = F.flatten(F.array(*[F.coalesce(_occurrences(_of_shape(clean, SHAPES[k]), F.lit(i), False), _none()) for i, k in enumerate(KINDS)]))
+    # A part of a spaced number is no candidate of its own.
+    clean = F.filter("token", lambda s: ~overlaps(s, F.col("base")) & ~overlaps(s, F.col("number")))
+    shaped = F.flatten(F.array(*[
+        F.coalesce(_occurrences(_of_shape(found, shapes[k]), F.lit(i), False), _none())
+        for found, shapes in ((clean, SHAPES), (F.col("number"), SPACED)) for i, k in enumerate(KINDS) if k in shapes]))
     rows = settle(row_numbers(spans.select("id", "base", seeds.alias("seeds"), shaped.alias("shaped")), "row"), "identifiers")
 
     occurrences = rows.select("row", F.explode(F.concat("seeds", "shaped")).alias("o")).select("row", "o.*")

@@ -36,9 +36,18 @@ class Kind:
 
 def _positions(matches: Column, gaps: Column) -> Column:
     """``value``, ``start``, ``end``, ``left`` and ``right`` (context) of each match, in code points, end exclusive."""
+    def before(i: Column) -> Column:
+        """The text before a match, over the match before it where that is close."""
+        further = F.concat(F.right(F.get(gaps, i - 1), F.lit(CONTEXT)), F.right(F.get(matches, i - 1), F.lit(CONTEXT)))
+        return F.right(F.concat(F.coalesce(further, F.lit("")), F.right(F.get(gaps, i), F.lit(CONTEXT))), F.lit(CONTEXT))
+
+    def behind(i: Column) -> Column:
+        further = F.concat(F.left(F.get(matches, i + 1), F.lit(CONTEXT)), F.left(F.get(gaps, i + 2), F.lit(CONTEXT)))
+        return F.left(F.concat(F.left(F.get(gaps, i + 1), F.lit(CONTEXT)), F.coalesce(further, F.lit(""))), F.lit(CONTEXT))
+
     items = F.transform(matches, lambda m, i: F.struct(
         m.alias("value"), F.char_length(F.get(gaps, i)).alias("gap"), F.char_length(m).alias("length"),
-        F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("left"), F.left(F.get(gaps, i + 1), F.lit(CONTEXT)).alias("right")))
+        before(i).alias("left"), behind(i).alias("right")))
 
     def summed(items: Column) -> Column:
         steps = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / STEP).cast("int")), lambda s: F.slice(items, s * STEP + 1, F.lit(STEP)))

@@ -77,3 +77,15 @@ def test_query_equals_brute_force(spark):
     folder = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     check(rows, queries.op8_personal(spark, folder).collect())
+
+
+def test_spaced_numbers_are_discovered(spark):
+    """Phones without a plus and cards with a wrong check digit, in contexts that well-formed ones teach."""
+    texts = [f"call me on phone +1 415 555 10{i:02d} today" for i in range(30)] + [f"paid by card no 4041 8949 7460 8795 today {i}" for i in range(1)]
+    texts += [f"paid by card no {n} today" for n in ("4111 1111 1111 1111", "5500-0000-0000-0004", "4012888888881881")]
+    odd = ["call me on phone (988) 555-2000 today", "call me on phone 988 555 3000 today", "call me on phone 9885552485 today", "the 12 13 14 15 16 17 18 numbers",
+           "paid by card no 4041 8949 7460 8796 today", "mail a@b.cc or call me on phone 988 555 4000 today", "é call me on phone\n988 555 5000 today"]
+    rows = [(i, t, "", "", 1) for i, t in enumerate(texts + odd)]
+    got = {r.doc_id: r.spans for r in personal.personal_digest(personal.scan(spark.createDataFrame(rows, SCHEMA))).collect()}
+    found = [got[len(texts) + k] for k in range(len(odd))]
+    assert found == ["context_phone:17:31", "context_phone:17:29", "context_phone:17:27", "", "context_card:16:35", "email:5:11,context_phone:32:44", "context_phone:19:31"]
