@@ -133,7 +133,7 @@ def score(b: Column) -> Column:
 def nulls(candidates: DataFrame) -> dict[int, tuple[float, float]]:
     """For each length class mean and deviation of the scores of ordinary tokens.
 
-    ``candidates`` has ``class`` and ``score``. Equal tokens count once. The
+    ``candidates`` has ``class``, ``score`` and, to tell tokens apart, ``hash``. The
     scores are a mixture of ordinary tokens and of random ones, whose
     distribution is known; the ordinary part is fitted by expectation and
     maximisation on counts, so that secrets do not shift it. At most some
@@ -189,8 +189,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
     Both are arrays of ``start``, ``kind`` (place in ``NAMES``) and ``end`` in
     code points, by start and then kind; ``found`` has the base spans and the
     tokens that the battery adds, which overlap none of them; only tokens that
-    overlap none are tested and counted. Null texts count
-    as empty and hold nothing. Other columns are ignored; an empty table gives
+    overlap none are tested, and equal ones counted once. Null texts count
+    as empty and hold nothing; rows that repeat an id, or have none, are scanned
+    each for itself. Other columns are ignored; an empty table gives
     an empty result.
     """
     texts = docs.select(F.col(id_col).alias("id"), or_empty(text_col).alias("text"))
@@ -198,9 +199,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
     spans = spans.withColumn("token", F.filter("token", lambda s: ~overlaps(s, F.col("base"))))
     tested = spans.withColumn("tests", F.transform("token", lambda s: battery(s["value"])))
     tested = tested.withColumn("token", F.zip_with("token", "tests", lambda s, b: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), length_class(b["n"]).alias("class"), score(b).alias("score"))))
+        s["start"].alias("start"), s["end"].alias("end"), length_class(b["n"]).alias("class"), score(b).alias("score"), F.xxhash64(s["value"]).alias("hash"))))
     tested = settle(tested.select("id", "base", "token"), "tokens")
-    candidates = tested.select(F.explode("token").alias("t")).select("t.class", "t.score")
+    # Equal tokens count once, in the null and in the control: copies of one say nothing about others.
+    candidates = settle(tested.select(F.explode("token").alias("t")).select("t.hash", "t.class", "t.score").distinct(), "candidates")
     ordinary = nulls(candidates)
 
     def cell(t: Column) -> Column:

@@ -139,3 +139,20 @@ def test_query_equals_brute_force(spark):
     folder = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     check(rows, queries.op6_secrets(spark, folder).collect())
+
+
+def test_repeats_of_ordinary_tokens_change_nothing(spark):
+    """Counted per occurrence, one boilerplate path would move the null and the cut for all other tokens."""
+    chosen = random.Random(17)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = [w for w in "the of and a to in is you that it he was for on are as with his they at be this have from or one had by word but not".split()]
+    ordinary = ["_".join(chosen.choices(words, k=chosen.randint(6, 9))) for _ in range(600)]
+    planted = ["".join(chosen.choices(alphabet, k=n)) for n in (32, 40) for _ in range(30)]
+    plain = [(i, t, "", "", 1) for i, t in enumerate(ordinary + planted)]
+    repeated = plain + [(100_000 + i, ordinary[i % 2], "", "", 1) for i in range(4_000)]
+
+    def found(rows):
+        got = secrets.secret_digest(secrets.scan(spark.createDataFrame(rows, SCHEMA)))
+        return {r.doc_id: r.spans for r in got.collect() if r.doc_id < 100_000}
+
+    assert found(repeated) == found(plain)
