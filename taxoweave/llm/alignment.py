@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import or_empty, settle, ship_package
+from .common import or_empty, settle, ship_package, tidy, worker_cache
 
 #: Tokens after which a new place to walk from is looked for, and the longest stretch compared at once.
 LANE = 128
@@ -96,18 +96,16 @@ class Vocabulary:
     def of(kind: type, spec: str | bytes) -> Vocabulary:
         """The vocabulary of this worker, read once."""
         key = (kind.__name__, hashlib.md5(spec.encode() if isinstance(spec, str) else spec).hexdigest())
-        if key not in _VOCABULARIES:
-            _VOCABULARIES[key] = Vocabulary(kind(spec))
-        return _VOCABULARIES[key]
+        known = worker_cache("alignment")
+        if key not in known:
+            known[key] = Vocabulary(kind(spec))
+        return known[key]
 
     def spells(self, ids: list[int], text: bytes) -> bool:
         """Whether the tokens' bytes give the text."""
         return b"".join(map(self.tokens.__getitem__, ids)) == text
 
 
-_VOCABULARIES: dict[tuple[str, str], Vocabulary] = {}
-
-
 def _first_shared(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """The first places in two ascending arrays with an equal value, which there must be; compares prefixes of doubling length."""
     size = 2 * WINDOW
@@ -362,7 +360,7 @@ def blocks(docs: DataFrame, byte_spec: str, piece_model: bytes) -> DataFrame:
             yield block.batch(number)
 
     numbers = ", ".join(f"{c} long" for c in DOC_COLUMNS)
-    return docs.mapInArrow(run, f"key {kind}, {numbers}, groups_sha256 string, places binary, times binary, large array<long>, pairs array<long>, held array<long>, block long")
+    return docs.mapInArrow(tidy(run), f"key {kind}, {numbers}, groups_sha256 string, places binary, times binary, large array<long>, pairs array<long>, held array<long>, block long")
 
 
 def align(docs: DataFrame, byte_vocabulary: str, piece_vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

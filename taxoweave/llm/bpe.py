@@ -22,18 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import or_empty, ship_package
+from .common import or_empty, ship_package, tidy, worker_cache
 
 #: Words a worker remembers before it starts anew; longer words are not remembered.
 CACHED_WORDS = 100_000
 CACHED_LENGTH = 64
 #: Rows and characters after which a worker hands over a batch.
 BATCH_ROWS = 2_000
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 500_000
 #: Letters up to which a word's lowest rank is searched for directly.
 SHORT = 64
 #: Words merged side by side.
-SIDE_BY_SIDE = 50_000
+SIDE_BY_SIDE = 8_000
 NEVER = np.iinfo(np.int64).max
 
 # White space of the vocabulary's patterns, and the contractions that are words of their own.
@@ -370,16 +370,14 @@ class _Layered(dict):
         return self.rest[key]
 
 
-_MODELS: dict[tuple, WordBpe] = {}
-
-
 def _model(spec: str, forms: tuple[str, ...]) -> WordBpe:
     """The vocabulary of this worker, read once; only the last one asked for is kept."""
+    models = worker_cache("bpe")
     key = (hashlib.md5(spec.encode()).hexdigest(), forms)
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = WordBpe(spec, forms)
-    return _MODELS[key]
+    if key not in models:
+        models.clear()
+        models[key] = WordBpe(spec, forms)
+    return models[key]
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
@@ -442,4 +440,4 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                     out[name] = pa.array(joined if name == "decoded" else map(_sha256, joined), pa.string())
             yield pa.RecordBatch.from_arrays([keys, *out.values()], [id_col, *out])
 
-    return rows.mapInArrow(run, ", ".join([f"`{id_col}` {key}", *(f"{c} {kinds[c]}" for c in columns)]))
+    return rows.mapInArrow(tidy(run), ", ".join([f"`{id_col}` {key}", *(f"{c} {kinds[c]}" for c in columns)]))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, settle, ship_package
 
-__all__ = ["let", "measured", "of_text", "or_empty", "read_table", "row_numbers", "scratch_path", "settle", "ship_package", "small"]
+__all__ = ["let", "measured", "of_text", "or_empty", "read_table", "row_numbers", "scratch_path", "settle", "ship_package", "small", "tidy", "worker_cache"]
 
 #: White space and words as every contract of this subpackage has them.
 SPACE = r"\x20\x09-\x0D"
@@ -54,3 +57,34 @@ def measured(ids: DataFrame) -> DataFrame:
     """A settled table of one id column, marked for broadcast if its count allows it."""
     n = ids.count()
     return small(ids, n, n * (8 if ids.schema[0].dataType.simpleString() in ("bigint", "int") else 64))
+
+
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What a Python worker remembers for one operator.
+
+    Spark reuses workers for later stages, so asking for it lets go of what other operators remembered.
+    """
+    for other in [o for o in _CACHES if o != owner]:
+        _CACHES.pop(other).clear()
+    return _CACHES.setdefault(owner, {})
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that gives freed memory back to the system when its task ends.
+
+    A worker waits for other tasks and stages afterwards, beside the executor's own needs.
+    """
+    @functools.wraps(run)
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return tidied

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import measured, or_empty, settle, ship_package
+from .common import measured, or_empty, settle, ship_package, tidy, worker_cache
 
 #: A pair at a similarity of 0.8 misses all 36 bands of 5 values with probability 6e-7, at 0.85 with 7e-10.
 BANDS = 36
@@ -52,7 +52,12 @@ class _WordHashes(dict):
         return value
 
 
-_HASHES = _WordHashes()
+def _hashes() -> _WordHashes:
+    """The word hashes of this worker."""
+    known = worker_cache("near_dedup")
+    if "words" not in known:
+        known["words"] = _WordHashes()
+    return known["words"]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,7 +76,7 @@ def shingle_set(text: str, words_per_shingle: int) -> np.ndarray:
     words = text.encode().lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(_hashes().__getitem__, words), np.uint64, len(words))
     k = min(words_per_shingle, len(words))
     n = len(words) - k + 1
     out = np.full(n, k, np.uint64)  # a short sequence is no shingle of full length
@@ -133,7 +138,7 @@ def sketches(docs: DataFrame, words_per_shingle: int, bands: int = BANDS, values
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 ["id", "n_shingles", "digest", "keys"])
 
-    return rows.mapInArrow(run, f"id {kind}, n_shingles long, digest binary, keys array<long>")
+    return rows.mapInArrow(tidy(run), f"id {kind}, n_shingles long, digest binary, keys array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words_per_shingle: int, percent: int) -> DataFrame:
@@ -156,7 +161,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words_per_shingle: int, percen
     kind = pairs.schema["a"].dataType.simpleString()
     joined = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -188,7 +193,7 @@ def shingle_rows(texts: DataFrame, words_per_shingle: int) -> DataFrame:
                 part = slice(start, start + (1 << 16))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[part])), pa.array(flat[part])], ["id", "shingle"])
 
-    return texts.select("id", "text").mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, shingle long")
+    return texts.select("id", "text").mapInArrow(tidy(run), f"id {texts.schema['id'].dataType.simpleString()}, shingle long")
 
 
 def _can_link(common: Column, n: Column, other: Column, percent: int) -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import or_empty, ship_package
+from .common import or_empty, settle, ship_package, small, tidy, worker_cache
 
 #: Labelled documents that the model is fitted on: those of the smallest hashed ids.
 TRAINING_ROWS = 20_000
@@ -35,6 +35,7 @@ RIDGE = 1e-4
 #: Documents whose probability of any grade above 0 reaches this are toxic.
 CUT = 0.4
 PIECE = 1 << 20
+BATCH_BYTES = 2 << 20
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -70,16 +71,20 @@ class OrdinalModel:
 
 
 class TrainingSet:
-    """Documents as sorted arrays of feature numbers."""
+    """Documents as arrays of feature numbers; with ``names`` of these features only."""
 
-    def __init__(self) -> None:
-        self.numbers: dict[str, int] = {}
+    def __init__(self, names: list[str] | None = None) -> None:
+        self.numbers: dict[str, int] = {f: i for i, f in enumerate(names or ())}
+        self.fixed = names is not None
         self.rows: list[np.ndarray] = []
         self.grades: list[int] = []
 
     def add(self, text: str, grade: int) -> None:
         numbers = self.numbers
-        found = [numbers.setdefault(f, len(numbers)) for f in features(text)]
+        if self.fixed:
+            found = [numbers[f] for f in features(text) if f in numbers]
+        else:
+            found = [numbers.setdefault(f, len(numbers)) for f in features(text)]
         self.rows.append(np.array(found, np.int32))
         self.grades.append(grade)
 
@@ -163,30 +168,63 @@ def graded(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") != 0).cast("int")).alias("grade"))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in parts of bounded size, with what other operators remembered in this worker let go."""
+    worker_cache("toxicity")
+    for batch in batches:
+        step = max(1, min(batch.num_rows, batch.num_rows * BATCH_BYTES // max(batch.nbytes, 1)))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
+def telling_features(labelled: DataFrame, most: int = MAX_FEATURES, least: int = LEAST_DOCUMENTS) -> list[str]:
+    """The features of ``text`` that :func:`select_features` takes, found by counting them over all rows in Spark."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            counts: dict[str, list[int]] = {}
+            for text, grade in zip(batch.column("text").to_pylist(), batch.column("grade").to_pylist()):
+                for f in features(text):
+                    entry = counts.setdefault(f, [0, 0])
+                    entry[0] += 1
+                    entry[1] += grade > 0
+            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), *(pa.array([c[k] for c in counts.values()], pa.int64()) for k in (0, 1))], ["feature", "n", "positive"])
+
+    size = labelled.agg(F.count(F.lit(1)).alias("rows"), F.avg((F.col("grade") > 0).cast("double")).alias("share")).first()
+    counted = labelled.mapInArrow(tidy(count), "feature string, n long, positive long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
+    expected = F.col("n") * F.lit(size["share"] or 0.0)
+    statistic = (F.col("positive") - expected) ** 2 / (expected * F.lit(1 - (size["share"] or 0.0)) * (1 - F.col("n") / F.lit(max(size["rows"], 1))) + 1e-9)
+    kept = counted.where(F.col("n") >= least).withColumn("statistic", statistic).where(F.col("statistic") >= LEAST_STATISTIC)
+    return [r.feature for r in kept.orderBy(F.round("statistic", 6).desc(), "feature").limit(most).collect()]
+
+
 def train(docs: DataFrame, grades: DataFrame, n_grades: int = 2, id_col: str = "doc_id", text_col: str = "text",
           most_rows: int = TRAINING_ROWS) -> OrdinalModel | None:
     """Fit on at most ``most_rows`` labelled documents, in one task; only the weights come back.
 
     ``grades`` has ``doc_id`` and ``grade`` from 0 to ``n_grades - 1``; of two
     grades the upper one is split by :func:`by_dose`, which makes three. The
-    sample is by hashed id, so it is the same in every run. None if no document
+    sample is by hashed id, so it is the same in every run; of rows that repeat
+    an id the smallest text is taken. The features that tell grades apart are
+    found in Spark, so the fitting task holds these only. None if no document
     has a label.
     """
     ship_package(docs.sparkSession)
     sample = F.broadcast(grades.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows))  # at most most_rows rows of two numbers
-    labelled = docs.select(F.col(id_col).alias("doc_id"), or_empty(text_col).alias("text")).join(sample, "doc_id").select("text", "grade")
+    labelled = docs.select(F.col(id_col).alias("doc_id"), or_empty(text_col).alias("text")).join(sample, "doc_id")
+    labelled = settle(labelled.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("grade").alias("grade")).select("text", "grade"), "labelled")
+    names = telling_features(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = TrainingSet()
-        for batch in batches:
+        data = TrainingSet(names)
+        for batch in _slices(batches):
             for text, grade in zip(batch.column("text").to_pylist(), batch.column("grade").to_pylist()):
                 data.add(text, grade)
         if data.rows:
             model = fit(by_dose(data), 3) if n_grades == 2 else fit(data, n_grades)
-            names = [*model.weights, *[None] * len(model.thresholds)]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([*model.weights.values(), *model.thresholds], pa.float64())], ["feature", "value"])
+            named = [*model.weights, *[None] * len(model.thresholds)]
+            yield pa.RecordBatch.from_arrays([pa.array(named, pa.string()), pa.array([*model.weights.values(), *model.thresholds], pa.float64())], ["feature", "value"])
 
-    values = labelled.repartition(1).mapInArrow(run, "feature string, value double").collect()
+    values = labelled.repartition(1).mapInArrow(tidy(run), "feature string, value double").collect()
     if not values:
         return None
     return OrdinalModel({r.feature: r.value for r in values if r.feature is not None}, tuple(sorted(r.value for r in values if r.feature is None)))
@@ -205,7 +243,7 @@ def severity(docs: DataFrame, model: OrdinalModel | None, id_col: str = "doc_id"
     kind = rows.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch.column(1).to_pylist()
             if model is None:
                 expected, grade = np.zeros(len(texts)), np.zeros(len(texts), np.int32)
@@ -219,17 +257,29 @@ def severity(docs: DataFrame, model: OrdinalModel | None, id_col: str = "doc_id"
                 [batch.column(0), pa.array(np.round(expected, 9)), pa.array(grade), pa.array(grade > 0), pa.array(grade == 0)],
                 [id_col, "expected_severity", "grade", "toxic", "kept"])
 
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, expected_severity double, grade int, toxic boolean, kept boolean")
+    return rows.mapInArrow(tidy(run), f"`{id_col}` {kind}, expected_severity double, grade int, toxic boolean, kept boolean")
 
 
-def drop_toxic(docs: DataFrame, model: OrdinalModel | None, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
-    """The rows that are not toxic, with all their columns; rows are judged one by one, so no id is needed."""
+def drop_toxic(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text", cut: float = CUT) -> DataFrame:
+    """The rows whose text is not toxic, with all their columns.
+
+    A text decides alone: rows that repeat an id, or have none, are judged each
+    for itself, equal texts alike. Null and empty texts stay; so does everything
+    without a model, and an empty table is empty again. Only hashes of toxic
+    texts (128 bits) come back from Python, and drop their rows.
+    """
+    if model is None:
+        return docs
     ship_package(docs.sparkSession)
+    hashes = {"__toxic_a": F.xxhash64(text_col), "__toxic_b": F.xxhash64(F.lit(1), text_col)}
+    keys = [*hashes]
+    texts = docs.where(F.length(text_col) > 0).select(*[h.alias(c) for c, h in hashes.items()], F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(text_col).to_pylist()
-            above = model.above(np.array([model.score(t) if t else -np.inf for t in texts]))[:, 0] if texts else np.empty(0)
-            yield batch.filter(pa.array(above < cut))
+        for batch in _slices(batches):
+            above = model.above(np.array([model.score(t) for t in batch.column("text").to_pylist()]))[:, 0]
+            yield batch.select(keys).filter(pa.array(above >= cut))
 
-    return docs if model is None else docs.mapInArrow(run, docs.schema)
+    toxic = settle(texts.mapInArrow(tidy(run), ", ".join(f"{c} long" for c in keys)).distinct(), "toxic")
+    n = toxic.count()
+    return docs.withColumns(hashes).join(small(toxic, n, 16 * n), keys, "left_anti").drop(*keys)

@@ -93,3 +93,27 @@ def test_query_agrees_with_labels(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if r.doc_id in got}
     right = sum(got[i].toxic == bool(t) for i, t in labels.items())
     assert right / len(labels) > 0.9
+
+
+def test_features_found_in_spark_equal_those_of_a_whole_training_set(spark):
+    rng = random.Random(4)
+    words = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(6)]
+    rows = []
+    for k in range(900):
+        grade = int(rng.random() < 0.3)
+        text = " ".join(rng.choices(words[:40] if grade else words[20:], k=12))
+        rows.append((text, grade))
+    data = toxicity.TrainingSet()
+    for text, grade in rows:
+        data.add(text, grade)
+    want = toxicity.select_features(data)
+    assert len(want) > 10
+    found = toxicity.telling_features(spark.createDataFrame(rows, "text string, grade int").repartition(3))
+    assert sorted(found) == sorted(want)
+
+
+def test_repeated_ids_train_once(spark):
+    docs = [(1, "foul words here"), (1, "foul words here"), (1, "a longer one"), (2, "kind words"), (None, "foul"), (3, None)]
+    grades = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, grade int")
+    model = toxicity.train(spark.createDataFrame(docs, "doc_id long, text string"), grades)
+    assert model is not None and len(model.thresholds) == 2
