@@ -3,9 +3,9 @@
 A page is cut into blocks at block-level tags. The first pass classifies each
 block by what surrounds it (menus, footers, notices and the like), and where
 that says nothing by its length, link density and share of stop words, inside
-articles and mains as well. Short blocks stay undecided. The second pass gives
-them the label of their nearest decided neighbours; articles and mains are a
-prior there.
+articles and mains as well. Short blocks stay undecided, and linked ones within
+an article. The second pass gives them the label of their nearest decided
+neighbours; articles and mains are a prior there.
 """
 
 from __future__ import annotations
@@ -52,6 +52,8 @@ STOP_WORDS = frozenset("""the of and to a in is that it for was on are as with h
     le la les de des et en un une du que qui dans pour pas sur au avec ce il est par plus se son ne el los las y que del por con para una su
     al lo como más o pero sus""".split())
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 LONG, SHORT = 70, 25
 LINKED, FEW_STOP, MANY_STOP = 0.33, 0.05, 0.15
 MENU_ROW = 3
@@ -64,6 +66,10 @@ ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 SPACES = re.compile(r"\s+")
 PARTS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
+# The heading that reader comments stand under, and the line of rights at a page's end.
+OF_COMMENTS = re.compile(r"(?:\d[\d.,]*|no) (?:reader )?(?:comments?|replies|responses?)(?: (?:on|to)\b.*)?|(?:reader )?comments? ?[(\[]\d[\d.,]*[)\]]"
+                         r"|(?:leave|post|add|write) an? (?:comment|reply|response)", re.I)
+OF_RIGHTS = re.compile(r"(?:copyright|©|\(c\))[ ©(c)]*\d{4}\b.*|.*\ball rights reserved\.?", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
@@ -77,6 +83,7 @@ class Block:
     inside: int = -1
     holder: int = -1
     main: bool = False
+    article: bool = False
     suspect: bool = False
     heading: bool = False
     text: str = ""
@@ -124,27 +131,39 @@ def _furniture(tag: str, attrs: dict[str, str]) -> int:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, each with its text; the hidden and the empty ones are left out."""
     out: list[Block] = []
-    # Open elements: name, whether skipped, furniture, main, the numbers of the innermost suspect one and of that around the first article or main.
-    stack: list[tuple[str, bool, bool, bool, int, int]] = []
-    nothing = ("", False, False, False, -1, -1)
+    # Open elements: name, whether skipped, furniture, in a main (1) or an article (2), the numbers of the innermost suspect one and of that around the first article or main.
+    stack: list[tuple[str, bool, bool, int, int, int]] = []
+    nothing = ("", False, False, 0, -1, -1)
     suspects: list[tuple[int, int]] = []  # level, and the suspect element around
     opened: dict[str, int] = {}
-    current, links, at = Block(), 0, 0
+    current, links, at, begun = Block(), 0, 0, False
 
     def end_block() -> None:
-        nonlocal current
+        nonlocal current, begun
         if current.parts:
             current.text = SPACES.sub(" ", "".join(current.parts)).strip()
             if current.text:
                 out.append(current)
+                begun = begun or len(current.text) > LONG and not current.furniture
         current = Block()
 
+    def end_of_text() -> None:
+        """Behind its text, a heading of comments makes furniture of itself and of what follows in its element."""
+        nonlocal nothing
+        if begun and out[-1].heading and OF_COMMENTS.fullmatch(out[-1].text):
+            out[-1].furniture = True
+            if stack:
+                stack[-1] = (*stack[-1][:2], True, *stack[-1][3:])
+            else:
+                nothing = (*nothing[:2], True, *nothing[3:])
+
     def add(raw: str, decode: bool = True) -> None:
         if raw and not (stack and stack[-1][1]):
             text = html.unescape(raw) if decode and "&" in raw else raw
             if not current.parts:
-                _, _, current.furniture, current.main, current.inside, current.holder = stack[-1] if stack else nothing
-                current.heading = any(e[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for e in stack[-3:])
+                _, _, current.furniture, main, current.inside, current.holder = stack[-1] if stack else nothing
+                current.main, current.article = main > 0, main == 2
+                current.heading = any(e[0] in HEADINGS for e in stack[-3:])
             current.parts.append(text)
             if links:
                 current.linked += len(text)
@@ -188,6 +207,8 @@ def blocks(page: str) -> list[Block]:
                 inside = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag)
                 if tag in BLOCKS or tag in SKIPPED or not any(e[0] in BLOCKS for e in stack[inside + 1:]):
                     close(tag)
+                    if tag in HEADINGS:
+                        end_of_text()
                 elif tag == "a":
                     stack[inside], links = ("", *stack[inside][1:]), links - 1
                     opened[tag] -= 1
@@ -210,7 +231,9 @@ def blocks(page: str) -> list[Block]:
             suspects.append((level, inside))
             inside = len(suspects) - 1
         if not main and (tag in ("article", "main") or attrs.get("role") == "main"):
-            main, holder = True, inside
+            main, holder = 1, inside
+        if tag == "article":
+            main = 2
         stack.append((tag, skipped or tag in SKIPPED, furniture or level == SURE, main, inside, holder))
         links += tag == "a"
         opened[tag] = opened.get(tag, 0) + 1
@@ -226,9 +249,10 @@ def blocks(page: str) -> list[Block]:
 def _weigh_suspects(found: list[Block], suspects: list[tuple[int, int]]) -> None:
     """Decide which suspect elements are furniture, by what they hold.
 
-    One of listed words is, unless all text of articles and mains is in it. A
-    form or a mere hint is nothing if it holds half of that text or of the
-    page's; else its blocks stay suspect.
+    One of listed words is, unless all text of articles and mains is in it, or
+    most of the page's text while no block outside such elements reads like
+    text. A form or a mere hint is nothing if it holds half of the text of
+    articles and mains or of the page's; else its blocks stay suspect.
     """
     held, mains, total, all_mains = [0] * len(suspects), [0] * len(suspects), 0, 0
     for block in found:
@@ -246,9 +270,27 @@ def _weigh_suspects(found: list[Block], suspects: list[tuple[int, int]]) -> None
         if around >= 0:
             held[around] += held[i]
             mains[around] += mains[i]
+    # For each element the innermost listed one that it is or lies in, and the texts that no other listed one stands around.
+    listed: list[int] = []
+    for i, (level, around) in enumerate(suspects):
+        listed.append(i if level == LISTED else listed[around] if around >= 0 else -1)
+    texts = [0] * len(suspects)
+    outside = 0
+    for block in found:
+        if _reads_like_text(block):
+            at = listed[block.inside] if block.inside >= 0 else -1
+            if at >= 0:
+                texts[at] += 1
+            else:
+                outside += 1
     verdicts: list[int] = []  # the surest level of an element and those around it
     for i, (level, around) in enumerate(suspects):
-        wraps = 0 < all_mains == mains[i] if level == LISTED else 0 < all_mains <= 2 * mains[i] or total < 2 * held[i]
+        if level == LISTED:
+            wraps = 0 < all_mains == mains[i] or outside == 0 and total < 2 * held[i]
+            if wraps and (around < 0 or verdicts[around] < LISTED):
+                outside += texts[i]
+        else:
+            wraps = 0 < all_mains <= 2 * mains[i] or total < 2 * held[i]
         verdicts.append(max(0 if wraps else level, verdicts[around] if around >= 0 else 0))
     for block in found:
         verdict = verdicts[block.inside] if block.inside >= 0 else 0
@@ -256,15 +298,27 @@ def _weigh_suspects(found: list[Block], suspects: list[tuple[int, int]]) -> None
         block.suspect = verdict == HINT
 
 
+def _stops(text: str) -> float:
+    """Share of stop words."""
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+
+
+def _reads_like_text(block: Block) -> bool:
+    """Whether length, link density and stop words alone speak for a block."""
+    return not block.furniture and len(block.text) > LONG and block.linked / len(block.text) <= LINKED and _stops(block.text) >= MANY_STOP
+
+
 def _first_pass(block: Block) -> str:
-    """``good``, ``bad``, ``near`` (leans to good) or ``short`` (undecided)."""
+    """``good``, ``bad``, ``linked`` (bad by its links alone), ``near`` (leans to good) or ``short`` (undecided)."""
     if block.furniture:
         return "bad"
     text = block.text
     if block.linked / len(text) > LINKED:
+        return "linked"
+    if not block.main and len(text) < 2 * LONG and OF_RIGHTS.fullmatch(text):
         return "bad"
-    words = text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+    stops = _stops(text)
     if block.suspect:
         return "short" if stops >= MANY_STOP and len(text) > LONG else "bad"
     if len(text) < SHORT or block.heading:
@@ -285,23 +339,30 @@ def classify(found: list[Block]) -> list[Block]:
     Articles and mains are a prior, where they hold as much text as the good
     blocks outside: undecided blocks in them lean to good, those outside to
     bad, and a neighbour counts only if no block of the other side of that
-    border stands between.
+    border stands between. Linked blocks are undecided in such an article and
+    bad elsewhere; three or more in a row that are links alone are a menu,
+    unless a heading of the article introduces them.
     """
     first = [_first_pass(b) for b in found]
     inside = sum(len(b.text) for b in found if b.main and not b.furniture)
     prior = inside > 0 and inside >= sum(len(b.text) for b, label in zip(found, first) if label == "good" and not b.main)
     if prior:
         for i, block in enumerate(found):
-            if block.main and not block.suspect and (first[i] == "short" or first[i] == "bad" and block.heading and not block.furniture):
+            if first[i] == "linked" and block.article and not block.suspect and not block.heading:
+                first[i] = "short"
+            elif block.main and not block.suspect and (first[i] == "short" or first[i] == "linked" and block.heading):
                 first[i] = "near"
             elif not block.main and first[i] == "near":
                 first[i] = "short"
-    # A row of blocks that are links alone is a menu, wherever it stands.
+    first = ["bad" if label == "linked" else label for label in first]
+    # A row of blocks that are links alone is a menu, but for a list under a heading of the article.
     run = 0
     for i in range(len(found) + 1):
         linked = i < len(found) and found[i].linked >= 0.9 * len(found[i].text)
         if not linked and run >= MENU_ROW:
-            first[i - run:i] = ["bad"] * run
+            above = found[i - run - 1] if i > run else None
+            if not (prior and above and above.heading and all(b.article and not b.suspect for b in found[i - run - 1:i])):
+                first[i - run:i] = ["bad"] * run
         run = run + 1 if linked else 0
     sides: list[list[tuple[int, str]]] = [[], []]
     for side, order in enumerate((range(len(found)), range(len(found) - 1, -1, -1))):

@@ -73,6 +73,37 @@ def test_links_in_main_are_judged_and_text_outside_is_kept():
     assert html_text.main_text(page) == f"Of rivers\n{TEXT}\nShort.\n{TEXT}\n{TEXT}"
 
 
+def test_linked_blocks_of_an_article_go_with_their_neighbours():
+    items = "".join(f"<li><a href=x>Source {i}</a></li>" for i in range(4))
+    page = (f"<article><h1>Of rivers</h1><p>{TEXT}</p><p>See also <a href=x>the guide</a>.</p><p>{TEXT}</p><p><a href=x>All of it</a></p><h2>Sources</h2><ul>{items}</ul>"
+            f"<p>{TEXT}</p><p><a>One</a></p><p><a>Two</a></p><p><a>Three</a></p></article>")
+    assert html_text.main_text(page) == "\n".join(
+        ["Of rivers", TEXT, "See also the guide.", TEXT, "All of it", "Sources", *[f"Source {i}" for i in range(4)], TEXT])
+
+
+@pytest.mark.parametrize("name", ["legal", "discussion", "notice overlay"])
+def test_a_listed_class_around_the_whole_text_is_forgiven(name):
+    body = f"<h1>Of rivers</h1><p>{TEXT}</p><p>Short.</p><p>{TEXT}</p>"
+    want = f"Of rivers\n{TEXT}\nShort.\n{TEXT}"
+    assert html_text.main_text(f"<body><nav>Menu</nav><div class='{name}'>{body}</div><footer>{TEXT}</footer></body>") == want
+    # Only as far out as needed: longer comments in it or beside it stay out.
+    comments = f"<div class=comments>{f'<p>{TEXT}</p>' * 9}</div>"
+    assert html_text.main_text(f"<div class='{name}'>{body}{comments}</div>") == want
+    assert html_text.main_text(f"<div>{body}</div>{comments}") == want
+
+
+def test_rights_and_comments_without_a_class():
+    body = f"<h1>Of rivers</h1><p>{TEXT}</p><p>Short.</p><p>{TEXT}</p>"
+    want = f"Of rivers\n{TEXT}\nShort.\n{TEXT}"
+    comments = f"<h3>3 comments</h3><p>{TEXT}</p><div><p>Nice</p></div>"
+    assert html_text.main_text(f"<div>{body}</div><div>Copyright 2020 Acme</div>") == want
+    assert html_text.main_text(f"<div>{body}</div><div>{comments}</div><p>© 2020 Acme. All rights reserved.</p>") == want
+    assert html_text.main_text(f"{body}{comments}") == want
+    assert html_text.main_text(f"<article>{body}<section>{comments}</section><p>End of it.</p></article>") == f"{want}\nEnd of it."
+    # A heading about comments, or a count above the text, ends nothing.
+    assert html_text.main_text(f"<article><h4>3 comments</h4>{body}<h2>Comments</h2><p>{TEXT}</p></article>") == f"3 comments\n{want}\nComments\n{TEXT}"
+
+
 def test_first_and_second_pass():
     blocks = [html_text.Block(text=t, linked=k) for t, k in [("menu entries here", 17), (TEXT, 0), ("ja", 0), (TEXT, 0), ("x", 0), ("link text", 9), ("y", 0)]]
     assert [b.label for b in html_text.classify(blocks)] == ["bad", "good", "good", "good", "good", "bad", "bad"]
