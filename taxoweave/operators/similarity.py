@@ -9,9 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import CountVectorizer, IDF, NGram, RegexTokenizer, SQLTransformer, StringIndexer
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.feature import CountVectorizerModel, IndexToString, SQLTransformer, StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +21,8 @@ from taxoweave.session import settle, ship_package
 # Runs of two or more letters, digits or underscores, in any script.
 WORD = r"[\p{L}\p{N}_]{2,}"
 LABELS_PER_BLOCK = 1_024
+# Texts that meet a part's model in one group.
+ROWS_PER_GROUP = 100_000
 
 
 # -- TF-IDF ------------------------------------------------------------------
@@ -258,49 +258,171 @@ def hybrid_best(
 # -- linear models -----------------------------------------------------------
 
 
-def _features(max_features: int) -> list:
-    """Text to TF-IDF vectors of words and word pairs."""
-    return [
-        RegexTokenizer(inputCol="text", outputCol="words", pattern=rf"(?U){WORD}", gaps=False, toLowercase=True),
-        NGram(n=2, inputCol="words", outputCol="pairs"),
-        SQLTransformer(statement="SELECT *, concat(words, pairs) AS terms FROM __THIS__"),
-        CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=max_features),
-        IDF(inputCol="counts", outputCol="features"),
-    ]
-
-
-def text_classifier(kind: str = "logistic", max_features: int = fv.TFIDF_MAX_FEATURES) -> Pipeline:
-    """An estimator over ``(text, label)``: multinomial logistic regression, or a one-vs-rest linear SVM."""
-    index = StringIndexer(inputCol="label", outputCol="target", stringOrderType="alphabetAsc")
-    if kind == "logistic":
-        model = LogisticRegression(labelCol="target", family="multinomial", maxIter=1000, regParam=0.002)
-    elif kind == "svm":
-        model = OneVsRest(classifier=LinearSVC(maxIter=50, tol=1e-4, regParam=0.01), labelCol="target", parallelism=8)
-    else:
-        raise ValueError(f"unknown kind of classifier: {kind}")
-    return Pipeline(stages=[index, *_features(max_features), model])
-
-
-def predict_labels(model, texts: DataFrame) -> DataFrame:
-    """``(doc_id, predicted_label)``: a map over the rows, without a shuffle."""
-    names = F.array(*[F.lit(name) for name in model.stages[0].labels])
-    scored = texts.withColumn("label", F.lit(model.stages[0].labels[0]))
-    return model.transform(scored).select(
-        "doc_id", F.get(names, F.col("prediction").cast("int")).alias("predicted_label")
-    )
+class TermVectors:
+    """TF-IDF vectors with the weights of :func:`tfidf`, learnt from ``docs`` (``doc_id, text``).
+
+    Counting runs in the JVM; one pass over Arrow batches weighs whole batches.
+    The vocabulary has ``max_features`` terms at most.
+    """
 
+    def __init__(self, docs: DataFrame, max_features: int = fv.TFIDF_MAX_FEATURES):
+        ship_package(docs.sparkSession)
+        found = vocabulary(term_counts(docs), max_features).collect()
+        if not found:
+            raise ValueError("The documents hold no terms to learn from.")
+        self.counter = CountVectorizerModel.from_vocabulary([r.term for r in found], inputCol="_terms", outputCol="features")
+        self.idf = np.log((docs.count() + 1) / (np.array([r.df for r in found]) + 1)) + 1
 
-def cross_validate(corpus: DataFrame, kind: str = "logistic", folds: int = 5, seed: int = 42) -> float:
-    """Mean accuracy of the estimator over the folds."""
-    validator = CrossValidator(
-        estimator=text_classifier(kind),
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=MulticlassClassificationEvaluator(labelCol="target", metricName="accuracy"),
-        numFolds=folds, seed=seed, parallelism=2,
-    )
-    return validator.fit(corpus).avgMetrics[0]
+    def transform(self, texts: DataFrame) -> DataFrame:
+        """``texts`` with sparse ``features`` of unit length; a text without known terms has none."""
+        listed = texts.withColumn("_terms", F.coalesce(terms(F.col("text")), F.array().cast("array<string>")))
+        counted = self.counter.transform(listed).drop("_terms")
+        idf, names = self.idf, counted.columns
 
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                vectors = batch.column("features")
+                places, counts, rows = _flat(vectors)
+                raw = (np.log(counts) + 1) * idf[places]
+                length = np.sqrt(np.bincount(rows, raw * raw, len(vectors)))
+                kind, size, indices, values = vectors.flatten()
+                starts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(vectors)))])
+                weights = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(raw / length[rows]), type=values.type)
+                weighed = pa.StructArray.from_arrays([kind, size, indices, weights], fields=list(vectors.type))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), weighed], names)
+
+        return counted.mapInArrow(run, counted.schema)
+
+
+def _flat(vectors: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, values and row numbers of the entries of sparse vectors."""
+    _, _, indices, values = vectors.flatten()
+    lengths = np.diff(indices.offsets.to_numpy())
+    return indices.flatten().to_numpy(), values.flatten().to_numpy(), np.repeat(np.arange(len(vectors)), lengths)
+
+
+def _dense(vectors: pa.StructArray, columns: np.ndarray) -> np.ndarray:
+    """A matrix of the wanted columns, and a last one of ones for the intercept."""
+    places, values, rows = _flat(vectors)
+    matrix = np.zeros((len(vectors), len(columns) + 1))
+    at = np.searchsorted(columns, places)
+    known = at < len(columns)
+    known[known] = columns[at[known]] == places[known]
+    matrix[rows[known], at[known]] = values[known]
+    matrix[:, -1] = 1
+    return matrix
+
+
+def _fit_linear(x: np.ndarray, y: np.ndarray, kinds: int, kind: str) -> np.ndarray:
+    """Weights (columns by labels) of a regularised linear model, by accelerated gradient steps.
+
+    ``svm`` has the squared hinge of every label against the rest, ``logistic``
+    the log loss over all labels. The step follows from the largest singular value.
+    """
+    cost = fv.CLASSIFIER_COST[kind]
+    mine = y[:, None] == np.arange(kinds)
+    sign = np.where(mine, 1.0, -1.0)
+    steep = 1 + cost * (2.0 if kind == "svm" else 0.5) * np.linalg.norm(x, 2) ** 2
+    momentum = (np.sqrt(steep) - 1) / (np.sqrt(steep) + 1)
+    weights = ahead = np.zeros((x.shape[1], kinds))
+    for _ in range(int(30 * np.sqrt(steep)) + 1):
+        scores = x @ ahead
+        if kind == "svm":
+            slope = -2 * sign * np.maximum(0, 1 - sign * scores)
+        else:
+            slope = np.exp(scores - scores.max(axis=1, keepdims=True))
+            slope = slope / slope.sum(axis=1, keepdims=True) - mine
+        step = ahead - (ahead + cost * (x.T @ slope)) / steep
+        weights, ahead = step, step + momentum * (step - weights)
+    return weights
+
+
+class TextClassifier:
+    """A linear classifier in two levels over ``(doc_id, text, part, label)``.
+
+    One model, fitted by Spark, tells the parts apart (a taxonomy's L1). The
+    labels of each part have a model of their own, all fitted side by side in
+    tasks and kept as rows of a table, so that their weights never meet on the
+    driver. A part's task holds its sentences only, one for each leaf.
+    ``kind`` is ``svm`` or ``logistic``. Ties go to the smaller label.
+    """
 
-def label_corpus(taxonomy: DataFrame, level: str = "full_path") -> DataFrame:
-    """One training sentence per leaf: its level names, labelled with ``level``."""
-    return taxonomy.select(F.concat_ws(" ", "L1", "L2", "L3", "L4").alias("text"), F.col(level).alias("label"))
+    def __init__(self, corpus: DataFrame, kind: str = "logistic", max_features: int = fv.TFIDF_MAX_FEATURES):
+        if kind not in fv.CLASSIFIER_COST:
+            raise ValueError(f"unknown kind of classifier: {kind}")
+        self.vectors = TermVectors(corpus.select("doc_id", "text"), max_features)
+        rows = settle(self.vectors.transform(corpus.select("part", "label", "text")).drop("text"), "vectors")
+        indexer = StringIndexer(inputCol="part", outputCol="target", stringOrderType="alphabetAsc").fit(rows)
+        penalty = 1 / (fv.CLASSIFIER_COST[kind] * rows.count())
+        if len(indexer.labels) == 1:
+            self.root = Pipeline(stages=[SQLTransformer(statement="SELECT *, 0D AS prediction FROM __THIS__")]).fit(rows)
+        elif kind == "svm":
+            one = LinearSVC(maxIter=50, tol=1e-4, regParam=penalty, standardization=False)
+            self.root = OneVsRest(classifier=one, labelCol="target", parallelism=8).fit(indexer.transform(rows))
+        else:
+            self.root = LogisticRegression(labelCol="target", family="multinomial", maxIter=1000, regParam=penalty, standardization=False).fit(indexer.transform(rows))
+        self.names = IndexToString(inputCol="prediction", outputCol="part", labels=indexer.labels)
+
+        def fit(table: pa.Table) -> pa.Table:
+            vectors = table.column("features").combine_chunks()
+            labels, y = np.unique(np.array(table.column("label").to_pylist(), object), return_inverse=True)
+            columns = np.unique(_flat(vectors)[0])
+            weights = _fit_linear(_dense(vectors, columns), y, len(labels), kind)
+            return pa.table({"part": table.column("part")[:1], "labels": [list(labels)], "columns": pa.array([columns.tolist()], pa.list_(pa.int32())),
+                             "weights": pa.array([weights.ravel().tolist()], pa.list_(pa.float64()))})
+
+        fitted = rows.groupBy("part").applyInArrow(fit, "part string, labels array<string>, columns array<int>, weights array<double>")
+        self.models = settle(fitted, "models")
+
+    def predict_parts(self, texts: DataFrame) -> DataFrame:
+        """``texts`` with ``features`` and the predicted ``part``."""
+        scored = self.names.transform(self.root.transform(self.vectors.transform(texts)))
+        return scored.select(*texts.columns, "features", "part")
+
+    def predict(self, texts: DataFrame) -> DataFrame:
+        """``(doc_id, predicted_label)``, one row for each text, null and empty ones included.
+
+        The rows of a part meet its model in groups of bounded size, whose
+        number follows from the part's measured rows.
+        """
+        rows = settle(self.predict_parts(texts.select("doc_id", "text")).drop("text"), "parts")
+        # One row for each part.
+        groups = F.broadcast(rows.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_GROUP).alias("groups")))
+        dealt = rows.join(groups, "part").withColumn("slot", F.pmod(F.monotonically_increasing_id(), F.col("groups"))).drop("groups")
+        models = self.models.join(groups, "part").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("slot")).drop("groups")
+        id_type = to_arrow_type(rows.schema["doc_id"].dataType)
+
+        def score(table: pa.Table, model: pa.Table) -> pa.Table:
+            found = []
+            if len(table):
+                labels, columns, weights = (model.column(c)[0].as_py() for c in ("labels", "columns", "weights"))
+                matrix, columns = np.array(weights).reshape(-1, len(labels)), np.array(columns, int)
+                for start in range(0, len(table), LABELS_PER_BLOCK):
+                    chunk = table.column("features").slice(start, LABELS_PER_BLOCK).combine_chunks()
+                    found += [labels[k] for k in (_dense(chunk, columns) @ matrix).argmax(axis=1)]
+            return pa.table({"doc_id": table.column("doc_id").cast(id_type), "predicted_label": pa.array(found, pa.string())})
+
+        kind = rows.schema["doc_id"].dataType.simpleString()
+        return dealt.groupBy("part", "slot").cogroup(models.groupBy("part", "slot")).applyInArrow(score, f"doc_id {kind}, predicted_label string")
+
+
+def cross_validated(corpus: DataFrame, kind: str = "logistic", folds: int = 5) -> DataFrame:
+    """``(doc_id, part, predicted_part, fold)``: every sentence's part, predicted by a model that has not seen it."""
+    dealt = settle(corpus.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(folds)).cast("int")), "folds")
+    held_out = []
+    for fold in range(folds):
+        seen, rest = dealt.filter(F.col("fold") != fold), dealt.filter(F.col("fold") == fold)
+        if seen.isEmpty() or rest.isEmpty():
+            continue
+        model = TextClassifier(seen, kind)
+        told = model.predict_parts(rest.select("doc_id", "text", F.col("part").alias("truth"), "fold"))
+        held_out.append(told.select("doc_id", F.col("truth").alias("part"), F.col("part").alias("predicted_part"), "fold"))
+    if not held_out:
+        raise ValueError("The corpus is too small for folds.")
+    return reduce(DataFrame.unionByName, held_out)
+
+
+def label_corpus(taxonomy: DataFrame) -> DataFrame:
+    """One training sentence per leaf: its level names, labelled with its path and, as ``part``, its L1."""
+    return taxonomy.select(F.col("full_path").alias("doc_id"), F.concat_ws(" ", "L1", "L2", "L3", "L4").alias("text"),
+                           F.col("L1").alias("part"), F.col("full_path").alias("label"))

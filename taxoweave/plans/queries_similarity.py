@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxoweave.operators import similarity
-from taxoweave.plans.fixtures import table, view
+from taxoweave.plans.fixtures import duck_sql, table, view
 from taxoweave.plans.registry import query
 from taxoweave.session import settle
 
@@ -109,22 +109,47 @@ def hybrid_best(spark, d):
     return best.select("doc_id", F.col("rank").cast("long").alias("rank"), "label", F.round("score", 6).alias("score"))
 
 
-def _predict(spark, d, kind, level):
-    """Train on the names of the taxonomy, predict every transaction."""
-    corpus = settle(similarity.label_corpus(view(spark, d, "fx_taxonomy"), level), "corpus")
-    model = similarity.text_classifier(kind).fit(corpus)
+def _trained(spark, d, kind):
+    """A classifier trained on the names of the taxonomy, and its sentences."""
+    corpus = settle(similarity.label_corpus(view(spark, d, "fx_taxonomy")), "corpus")
+    return similarity.TextClassifier(corpus, kind), corpus
+
+
+def _predict(spark, d, kind):
+    """The leaf of every transaction."""
     rows = view(spark, d, "fx_transactions").select(
         F.col("transaction_id").alias("doc_id"), F.concat_ws(" ", "spend_description", "vendor").alias("text")
     )
-    return similarity.predict_labels(model, rows)
+    return _trained(spark, d, kind)[0].predict(rows)
 
 
-# Iterative training has no SQL form: these two are checked by row count and by tests.
+# Iterative training has no SQL form: these are checked by row count and by tests, and below on the leaves' own sentences.
 @query()
 def logistic_predictions(spark, d):
-    return _predict(spark, d, "logistic", "full_path")
+    return _predict(spark, d, "logistic")
 
 
 @query()
 def svm_predictions(spark, d):
-    return _predict(spark, d, "svm", "L1")
+    return _predict(spark, d, "svm")
+
+
+@query()
+def cross_validated(spark, d):
+    corpus = similarity.label_corpus(view(spark, d, "fx_taxonomy"))
+    return similarity.cross_validated(corpus, "logistic")
+
+
+_OWN = duck_sql("SELECT full_path AS doc_id, full_path AS predicted_label FROM fx_taxonomy")
+
+
+@query(_OWN)
+def logistic_own_sentences(spark, d):
+    model, corpus = _trained(spark, d, "logistic")
+    return model.predict(corpus)
+
+
+@query(_OWN)
+def svm_own_sentences(spark, d):
+    model, corpus = _trained(spark, d, "svm")
+    return model.predict(corpus)

@@ -69,3 +69,71 @@ def test_hybrid_over_all_labels(spark):
     for i, rows in want.items():
         assert [got[i][k] for k in (1, 2, 3)] == [(name, round(-s, 6)) for s, name in sorted(rows)[:3]]
     assert got[0][1][0] == far[0]
+
+
+# -- linear models -----------------------------------------------------------
+
+SENTENCES = [(f"{part} > {leaf}", f"{part} goods {leaf} {leaf} things", part, f"{part} > {leaf}")
+             for part, leaves in (("Office", "paper pens desks"), ("Travel", "rail air hotels taxis"), ("Plant", "pumps")) for leaf in leaves.split()]
+
+
+def corpus(spark, rows=SENTENCES):
+    return spark.createDataFrame(rows, "doc_id string, text string, part string, label string")
+
+
+def test_vectors_weigh_as_tfidf(spark):
+    docs = corpus(spark).select("doc_id", "text")
+    vectors = S.TermVectors(docs)
+    names = vectors.counter.vocabulary
+    want = {(r.doc_id, r.term): r.weight for r in S.tfidf(docs).collect()}
+    got = {(r.doc_id, names[i]): v for r in vectors.transform(docs).collect() for i, v in zip(r.features.indices, r.features.values)}
+    assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("kind", ["logistic", "svm"])
+def test_fit_stands_at_the_minimum(kind):
+    rng = np.random.default_rng(3)
+    x, y, cost = rng.normal(size=(30, 6)), np.arange(30) % 4, S.fv.CLASSIFIER_COST[kind]
+
+    def loss(w):
+        scores, mine = x @ w, y[:, None] == np.arange(4)
+        if kind == "svm":
+            return 0.5 * (w * w).sum() + cost * (np.maximum(0, 1 - np.where(mine, 1, -1) * scores) ** 2).sum()
+        return 0.5 * (w * w).sum() + cost * (np.log(np.exp(scores).sum(axis=1)) - scores[mine]).sum()
+
+    found = S._fit_linear(x, y, 4, kind)
+    best = loss(found)
+    for _ in range(200):
+        assert loss(found + rng.normal(size=found.shape) * 1e-3) > best
+
+
+@pytest.mark.parametrize("kind", ["logistic", "svm"])
+def test_classifier_in_two_levels(spark, monkeypatch, kind):
+    monkeypatch.setattr(S, "ROWS_PER_GROUP", 2)
+    model = S.TextClassifier(corpus(spark), kind)
+    assert model.models.count() == 3
+    texts = [(1, "paper for the office"), (2, "Rail travel"), (3, "pumps"), (4, "hotels hotels travel"), (4, "travel by AIR"), (5, None), (6, ""), (7, "zzz")]
+    got = model.predict(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+    told = sorted((r.doc_id, r.predicted_label) for r in got)
+    assert told[:5] == [(1, "Office > paper"), (2, "Travel > rail"), (3, "Plant > pumps"), (4, "Travel > air"), (4, "Travel > hotels")]
+    assert [i for i, _ in told[5:]] == [5, 6, 7] and {label for _, label in told[5:]} <= {r[3] for r in SENTENCES}
+    own = model.predict(corpus(spark)).collect()
+    assert len(own) == len(SENTENCES) and all(r.doc_id == r.predicted_label for r in own)
+    assert model.predict(corpus(spark).limit(0)).collect() == []
+
+
+def test_classifier_of_one_part_and_wrong_input(spark):
+    one = S.TextClassifier(corpus(spark, SENTENCES[:3]), "svm")
+    assert {r.predicted_label for r in one.predict(corpus(spark, SENTENCES[:3])).collect()} == {r[3] for r in SENTENCES[:3]}
+    with pytest.raises(ValueError):
+        S.TextClassifier(corpus(spark), "forest")
+    with pytest.raises(ValueError):
+        S.TextClassifier(corpus(spark, []))
+
+
+def test_cross_validation_predicts_every_sentence_once(spark):
+    rows = [(f"{i}", f"{part} goods number {i}", part, f"{part} {i}") for i in range(20) for part in ("Office", "Travel")]
+    rows = [(f"{r[2]}{r[0]}", *r[1:]) for r in rows]
+    got = S.cross_validated(corpus(spark, rows), "logistic", 3).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows) and len({r.fold for r in got}) == 3
+    assert all(r.part == r.predicted_part for r in got)
