@@ -221,18 +221,21 @@ def mix(sized: DataFrame, block_words: int = BLOCK_WORDS, shard_draws: int = SHA
 def mixed_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """How much of each document a mix of all sources takes.
 
-    Returns ``id_col``, ``size``, ``source_size``, ``target`` and ``taken``, one
-    row for each input row. A null text has size 0, a null source is a source
+    Returns ``id_col``, ``size``, ``source_size``, ``target``, ``taken`` and
+    ``shards`` (ascending numbers of the shards that the splitting tree dealt
+    the document's blocks to, empty if none was drawn), one row for each input
+    row. A null text has size 0, a null source is a source
     of its own. Rows that repeat an id are drawn each for itself. An empty table
     gives an empty result; other columns are ignored.
     """
     sized = settle(row_numbers(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size")), "row"), "sizes")
     draws, sources = mix(sized)
-    taken = draws.groupBy("row").agg(F.sum("words").alias("taken"))
+    taken = draws.groupBy("row").agg(F.sum("words").alias("taken"), F.array_sort(F.collect_set("shard")).alias("shards"))
     counted = sources.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.length("source"), F.lit(0)) * 4 + 64)).first()
     targets = small(sources.select(F.col("source").alias("of"), "source_size", "target"), counted[0], counted[1] or 0)
     return sized.join(targets, F.col("source").eqNullSafe(F.col("of"))).join(taken, "row", "left").select(
-        F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("shards", F.array().cast("array<bigint>")).alias("shards"))
 
 
 def block_texts(text: Column, block_words: int = BLOCK_WORDS) -> Column:

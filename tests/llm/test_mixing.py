@@ -60,6 +60,19 @@ def test_targets_and_taken_words(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_shards_of_documents_are_those_of_their_draws(spark, monkeypatch):
+    rows = [(i, "ab"[i % 2], "some words " * (1 + 40 * i), "x", 1, "y") for i in range(60)] + [(60, "a", " ", "x", 1, "y")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = mixing.mix
+    monkeypatch.setattr(mixing, "mix", lambda sized: whole(sized, shard_draws=64))
+    got = {r.doc_id: r.shards for r in mixing.mixed_sizes(df).collect()}
+    want = defaultdict(set)
+    for r in mixing.mixed_documents(df).collect():
+        want[r.doc_id].add(r.mix_shard)
+    assert got == {i: sorted(want[i]) for i in range(61)}
+    assert len(set().union(*want.values())) > 3 and got[60] == []
+
+
 def test_draws_are_disjoint_and_shards_even(spark):
     rows = [(i, s, z) for i, (s, z) in enumerate([("a", 900), ("b", 70), ("c", 3), ("a", 2000), ("b", 0)] * 20)]
     sized = spark.createDataFrame([(i, i, s, z) for i, s, z in rows], "row long, id long, source string, size long")
