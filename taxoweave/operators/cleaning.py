@@ -9,6 +9,7 @@ from taxoweave import fixed_values as fv
 from taxoweave.functions.text import squeeze, strip
 from taxoweave.operators.joins import forward_fill
 from taxoweave.schemas import LEVELS
+from taxoweave.session import settle
 
 
 def rename_sheet(raw: DataFrame, headers: dict[str, str] = fv.SHEET_HEADERS) -> DataFrame:
@@ -48,14 +49,21 @@ def flag_duplicates(transactions: DataFrame) -> DataFrame:
     """Mark every row but the first of its (description, vendor).
 
     The first id per pair is aggregated before the shuffle; a window would send
-    all copies of a hot pair to one task.
+    all copies of a hot pair to one task. Rows without an id, which the lenient
+    lane lets pass, come after those with one, in the table's order; they are
+    numbered apart.
     """
     pair = ["spend_description", "vendor"]
     first = transactions.groupBy(*pair).agg(F.min("transaction_id").alias("transaction_id"))
-    marked = first.select("transaction_id", F.lit(False).alias("is_duplicate"))
-    return transactions.join(marked, "transaction_id", "left").withColumn(
-        "is_duplicate", F.coalesce("is_duplicate", F.lit(True))
-    )
+    marked = first.filter(F.col("transaction_id").isNotNull()).select("transaction_id", F.lit(False).alias("is_duplicate"))
+    named = transactions.filter(F.col("transaction_id").isNotNull()).join(marked, "transaction_id", "left")
+    nameless = settle(transactions.filter(F.col("transaction_id").isNull()).withColumn("_row", F.monotonically_increasing_id()), "nameless")
+    # Pairs that only rows without an id have; their first row stands for itself.
+    alone = first.filter(F.col("transaction_id").isNull()).select(*[F.col(c).alias(f"_{c}") for c in pair])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in pair]
+    firsts = nameless.groupBy(*pair).agg(F.min("_row").alias("_row")).join(alone, same, "left_semi").select("_row", F.lit(False).alias("is_duplicate"))
+    rest = nameless.join(firsts, "_row", "left").select(*transactions.columns, "is_duplicate")
+    return named.select(*transactions.columns, "is_duplicate").unionByName(rest).withColumn("is_duplicate", F.coalesce("is_duplicate", F.lit(True)))
 
 
 def data_quality_report(transactions: DataFrame, taxonomy: DataFrame) -> DataFrame:

@@ -11,23 +11,37 @@ from taxoweave import fixed_values as fv
 from taxoweave.functions.text import contains_any, is_error, join_text, present
 from taxoweave.operators.joins import dimension_join
 from taxoweave.operators.matching import substring_hits
-from taxoweave.operators.retrieval import BROADCAST_LEAVES
+from taxoweave.operators.retrieval import BROADCAST_CHARS, BROADCAST_LEAVES
 from taxoweave.schemas import LEVELS
 
 Rule = tuple[int, Sequence[str], Sequence[str], Sequence[str], str]
 
 
-def fits_broadcast(taxonomy: DataFrame, limit: int = BROADCAST_LEAVES) -> bool:
-    """Count at most ``limit`` + 1 leaves and tell whether they may be broadcast."""
-    return taxonomy.limit(limit + 1).count() <= limit
+def fits_broadcast(dimension: DataFrame, most_rows: int = BROADCAST_LEAVES, most_chars: int = BROADCAST_CHARS) -> bool:
+    """Measure rows and characters of a table's texts, and tell whether it may be broadcast."""
+    texts = [F.coalesce(F.length(c), F.lit(0)) for c, kind in dimension.dtypes if kind == "string"]
+    size = dimension.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0)).alias("chars")).first()
+    return size["rows"] <= most_rows and size["chars"] <= most_chars
 
 
 def level_flags(results: DataFrame, taxonomy: DataFrame, *, bounded: bool | None = None) -> DataFrame:
     """Add ``l1_valid`` to ``l4_valid`` and ``full_path_valid``.
 
-    A level is valid when the prefix down to it exists, exactly as written.
+    A level is valid when the prefix down to it exists, exactly as written. With
+    a taxonomy that may be broadcast, rows are checked where they are. Otherwise
+    the distinct answers are, and every row is shuffled once, to join its own.
     """
-    bounded = fits_broadcast(taxonomy) if bounded is None else bounded
+    leaves = taxonomy.select(*LEVELS)
+    if fits_broadcast(leaves) if bounded is None else bounded:
+        return _flagged(results, leaves, bounded=True)
+    keyed = results.withColumn("_path", F.to_json(F.array(*[c.lower() for c in LEVELS]), {"ignoreNullFields": "false"}))
+    paths = keyed.select("_path", *[c.lower() for c in LEVELS]).groupBy("_path").agg(*[F.any_value(c.lower()).alias(c.lower()) for c in LEVELS])
+    flags = _flagged(paths, leaves, bounded=False).drop(*[c.lower() for c in LEVELS])
+    return dimension_join(keyed, flags, ["_path"], bounded=False, how="left").drop("_path")
+
+
+def _flagged(results: DataFrame, taxonomy: DataFrame, *, bounded: bool) -> DataFrame:
+    """The flags, by a join for each level."""
     for depth in range(1, 5):
         names = [c.lower() for c in LEVELS[:depth]]
         flag = f"l{depth}_valid"
