@@ -272,3 +272,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.char_length(text_col).cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns, F.col("__draw.shard").alias("mix_shard"), F.col("__draw.order").alias("mix_order"))
+
+
+def in_mixed_order(mixed: DataFrame) -> DataFrame:
+    """The rows of :func:`mixed_documents` as the mix deals them: a shard in one partition, its blocks by their order.
+
+    A shard has ``SHARD_DRAWS`` blocks at most, so a partition grows with the number of its shards only.
+    """
+    return mixed.repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_order")
