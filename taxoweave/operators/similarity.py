@@ -21,6 +21,13 @@ from taxoweave.session import settle, ship_package
 # Runs of two or more letters, digits or underscores, in any script.
 WORD = r"[\p{L}\p{N}_]{2,}"
 LABELS_PER_BLOCK = 1_024
+# Hashes of terms whose occurrences are added up, and how many for each wanted term are counted exactly at once.
+BUCKETS = 1 << 20
+FIRST_BUCKETS = 8
+# Ids that several rows share, up to which they are broadcast.
+BROADCAST_IDS = 100_000
+# Texts whose weights leave a task as one batch.
+TEXTS_PER_BATCH = 512
 # Texts that meet a part's model in one group.
 ROWS_PER_GROUP = 100_000
 
@@ -50,18 +57,89 @@ def vocabulary(counts: DataFrame, max_features: int = fv.TFIDF_MAX_FEATURES) ->
     return totals.orderBy(F.desc("total"), "term").limit(max_features)
 
 
+def _counted(listed: Column) -> Column:
+    """``(term, tf)`` of each different term of an array: lengths of the runs in its sorted form."""
+    def runs(ordered: Column) -> Column:
+        some = F.when(F.size(ordered) > 0, F.sequence(F.lit(0), F.size(ordered) - 1))
+        places = F.filter(some, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return _let(places, lambda starts: F.transform(starts, lambda at, k: F.struct(
+            F.get(ordered, at).alias("term"), (F.coalesce(F.get(starts, k + 1), F.size(ordered)) - at).cast("long").alias("tf"))))
+
+    return _let(F.sort_array(listed), runs)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def split_by_id(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``(doc_id, text)`` of rows whose id is their own, and of rows that share one or have none; None if there are no such rows."""
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col("doc_id").isNull())
+    shared = settle(ids.select(F.col("doc_id").alias("_shared")), "shared")
+    texts, n = docs.select("doc_id", "text"), shared.count()
+    if n == 0:
+        return texts, None
+    keys = F.broadcast(shared) if n <= BROADCAST_IDS else shared
+    same = F.col("doc_id").eqNullSafe(F.col("_shared"))
+    return texts.join(keys, same, "left_anti"), texts.join(keys, same, "left_semi")
+
+
+def frequent_terms(docs: DataFrame, max_features: int = fv.TFIDF_MAX_FEATURES) -> DataFrame:
+    """:func:`vocabulary` of the counts of ``docs``, written down, without a shuffle of all terms.
+
+    Occurrences are added up over hashes of terms first, which gives each term a
+    limit. Terms with the largest limits are counted exactly; the last one of
+    the best tells which other limits are still to be looked at. A text with an
+    id of its own is counted inside its row.
+    """
+    alone, met = split_by_id(docs)
+    bucket = F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int").alias("bucket")
+    occurrences = docs.select(F.explode(terms(F.col("text"))).alias("term")).select(bucket)
+    limits = settle(occurrences.groupBy("bucket").agg(F.count(F.lit(1)).alias("most")), "limits")
+
+    def exact(buckets: DataFrame) -> DataFrame:
+        few = F.broadcast(buckets.select("bucket"))  # one number each, BUCKETS at most
+
+        def asked(rows: DataFrame) -> DataFrame:
+            return rows.withColumn("bucket", bucket).join(few, "bucket", "left_semi").drop("bucket")
+
+        counts = asked(alone.select("doc_id", F.inline(_counted(terms(F.col("text"))))))
+        if met is not None:
+            repeated = asked(met.select("doc_id", F.explode(terms(F.col("text"))).alias("term")))
+            counts = counts.unionByName(repeated.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+        return settle(vocabulary(counts, max_features), "vocabulary")
+
+    first = settle(limits.orderBy(F.desc("most"), "bucket").limit(FIRST_BUCKETS * max_features), "buckets")
+    found = exact(first)
+    last = found.agg(F.count(F.lit(1)).alias("n"), F.min("total").alias("total")).first()
+    least = last["total"] if last["n"] == max_features else 0
+    if limits.join(F.broadcast(first), "bucket", "left_anti").filter(F.col("most") >= least).isEmpty():
+        return found
+    return exact(limits.filter(F.col("most") >= least))
+
+
 def tfidf(docs: DataFrame, max_features: int = fv.TFIDF_MAX_FEATURES) -> DataFrame:
-    """``(doc_id, term, weight)`` with sublinear tf, smooth idf and unit length per document."""
-    counts = settle(term_counts(docs), "terms")
-    # Limited to max_features rows, so it may be broadcast.
-    vocab = F.broadcast(vocabulary(counts, max_features))
+    """``(doc_id, term, weight)`` with sublinear tf, smooth idf and unit length per document.
+
+    Texts with an id of their own are weighed where they are, whole batches at
+    once; rows that share an id are one document, whose counts meet by key.
+    """
+    vocab = frequent_terms(docs, max_features)
+    alone, met = split_by_id(docs)
+    kind = docs.schema["doc_id"].dataType
+    learnt = TermVectors(docs, max_features, vocab) if not vocab.isEmpty() else None
+    if learnt is None:
+        return docs.select("doc_id", F.lit("").alias("term"), F.lit(0.0).alias("weight")).filter("false")
+    weights = learnt.weights(alone, kind)
+    if met is None:
+        return weights
     total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = F.log((total + 1) / (F.col("df") + 1)) + 1
-    raw = counts.join(vocab, "term").select(
-        "doc_id", "term", ((F.log("tf") + 1) * idf).alias("raw")
-    )
+    # Limited to max_features rows, so it may be broadcast.
+    raw = term_counts(met).join(F.broadcast(vocab), "term").select("doc_id", "term", ((F.log("tf") + 1) * idf).alias("raw"))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
-    return raw.withColumn("weight", F.col("raw") / length).drop("raw")
+    return weights.unionByName(raw.withColumn("weight", F.col("raw") / length).drop("raw"))
 
 
 # -- vectors -----------------------------------------------------------------
@@ -265,12 +343,13 @@ class TermVectors:
     The vocabulary has ``max_features`` terms at most.
     """
 
-    def __init__(self, docs: DataFrame, max_features: int = fv.TFIDF_MAX_FEATURES):
+    def __init__(self, docs: DataFrame, max_features: int = fv.TFIDF_MAX_FEATURES, vocab: DataFrame | None = None):
         ship_package(docs.sparkSession)
-        found = vocabulary(term_counts(docs), max_features).collect()
+        found = (frequent_terms(docs, max_features) if vocab is None else vocab).orderBy(F.desc("total"), "term").collect()
         if not found:
             raise ValueError("The documents hold no terms to learn from.")
         self.counter = CountVectorizerModel.from_vocabulary([r.term for r in found], inputCol="_terms", outputCol="features")
+        self.terms = [r.term for r in found]
         self.idf = np.log((docs.count() + 1) / (np.array([r.df for r in found]) + 1)) + 1
 
     def transform(self, texts: DataFrame) -> DataFrame:
@@ -294,6 +373,26 @@ class TermVectors:
         return counted.mapInArrow(run, counted.schema)
 
 
+    def weights(self, texts: DataFrame, kind: T.DataType) -> DataFrame:
+        """``(doc_id, term, weight)`` of ``(doc_id, text)``, a row for each known term of a text."""
+        listed = texts.select("doc_id", F.coalesce(terms(F.col("text")), F.array().cast("array<string>")).alias("_terms"))
+        counted = self.counter.transform(listed).drop("_terms")
+        idf, names = self.idf, self.terms
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = pa.array(names, pa.string())
+            for whole in batches:
+                for start in range(0, whole.num_rows, TEXTS_PER_BATCH):
+                    batch = whole.slice(start, TEXTS_PER_BATCH)
+                    places, counts, rows = _flat(batch.column("features"))
+                    raw = (np.log(counts) + 1) * idf[places]
+                    length = np.sqrt(np.bincount(rows, raw * raw, batch.num_rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").take(pa.array(rows)), known.take(pa.array(places)), pa.array(raw / length[rows])], ["doc_id", "term", "weight"])
+
+        return counted.mapInArrow(run, f"doc_id {kind.simpleString()}, term string, weight double")
+
+
 def _flat(vectors: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places, values and row numbers of the entries of sparse vectors."""
     _, _, indices, values = vectors.flatten()

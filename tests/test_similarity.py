@@ -137,3 +137,27 @@ def test_cross_validation_predicts_every_sentence_once(spark):
     got = S.cross_validated(corpus(spark, rows), "logistic", 3).collect()
     assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows) and len({r.fold for r in got}) == 3
     assert all(r.part == r.predicted_part for r in got)
+
+
+def test_terms_in_few_buckets_and_shared_ids_equal_plain_counts(spark, monkeypatch):
+    rows = [(i, f"w{i % 7} common w{i % 3} common rare{i} w{i % 7}") for i in range(40)]
+    rows += [(3, "common again"), (3, "w1 common"), (None, "w2 w2"), (None, "common w2"), (90, None), (91, ""), (92, "a b"), (93, "\u00c9t\u00e9 \u00c9t\u00e9")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = S.term_counts(docs)
+    for most in (1, 30, 1_000):
+        for buckets, first in ((1, 1), (16, 1), (1 << 20, 1)):
+            monkeypatch.setattr(S, "BUCKETS", buckets)
+            monkeypatch.setattr(S, "FIRST_BUCKETS", first)
+            want = sorted(map(tuple, S.vocabulary(counts, most).collect()))
+            assert sorted(map(tuple, S.frequent_terms(docs, most).collect())) == want
+    vocab = {r.term: r.df for r in S.vocabulary(counts, 30).collect()}
+    raw = {(r.doc_id, r.term): (math.log(r.tf) + 1) * (math.log((len(rows) + 1) / (vocab[r.term] + 1)) + 1) for r in counts.collect() if r.term in vocab}
+    length = {i: math.sqrt(sum(x * x for (k, _), x in raw.items() if k == i)) for i, _ in raw}
+    got = {(r.doc_id, r.term): r.weight for r in S.tfidf(docs, 30).collect()}
+    assert got == pytest.approx({k: x / length[k[0]] for k, x in raw.items()})
+
+
+def test_texts_of_their_own_are_not_shuffled_for_their_weights(spark):
+    docs = spark.createDataFrame([(i, f"w{i} common") for i in range(9)], "doc_id long, text string")
+    plan = S.tfidf(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
