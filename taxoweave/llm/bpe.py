@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -381,17 +382,21 @@ def _model(spec: str, forms: tuple[str, ...]) -> WordBpe:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
-    """Rows in parts of bounded size; a longer text is a part of its own."""
+    """Rows in parts of bounded size; a longer text is a part of its own.
+
+    Only the texts of one part are Python strings at a time.
+    """
     for batch in batches:
-        keys, texts = batch.column(0), batch.column(1).to_pylist()
+        keys, column = batch.column(0), batch.column(1)
+        lengths = pc.utf8_length(column).to_pylist()
         start, chars = 0, 0
-        for i, text in enumerate(texts):
-            chars += len(text)
+        for i, length in enumerate(lengths):
+            chars += length
             if chars >= BATCH_CHARS or i + 1 - start >= BATCH_ROWS:
-                yield keys.slice(start, i + 1 - start), texts[start:i + 1]
+                yield keys.slice(start, i + 1 - start), column.slice(start, i + 1 - start).to_pylist()
                 start, chars = i + 1, 0
-        if start < len(texts):
-            yield keys.slice(start), texts[start:]
+        if start < len(lengths):
+            yield keys.slice(start), column.slice(start).to_pylist()
 
 
 def _sha256(text: str) -> str:
