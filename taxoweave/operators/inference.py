@@ -61,6 +61,18 @@ def complete_prompts(prompts: DataFrame, factory: Callable[[], Complete], *, in_
     return rows.mapInPandas(run, "batch_no bigint, response string, error string")
 
 
+def _same(a: object, b: object) -> bool:
+    """Whether two batch numbers are equal, a missing one being a number of its own."""
+    return a == b or (pd.isna(a) and pd.isna(b))
+
+
+def _starts(numbers: pd.Series) -> list[int]:
+    """Places behind the first where another batch number begins."""
+    before = numbers.shift()
+    other = (numbers != before) & ~(numbers.isna() & before.isna())
+    return [int(i) for i in other.to_numpy().nonzero()[0] if i]
+
+
 def classify_batches(rows: DataFrame, factory: Callable[[], Classify]) -> DataFrame:
     """New results from a function over the rows of one batch.
 
@@ -69,22 +81,51 @@ def classify_batches(rows: DataFrame, factory: Callable[[], Classify]) -> DataFr
     raises becomes error rows.
     """
     ship_package(rows.sparkSession)
-    state: dict[str, Classify] = {}
-
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        try:
-            if "classify" not in state:
-                state["classify"] = factory()
-            answer = state["classify"](batch).assign(api_error=None)
-        except Exception as exc:
-            answer = pd.DataFrame({"transaction_id": batch["transaction_id"]}).assign(
-                l1=None, l2=None, l3=None, l4=None, classification_reason=None, confidence_level=None,
-                human_review_required=True, api_error=f"{type(exc).__name__}: {exc}",
-            )
-        return answer[columns]
-
     columns = [field.split()[0] for field in f"{ANSWER_COLUMNS}, api_error string".split(", ")]
-    answers = rows.groupBy("batch_no").applyInPandas(run, f"{ANSWER_COLUMNS}, api_error string")
+    whole_numbers = [c for c, kind in rows.dtypes if kind in ("bigint", "int")]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        classify = None
+
+        def answer(batch: pd.DataFrame) -> pd.DataFrame:
+            nonlocal classify
+            try:
+                classify = classify or factory()
+                found = classify(batch).assign(api_error=None)
+            except Exception as exc:
+                found = pd.DataFrame({"transaction_id": batch["transaction_id"]}).assign(
+                    l1=None, l2=None, l3=None, l4=None, classification_reason=None, confidence_level=None,
+                    human_review_required=True, api_error=f"{type(exc).__name__}: {exc}",
+                )
+            return found[columns]
+
+        def whole(pieces: list[pd.DataFrame]) -> pd.DataFrame:
+            batch = pieces[0].reset_index(drop=True) if len(pieces) == 1 else pd.concat(pieces, ignore_index=True)
+            # A missing number elsewhere in a frame makes a column float; a batch without one has whole numbers.
+            return batch.astype({c: "int64" for c in whole_numbers if batch[c].dtype == float and batch[c].notna().all()}, copy=False)
+
+        def together(answers: list[pd.DataFrame]) -> pd.DataFrame:
+            return pd.DataFrame({c: [x for a in answers for x in a[c].tolist()] for c in columns}, dtype=object)
+
+        rest = []
+        for frame in frames:
+            # A batch ends where another number begins; the last one may go on in the next frame.
+            cuts = [0, *(_starts(frame["batch_no"])), len(frame)]
+            pieces = [frame.iloc[a:b] for a, b in zip(cuts, cuts[1:])]
+            answers = []
+            for piece in pieces:
+                if rest and not _same(rest[-1]["batch_no"].iloc[-1], piece["batch_no"].iloc[0]):
+                    answers.append(answer(whole(rest)))
+                    rest = []
+                rest.append(piece)
+            if answers:
+                yield together(answers)
+        if rest:
+            yield together([answer(whole(rest))])
+
+    # The rows of a batch come to one partition side by side; a partition's batches go through one call of Python.
+    dealt = rows.repartition("batch_no").sortWithinPartitions("batch_no")
+    answers = dealt.mapInPandas(run, f"{ANSWER_COLUMNS}, api_error string")
     tops = rows.select("transaction_id", F.get("raw_paths", F.lit(0)).alias("top_path"))
     levels = [F.col(c) for c in ("l1", "l2", "l3", "l4")]
     full = (F.coalesce(levels[0], F.lit("")) != "") & (F.coalesce(levels[3], F.lit("")) != "")
@@ -141,15 +182,17 @@ def first_path_classifier() -> Classify:
     """The same default as a batch function, for the pandas hook."""
 
     def classify(batch: pd.DataFrame) -> pd.DataFrame:
-        levels = pd.DataFrame(
-            [paths[0].split(fv.PATH_SEPARATOR) if len(paths) else [None] * 4 for paths in batch["raw_paths"]],
-            columns=["l1", "l2", "l3", "l4"], index=batch.index,
-        )
+        levels = [paths[0].split(fv.PATH_SEPARATOR) if len(paths) else [None] * 4 for paths in batch["raw_paths"]]
+        width = max(map(len, levels))
+        if width != 4:
+            raise ValueError(f"4 columns passed, passed data had {width} columns")
+        levels = [found + [None] * (4 - len(found)) for found in levels]
         names = {"strong": "HIGH", "moderate": "MEDIUM", "weak": "LOW"}
-        return pd.concat([batch[["transaction_id"]], levels], axis=1).assign(
-            classification_reason="first candidate",
-            confidence_level=batch["branch"].map(names),
-            human_review_required=batch["branch"] == "weak",
-        )
+        branches = batch["branch"].tolist()
+        return pd.DataFrame({
+            "transaction_id": batch["transaction_id"], **{f"l{k + 1}": [found[k] for found in levels] for k in range(4)},
+            "classification_reason": "first candidate", "confidence_level": [names.get(b) for b in branches],
+            "human_review_required": [b == "weak" for b in branches],
+        }, index=batch.index)
 
     return classify

@@ -184,8 +184,9 @@ def _careless():
 
     def classify(batch):
         found = answer(batch)
-        found.loc[batch["spend_description"].str.contains("URGENT"), "confidence_level"] = "low"
-        found.loc[batch["spend_description"].str.contains("HIGH"), "l3"] = None
+        texts = batch["spend_description"].tolist()
+        found["confidence_level"] = ["low" if "URGENT" in text else level for text, level in zip(texts, found["confidence_level"].tolist())]
+        found["l3"] = [None if "HIGH" in text else level for text, level in zip(texts, found["l3"].tolist())]
         return found
 
     return classify
@@ -210,7 +211,7 @@ def _refuses_urgent():
     answer = first_path_classifier()
 
     def classify(batch):
-        if (batch["spend_description"].str.contains("URGENT") & batch["spend_description"].str.contains("promo")).any():
+        if any("URGENT" in text and "promo" in text for text in batch["spend_description"]):
             raise RuntimeError("refused")
         return answer(batch)
 

@@ -163,3 +163,33 @@ def test_empty_gold_gives_nulls(spark, taxonomy):
     assert row.total_evaluated == 0 and row.l1_accuracy_pct is None
     assert status_summary(pred).first().pct_accepted == 0.0
     assert "from_cache" not in responses_schema().fieldNames()
+
+
+def test_batch_function_sees_each_batch_once_and_whole(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # batches go on from frame to frame
+    try:
+        rows = spark.range(200).select(
+            F.col("id").alias("transaction_id"), F.when(F.col("id") < 150, F.floor(F.col("id") / 10)).cast("long").alias("batch_no"),
+            F.when(F.col("id") % 40 != 0, F.col("id")).alias("number"), F.array(F.lit("a > b > c > d")).alias("raw_paths"))
+
+        def factory():
+            def answer(batch):
+                if len(batch) == 10 and 70 in set(batch["transaction_id"]):
+                    raise RuntimeError("no")
+                kind = f"{len(batch)} {batch['number'].dtype} {batch.index[0]}"
+                return batch[["transaction_id"]].assign(l1=kind, l2="b", l3="c", l4="d", classification_reason=None, confidence_level="LOW", human_review_required=False)
+            return answer
+
+        got = {r.transaction_id: r for r in inference.classify_batches(rows.repartition(3), factory).collect()}
+        plan = inference.classify_batches(rows, factory)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 200
+    for i, r in got.items():
+        if 70 <= i < 80:
+            assert r.api_error == "RuntimeError: no" and r.l1 is None and r.human_review_required
+        elif i >= 150:
+            assert r.l1 == "50 float64 0" and r.api_error is None
+        else:
+            assert r.l1 == f"10 {'float64' if i // 10 % 4 == 0 else 'int64'} 0"
+    assert "FlatMapGroupsInPandas" not in plan  # one call of Python for a partition, not one for a batch
