@@ -36,6 +36,10 @@ from taxoweave.session import settle
 BROADCAST_LEAVES = 100_000
 BROADCAST_CHARS = 50_000_000
 
+# Answers to distinct signatures up to these bounds come to the rows.
+BROADCAST_ANSWERS = 50_000
+BROADCAST_ANSWER_CHARS = 16_000_000
+
 # A taxonomy above this many leaves is ranked by bounds. Postings of a block, and the
 # features and leaves of each that give a signature its first limit.
 PRUNED_LEAVES = 1_000
@@ -370,10 +374,22 @@ class TaxonomyIndex:
 
     @staticmethod
     def _back_to_queries(signatures: DataFrame, answers: DataFrame) -> DataFrame:
-        keys = signatures.select("query_id", *_SIG)
-        counts = keys.groupBy(*_SIG).agg(F.count(F.lit(1)).alias("n_queries"))
+        return TaxonomyIndex._back_to_rows(signatures.select("query_id", *_SIG), answers, "query_id")
+
+    @staticmethod
+    def _back_to_rows(rows: DataFrame, answers: DataFrame, spread: str) -> DataFrame:
+        """Rows that carry a signature with its answer.
+
+        Answers are one for each distinct signature; measured to be few, they
+        come to the rows, so that rows do not travel with what is said of them.
+        """
+        answers = settle(answers, "answers")
+        size = answers.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct(*answers.columns)))).alias("chars")).first()
+        if size.n <= BROADCAST_ANSWERS and (size.chars or 0) <= BROADCAST_ANSWER_CHARS:
+            return rows.join(F.broadcast(answers), _SIG).drop(*_SIG)
+        counts = rows.groupBy(*_SIG).agg(F.count(F.lit(1)).alias("n_queries"))
         return hot_key_join(
-            keys, answers, _SIG, counts=counts, rows="n_queries", spread=["query_id"], how="inner"
+            rows, answers, _SIG, counts=counts, rows="n_queries", spread=[spread], how="inner"
         ).drop(*_SIG)
 
     def candidates(self, queries: DataFrame, top_n: int = fv.DEFAULT_TOP_N) -> DataFrame:
@@ -386,13 +402,28 @@ class TaxonomyIndex:
 
     def contexts(self, queries: DataFrame, top_n: int = fv.DEFAULT_TOP_N) -> DataFrame:
         """``(query_id, branch, max_score, paths, raw_paths)`` for prompts."""
+        return self._joined(queries, top_n, self._context_columns())
+
+    @staticmethod
+    def _context_columns() -> dict[str, Column]:
         listed = F.col("candidates")
-        return self._joined(queries, top_n, {
+        return {
             "branch": F.col("branch"),
             "max_score": F.col("max_score"),
             "paths": F.transform(listed, lambda c: with_note(c["full_path"], c["boundary_note"])),
             "raw_paths": F.transform(listed, lambda c: c["full_path"]),
-        })
+        }
+
+    def with_contexts(self, rows: DataFrame, key: str, queries: DataFrame, top_n: int = fv.DEFAULT_TOP_N) -> DataFrame:
+        """``rows`` whose ``key`` is a query's id, with the columns of :meth:`contexts`.
+
+        Rows meet the hashes of their signature first and the lists of paths last.
+        """
+        signatures = self.signatures(queries)
+        ranked = self.rank_signatures(signatures, top_n)
+        answers = ranked.select(*_SIG, *[c.alias(name) for name, c in self._context_columns().items()])
+        marked = rows.join(signatures.select(F.col("query_id").alias(key), *_SIG), key)
+        return self._back_to_rows(marked, answers, key)
 
     def explain(self, queries: DataFrame, top_n: int = fv.DEFAULT_TOP_N) -> DataFrame:
         """One row per candidate and matched signal: what earned which points."""

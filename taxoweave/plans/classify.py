@@ -40,8 +40,7 @@ class Settings:
 
 def with_context(rows: DataFrame, index: TaxonomyIndex, settings: Settings = Settings()) -> DataFrame:
     """Rows with their candidates."""
-    contexts = index.contexts(transaction_queries(rows), settings.top_n).withColumnRenamed("query_id", "transaction_id")
-    return rows.join(contexts, "transaction_id")
+    return index.with_contexts(rows, "transaction_id", transaction_queries(rows), settings.top_n)
 
 
 def batches_with_context(rows: DataFrame, index: TaxonomyIndex, settings: Settings = Settings()) -> DataFrame:
