@@ -145,3 +145,36 @@ def test_large_lexicons_are_not_broadcast(spark, monkeypatch):
     assert not lexicon.bounded
     assert {r.query_id: r.tokens for r in R.expand_tokens(queries, lexicon).collect()} == small
     assert small[1] == ["compute", "contractors", "digital", "staff", "temp", "twin"]
+
+
+def test_similar_leaves_open_few_blocks(spark, monkeypatch):
+    """Names of few words on very many leaves: neither a rare number nor words that never stand together open whole lists."""
+    from taxoweave.schemas import TAXONOMY as SCHEMA
+
+    rng = random.Random(4)
+    leaves = []
+    for i in range(2_400):
+        name = f"{rng.choice(['large', 'small', 'hot', 'old'])} {rng.choice(['ring', 'plate', 'bolt', 'rod'])}"
+        levels = (rng.choice(["LARGE", "SMALL", "PROMO"]), f"Brand#{rng.randrange(25)}", name, f"{name} {i}")
+        leaves.append((i + 1, *levels, " > ".join(levels), "seventh shelf" if i % 50 == 7 else ""))
+    synonyms = {"urgent": ("hot", "plate"), "not specified": ("old", "rod")}
+    rows = [(i, f"{leaf[4]}, {rng.choice(['1-URGENT', '3-MEDIUM', '4-NOT SPECIFIED'])}") for i, leaf in enumerate(rng.sample(leaves, 60))]
+    index = R.TaxonomyIndex(spark.createDataFrame(leaves, SCHEMA), R.Lexicon(synonyms=synonyms))
+    queries = spark.createDataFrame(rows, "query_id bigint, text string")
+    found = {}
+    for row in index.candidates(queries, 15).collect():
+        found.setdefault(row.query_id, []).append((row.rank, row.ordinal, row.score))
+    for key, text in rows:
+        _, ranked = candidates(text, leaves, set(index.lexicon.stopwords), synonyms, 15)
+        assert [r[1:] for r in sorted(found[key])] == [tuple(r) for r in ranked], text
+    pairs = index.contenders(index._distinct(index.signatures(queries))).count()
+    assert pairs < 0.08 * len(rows) * len(leaves)
+    met = index._triggers.filter("kind = 'g'").groupBy("probe").count().agg(F.max("count")).first()[0]
+    assert met < 0.02 * len(leaves)
+
+
+def test_salted_copies_are_not_broadcast(spark):
+    from taxoweave.operators.joins import dimension_join
+
+    plan = dimension_join(spark.range(100), spark.range(10), ["id"], bounded=False)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
