@@ -10,6 +10,7 @@ from taxoweave.functions.text import path_of, present
 from taxoweave.operators.incremental import BODY
 from taxoweave.operators.joins import one_row_per_key
 from taxoweave.schemas import RESPONSE_ITEM, RESPONSE_LIST, RESPONSE_OBJECT
+from taxoweave.session import settle
 
 FIELDS = RESPONSE_ITEM.fieldNames()
 
@@ -72,10 +73,11 @@ def explode_items(parsed: DataFrame) -> DataFrame:
 def last_per_id(items: DataFrame) -> DataFrame:
     """Of several answers to one id, the last one: of the highest batch, and there of the highest place.
 
-    Batch and place make one number; a batch holds fewer than 2**20 items.
+    Batch and place make one number; a batch holds fewer than 2**20 items. The
+    items are written down, for they are read twice and parsing them is most of the work.
     """
     order = F.col("batch_no") * F.lit(1 << 20) + F.col("item_no") + 1  # rows of failed batches have the place -1
-    newest = one_row_per_key(items.withColumn("_order", order), ["transaction_id"], "_order", last=True).drop("_order")
+    newest = one_row_per_key(settle(items.withColumn("_order", order), "items"), ["transaction_id"], "_order", last=True).drop("_order")
     return newest.select("transaction_id", *[c for c in items.columns if c != "transaction_id"])
 
 
