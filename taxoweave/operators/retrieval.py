@@ -40,6 +40,9 @@ BROADCAST_CHARS = 50_000_000
 BROADCAST_ANSWERS = 50_000
 BROADCAST_ANSWER_CHARS = 16_000_000
 
+# A lexicon of this many keys stands in the plan as it is.
+LITERAL_KEYS = 256
+
 # A taxonomy above this many leaves is ranked by bounds. Postings of a block, and the
 # features and leaves of each that give a signature its first limit.
 PRUNED_LEAVES = 1_000
@@ -87,10 +90,17 @@ class Lexicon:
 
 def expand_tokens(queries: DataFrame, lexicon: Lexicon) -> DataFrame:
     """``(query_id, tokens)``: token set with synonyms added, sorted."""
+    words = token_set(F.col("text"), lexicon.stopwords)
+    if lexicon.bounded and len(lexicon.synonyms) <= LITERAL_KEYS:
+        # A row of its own, so that the words are cut out of a text once however often they are named.
+        own = queries.select("query_id", F.inline(F.array(F.struct(words.alias("_words"), F.lower("text").alias("_text")))))
+        listed = own.select("query_id", F.concat("_words", _added_tokens(F.col("_words"), F.col("_text"), lexicon)).alias("_tokens"))
+        folded = listed.groupBy("query_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_tokens")))).alias("tokens"))
+        return folded.filter(F.size("tokens") > 0)
     spark = queries.sparkSession
     table = lexicon.table(spark)
     lowered = F.lower("text")
-    words = queries.select("query_id", F.explode(token_set(F.col("text"), lexicon.stopwords)).alias("key"))
+    words = queries.select("query_id", F.explode(words).alias("key"))
     by_word = dimension_join(words, table.filter(~F.col("is_phrase")), ["key"], bounded=lexicon.bounded).select("query_id", "token")
     hits = by_word.unionByName(words.withColumnRenamed("key", "token"))
     phrases = table.filter("is_phrase").select(F.col("key").alias("needle"), "token")
@@ -100,6 +110,20 @@ def expand_tokens(queries: DataFrame, lexicon: Lexicon) -> DataFrame:
     return hits.groupBy("query_id").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
 
 
+def _added_tokens(words: Column, lowered: Column, lexicon: Lexicon) -> Column:
+    """What a lexicon of few keys adds to a text, from the row alone."""
+    def strings(values) -> Column:
+        return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+    if not lexicon.synonyms:
+        return strings([])
+    phrases = [key for key in lexicon.synonyms if " " in key]
+    met = F.array_intersect(words, strings(key for key in lexicon.synonyms if " " not in key))
+    said = F.array_compact(F.array(*[F.when(F.contains(lowered, F.lit(key)), F.lit(key)) for key in phrases]).cast("array<string>"))
+    adds = F.create_map(*[c for key, tokens in lexicon.synonyms.items() for c in (F.lit(key), strings(tokens))])
+    return F.flatten(F.transform(F.concat(met, said), lambda key: F.element_at(adds, key)))
+
+
 class TaxonomyIndex:
     """Inverted index of a taxonomy for one lexicon.
 

@@ -178,3 +178,18 @@ def test_salted_copies_are_not_broadcast(spark):
 
     plan = dimension_join(spark.range(100), spark.range(10), ["id"], bounded=False)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_few_keys_need_no_row_for_each_word(spark):
+    """A lexicon of few keys gives what the joins give, ids that repeat and null ones included, without a row for each word."""
+    rows = [(1, "Digital Twin temp"), (1, "salesforce"), (None, "temp zz"), (2, ""), (3, None), (4, "xdigital twinx"), (5, "the of")]
+    queries = spark.createDataFrame(rows, "query_id bigint, text string")
+    found = R.expand_tokens(queries, R.Lexicon(synonyms=SYNONYMS))
+    got = {r.query_id: r.tokens for r in found.collect()}
+    assert got == {
+        1: ["apps", "compute", "contractors", "crm", "digital", "salesforce", "staff", "temp", "twin"],
+        None: ["contractors", "staff", "temp", "zz"], 4: ["compute", "twinx", "xdigital"],
+    }
+    assert "explode" not in found._jdf.queryExecution().executedPlan().toString().lower()  # one row for each text only
+    plain = {r.query_id: r.tokens for r in R.expand_tokens(queries, R.Lexicon(synonyms={})).collect()}
+    assert plain[4] == ["twinx", "xdigital"]
