@@ -16,6 +16,8 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,19 +25,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import or_empty, ship_package, tidy, worker_cache
+from .common import give_back, or_empty, ship_package, tidy, worker_cache
 
 #: Words a worker remembers before it starts anew; longer words are not remembered.
-CACHED_WORDS = 100_000
+CACHED_WORDS = 60_000
 CACHED_LENGTH = 64
 #: Rows and characters after which a worker hands over a batch.
 BATCH_ROWS = 2_000
-BATCH_CHARS = 500_000
+BATCH_CHARS = 250_000
 #: Letters up to which a word's lowest rank is searched for directly.
 SHORT = 64
 #: Words merged side by side.
-SIDE_BY_SIDE = 8_000
+SIDE_BY_SIDE = 2_000
 NEVER = np.iinfo(np.int64).max
+#: The same along the edges of tokens, whose arrays are kept for each level.
+NO_END = np.iinfo(np.int32).max
 
 # White space of the vocabulary's patterns, and the contractions that are words of their own.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -74,25 +78,34 @@ class WordBpe:
     """A vocabulary with its merges, read from the JSON of a tokenizer file."""
 
     def __init__(self, spec: str, forms: tuple[str, ...] = ("text", "decoded")) -> None:
-        """``forms`` names what is remembered of a word: ``text`` (decimal ids), ``decoded`` or ``numbers`` (four bytes an id)."""
+        """``forms`` names what is remembered of a word: ``text`` (decimal ids), ``decoded`` or ``numbers`` (four bytes an id).
+
+        What no form needs is not kept, and parts of the file are let go as soon as they are read.
+        """
         self.makers = [{"text": self.text, "decoded": self.decode, "numbers": self.numbers}[f] for f in forms]
         data = json.loads(spec)
         model = data["model"]
         suffix = model["end_of_word_suffix"]
-        vocab: dict[str, int] = model["vocab"]
+        vocab: dict[str, int] = model.pop("vocab")
+        merges = model.pop("merges")
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
-        self.inner = {t: i for t, i in vocab.items() if not t.endswith(suffix)}
+        del data, model
+        size = max(*vocab.values(), *self.special.values()) + 1 if self.special else max(vocab.values()) + 1
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in merges)
+        self.merged_ids, keys = np.empty(len(merges), np.int64), np.empty(len(merges), np.int64)
+        for r, (a, b) in enumerate(pairs):
+            self.merged_ids[r], keys[r] = vocab[a + b], vocab[a] << 32 | vocab[b]
+        del merges, pairs
+        self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()} if "decoded" in forms else {}
+        self.decimals = [str(i) for i in range(size)] if "text" in forms else []
+        inner = {t: i for t, i in vocab.items() if not t.endswith(suffix)}
         self.final = {t.removesuffix(suffix): i for t, i in vocab.items() if t.endswith(suffix)}
+        del vocab
         self.byte_chars = _byte_chars()
-        self._index_letters()
-        self.decimals = [str(i) for i in range(max(self.tokens) + 1)]
+        self._index_letters(inner)
+        del inner
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.rank_of = {(vocab[a], vocab[b]): r for r, (a, b) in enumerate(pairs)}
-        self.merged = [vocab[a + b] for a, b in pairs]
-        self.merged_ids = np.array(self.merged, np.int64)
-        self._index_merges(max(self.tokens) + 1)
+        self._index_merges(keys, size)
         # Classes that end at U+FFFF are tables for the pattern matcher, others lists of ranges.
         self.words, self.plane_words = (
             re.compile(f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+")
@@ -101,51 +114,43 @@ class WordBpe:
         self.cache: dict[str | int, tuple] = {}
         self.older: dict[str | int, tuple] = {}
 
-    def _index_merges(self, size: int) -> None:
+    def _index_merges(self, pairs: np.ndarray, size: int) -> None:
         """Arrays over tokens: whether a token encodes to itself, and the pieces along its left and right edge.
 
+        ``pairs`` has the two ids of each merge in one number, by rank.
         ``spines[side][level]`` is ``(piece, end)``: a piece at that edge of the
         token, and the rank of the merge that takes it up.
         """
-        ordered = sorted((a << 32 | b, r) for (a, b), r in self.rank_of.items())
-        self.keys = np.array([k for k, _ in ordered], np.int64)
-        self.key_ranks = np.array([r for _, r in ordered], np.int64)
-        made: dict[int, tuple[int, int, int]] = {}
-        for (a, b), r in self.rank_of.items():
-            made.setdefault(self.merged[r], (a, b, r))
-        self.sound = np.ones(size, bool)
+        order = np.argsort(pairs, kind="stable")
+        last = np.append(np.diff(pairs[order]) != 0, True)  # of a repeated pair the last rank holds
+        self.keys, self.key_ranks = pairs[order][last], order[last]
+        first = np.full(size, -1, np.int64)  # the merge that makes a token
+        first[self.merged_ids[::-1]] = np.arange(len(pairs))[::-1]
+        joined = np.flatnonzero(first >= 0)
+        joined = joined[np.argsort(first[joined])]
+        limit = first[joined]
+        parts = pairs[limit] >> 32, pairs[limit] & 0xFFFFFFFF
         spines = []
-        for side in (0, 1):
-            piece, end = np.arange(size, dtype=np.int64), np.full(size, NEVER)
+        for part in parts:
+            piece, end = np.arange(size, dtype=np.int32), np.full(size, NO_END, np.int32)
             levels = [(piece, end)]
-            parent = np.full(size, -1, np.int64)
-            rank = np.full(size, -1, np.int64)
-            for t, (a, b, r) in made.items():
-                parent[t], rank[t] = (a, b)[side], r
+            parent, rank = np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+            parent[joined], rank[joined] = part, limit
             while (piece >= 0).any():
                 live = piece >= 0
-                piece, end = np.where(live, parent[piece], -1), np.where(live, rank[piece], NEVER)
+                piece, end = np.where(live, parent[piece], np.int32(-1)), np.where(live, rank[piece], np.int32(NO_END))
                 if (piece >= 0).any():
                     levels.append((piece, end))
             spines.append(levels)
         self.left_edge, self.right_edge = spines
         # The argument about borders needs merges that come after their parts.
-        order = {t: r for t, (_, _, r) in made.items()}
-        late = all(order.get(a, -1) < r and order.get(b, -1) < r for (a, b), r in self.rank_of.items())
-        for t, (a, b, r) in made.items():
-            self.sound[t] = late
+        late = ((first[self.keys >> 32] < self.key_ranks) & (first[self.keys & 0xFFFFFFFF] < self.key_ranks)).all()
+        self.sound = np.ones(size, bool)
+        self.sound[joined] = late
         if late:
-            for t in sorted(made, key=order.get):
-                a, b, r = made[t]
-                self.sound[t] = self.sound[a] and self.sound[b]
-            joined = np.array(sorted(made))
-            a = np.array([made[t][0] for t in joined])
-            b = np.array([made[t][1] for t in joined])
-            limit = np.array([made[t][2] for t in joined])
-            broken = set(joined[~self.compatible(a, b, limit)].tolist())
-            for t in sorted(made, key=order.get):
-                a, b, r = made[t]
-                self.sound[t] = t not in broken and self.sound[a] and self.sound[b]
+            good = self.compatible(*parts, limit)
+            for t, a, b, whole in zip(joined.tolist(), *(x.tolist() for x in (*parts, good))):
+                self.sound[t] = whole and self.sound[a] and self.sound[b]
 
     def compatible(self, a: np.ndarray, b: np.ndarray, before: np.ndarray | int = NEVER) -> np.ndarray:
         """For each pair of tokens, whether no merge of a rank below ``before`` crosses their border.
@@ -157,7 +162,7 @@ class WordBpe:
         good = np.ones(len(a), bool)
         before = np.broadcast_to(np.asarray(before, np.int64), a.shape)
         for piece_a, end_a in self.right_edge:
-            x, x_end = piece_a[a], end_a[a]
+            x, x_end = piece_a[a].astype(np.int64), end_a[a]
             for piece_b, end_b in self.left_edge:
                 y = piece_b[b]
                 look = np.flatnonzero(good & (x >= 0) & (y >= 0))
@@ -170,20 +175,20 @@ class WordBpe:
                 good[look[crossed]] = False
         return good
 
-    def _index_letters(self) -> None:
+    def _index_letters(self, inner: dict[str, int]) -> None:
         """A trie over the bytes of all tokens: sorted edges, and the token that ends at each node inside and at the end of a word."""
         code = {c: b for b, c in self.byte_chars.items()}
         nodes: dict[str, int] = {"": 0}
         edges = []
-        for token in [*self.inner, *self.final]:
+        for token in chain(inner, self.final):
             for end in range(1, len(token) + 1):
                 if token[:end] not in nodes:
                     nodes[token[:end]] = len(nodes)
-                    edges.append((nodes[token[: end - 1]] << 8 | code[token[end - 1]], nodes[token[:end]]))
-        edges.sort()
-        self.edge_keys, self.edge_nodes = (np.array(x, np.int64) for x in zip(*edges))
-        self.inner_at, self.final_at = (np.array([kind.get(prefix, -1) for prefix in nodes], np.int64) for kind in (self.inner, self.final))
-        self.inner_of, self.final_of = (np.array([kind[self.byte_chars[b]] for b in range(256)], np.int64) for kind in (self.inner, self.final))
+                    edges.append((nodes[token[: end - 1]] << 8 | code[token[end - 1]]) << 32 | nodes[token[:end]])
+        edges = np.sort(np.array(edges, np.int64))
+        self.edge_keys, self.edge_nodes = edges >> 32, edges & 0xFFFFFFFF
+        self.inner_at, self.final_at = (np.array([kind.get(prefix, -1) for prefix in nodes], np.int64) for kind in (inner, self.final))
+        self.inner_of, self.final_of = (np.array([kind[self.byte_chars[b]] for b in range(256)], np.int64) for kind in (inner, self.final))
 
     def propose(self, letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The greedy cut into the longest tokens, of all words at once: ``tokens``, word after word, and each one's ``owner``.
@@ -275,24 +280,32 @@ class WordBpe:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.key_ranks[at], NEVER)
 
+    @cached_property
+    def rank_of(self) -> dict[int, int]:
+        """Ranks of pairs one by one; made when the first long word comes."""
+        return dict(zip(self.keys.tolist(), self.key_ranks.tolist()))
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same by a heap of pairs, for words whose length makes a search for the lowest rank slow."""
         after = [*range(1, len(ids)), -1]
         prior = [-1, *range(len(ids) - 1)]
-        heap = [(self.rank_of[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.rank_of]
+        numbers = np.array(ids, np.int64)
+        ranks = self._ranks(numbers[:-1], numbers[1:])
+        some = np.flatnonzero(ranks != NEVER)
+        heap = [(r, i, (ids[i], ids[i + 1])) for r, i in zip(ranks[some].tolist(), some.tolist())]
         heapq.heapify(heap)
         while heap:
             rank, i, pair = heapq.heappop(heap)
             j = after[i]
             if j < 0 or (ids[i], ids[j]) != pair:
                 continue
-            ids[i], ids[j] = self.merged[rank], -1
+            ids[i], ids[j] = int(self.merged_ids[rank]), -1
             after[i] = after[j]
             if after[j] >= 0:
                 prior[after[j]] = i
             for left, right in ((prior[i], i), (i, after[i])):
-                if left >= 0 and right >= 0 and (p := (ids[left], ids[right])) in self.rank_of:
-                    heapq.heappush(heap, (self.rank_of[p], left, p))
+                if left >= 0 and right >= 0 and (rank := self.rank_of.get(ids[left] << 32 | ids[right])) is not None:
+                    heapq.heappush(heap, (rank, left, (ids[left], ids[right])))
         return [t for t in ids if t >= 0]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
@@ -377,7 +390,9 @@ def _model(spec: str, forms: tuple[str, ...]) -> WordBpe:
     key = (hashlib.md5(spec.encode()).hexdigest(), forms)
     if key not in models:
         models.clear()
+        give_back()  # what was remembered before, else the new vocabulary comes on top of it
         models[key] = WordBpe(spec, forms)
+        give_back()
     return models[key]
 
 

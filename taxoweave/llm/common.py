@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, settle, ship_package
 
-__all__ = ["let", "measured", "of_text", "or_empty", "read_table", "row_numbers", "scratch_path", "settle", "ship_package", "small", "tidy", "worker_cache"]
+__all__ = ["give_back", "let", "measured", "of_text", "or_empty", "read_table", "row_numbers", "scratch_path", "settle", "ship_package", "small", "tidy", "worker_cache"]
 
 #: White space and words as every contract of this subpackage has them.
 SPACE = r"\x20\x09-\x0D"
@@ -72,6 +72,14 @@ def worker_cache(owner: str) -> dict:
     return _CACHES.setdefault(owner, {})
 
 
+def give_back() -> None:
+    """Give freed memory back to the system, else it stays with the process."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function over batches that gives freed memory back to the system when its task ends.
 
@@ -82,9 +90,6 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-            if trim:
-                trim(0)
+            give_back()
 
     return tidied

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import pytest
 from tokenizers import Tokenizer
@@ -109,3 +110,16 @@ def test_columns_and_long_texts(spark, library):
     rows = bpe.encode(df, PATH, columns=("ids", "n_tokens")).collect()
     assert sorted(r.n_tokens for r in rows) == [1, len(want), len(want)]
     assert all(r.ids == want for r in rows if r.doc_id == 1)
+
+
+def test_a_worker_builds_the_vocabulary_in_little_memory():
+    with open(PATH, encoding="utf-8") as file:
+        spec = file.read()
+    tracemalloc.start()
+    try:
+        built = bpe.WordBpe(spec, ("numbers",))
+        kept, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert kept < 25 << 20 and most < 50 << 20  # 34 and 63 when whole parts of the file were kept
+    assert built.encode_words(["hello"]) == [built.merge("hello")]
