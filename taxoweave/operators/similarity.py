@@ -352,8 +352,12 @@ class TermVectors:
         self.terms = [r.term for r in found]
         self.idf = np.log((docs.count() + 1) / (np.array([r.df for r in found]) + 1)) + 1
 
-    def transform(self, texts: DataFrame) -> DataFrame:
-        """``texts`` with sparse ``features`` of unit length; a text without known terms has none."""
+    def transform(self, texts: DataFrame, best: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+        """``texts`` with sparse ``features`` of unit length; a text without known terms has none.
+
+        With ``best``, weights (labels by terms) and intercepts of linear models, also ``prediction``:
+        the label of the largest score, the first of equals, found in the same pass.
+        """
         listed = texts.withColumn("_terms", F.coalesce(terms(F.col("text")), F.array().cast("array<string>")))
         counted = self.counter.transform(listed).drop("_terms")
         idf, names = self.idf, counted.columns
@@ -368,9 +372,13 @@ class TermVectors:
                 starts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(vectors)))])
                 weights = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(raw / length[rows]), type=values.type)
                 weighed = pa.StructArray.from_arrays([kind, size, indices, weights], fields=list(vectors.type))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), weighed], names)
+                columns = [*(batch.column(c) for c in names[:-1]), weighed]
+                if best is not None:
+                    columns.append(pa.array(_largest(places, raw / length[rows], rows, len(vectors), *best)))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-        return counted.mapInArrow(run, counted.schema)
+        schema = counted.schema if best is None else T.StructType([*counted.schema, T.StructField("prediction", T.DoubleType())])
+        return counted.mapInArrow(run, schema)
 
 
     def weights(self, texts: DataFrame, kind: T.DataType) -> DataFrame:
@@ -400,6 +408,16 @@ def _flat(vectors: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return indices.flatten().to_numpy(), values.flatten().to_numpy(), np.repeat(np.arange(len(vectors)), lengths)
 
 
+def _largest(places: np.ndarray, values: np.ndarray, rows: np.ndarray, n: int, weights: np.ndarray, intercepts: np.ndarray) -> np.ndarray:
+    """The label of the largest score of each of ``n`` sparse rows, whose entries are added up in their order."""
+    most, found = np.full(n, -np.inf), np.zeros(n)
+    for k, (w, b) in enumerate(zip(weights, intercepts)):
+        score = np.bincount(rows, values * w[places], n) + b
+        better = score > most
+        most[better], found[better] = score[better], k
+    return found
+
+
 def _dense(vectors: pa.StructArray, columns: np.ndarray) -> np.ndarray:
     """A matrix of the wanted columns, and a last one of ones for the intercept."""
     places, values, rows = _flat(vectors)
@@ -453,11 +471,13 @@ class TextClassifier:
         rows = settle(self.vectors.transform(corpus.select("part", "label", "text")).drop("text"), "vectors")
         indexer = StringIndexer(inputCol="part", outputCol="target", stringOrderType="alphabetAsc").fit(rows)
         penalty = 1 / (fv.CLASSIFIER_COST[kind] * rows.count())
+        self.best = None
         if len(indexer.labels) == 1:
             self.root = Pipeline(stages=[SQLTransformer(statement="SELECT *, 0D AS prediction FROM __THIS__")]).fit(rows)
         elif kind == "svm":
             one = LinearSVC(maxIter=50, tol=1e-4, regParam=penalty, standardization=False)
             self.root = OneVsRest(classifier=one, labelCol="target", parallelism=8).fit(indexer.transform(rows))
+            self.best = np.array([m.coefficients.toArray() for m in self.root.models]), np.array([m.intercept for m in self.root.models])
         else:
             self.root = LogisticRegression(labelCol="target", family="multinomial", maxIter=1000, regParam=penalty, standardization=False).fit(indexer.transform(rows))
         self.names = IndexToString(inputCol="prediction", outputCol="part", labels=indexer.labels)
@@ -474,8 +494,12 @@ class TextClassifier:
         self.models = settle(fitted, "models")
 
     def predict_parts(self, texts: DataFrame) -> DataFrame:
-        """``texts`` with ``features`` and the predicted ``part``."""
-        scored = self.names.transform(self.root.transform(self.vectors.transform(texts)))
+        """``texts`` with ``features`` and the predicted ``part``.
+
+        The models of one label against the rest score a batch where it is weighed, not one after the other row by row.
+        """
+        scored = self.root.transform(self.vectors.transform(texts)) if self.best is None else self.vectors.transform(texts, self.best)
+        scored = self.names.transform(scored)
         return scored.select(*texts.columns, "features", "part")
 
     def predict(self, texts: DataFrame) -> DataFrame:

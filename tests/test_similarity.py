@@ -122,6 +122,16 @@ def test_classifier_in_two_levels(spark, monkeypatch, kind):
     assert model.predict(corpus(spark).limit(0)).collect() == []
 
 
+def test_svm_parts_are_told_where_texts_are_weighed(spark):
+    model = S.TextClassifier(corpus(spark), "svm")
+    rows = [(1, "paper for the office"), (2, "Rail travel"), (2, "pumps"), (None, "hotels hotels"), (4, None), (5, ""), (6, "zzz")]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    one_by_one = model.names.transform(model.root.transform(model.vectors.transform(texts)))
+    want = sorted(map(str, one_by_one.select("doc_id", "part").collect()))
+    model.root = None  # its models are not asked one after the other
+    assert sorted(map(str, model.predict_parts(texts).select("doc_id", "part").collect())) == want
+
+
 def test_classifier_of_one_part_and_wrong_input(spark):
     one = S.TextClassifier(corpus(spark, SENTENCES[:3]), "svm")
     assert {r.predicted_label for r in one.predict(corpus(spark, SENTENCES[:3])).collect()} == {r[3] for r in SENTENCES[:3]}
