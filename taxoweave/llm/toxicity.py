@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,15 +21,16 @@ from pyspark.sql import functions as F
 
 from .common import or_empty, settle, ship_package, small, tidy, worker_cache
 
-#: Labelled documents that the model is fitted on: those of the smallest hashed ids.
-TRAINING_ROWS = 20_000
-#: Features kept for the fit, those that tell grades apart best; the chi-squared statistic each must reach (chance
+#: Labelled documents up to which one task fits the model; more are fitted in as many tasks as hold them.
+ALONE_ROWS = 20_000
+#: Features kept for the fit are those that tell grades apart: the chi-squared statistic each must reach (chance
 #: gives one such in ten million), and the documents each must occur in.
-MAX_FEATURES = 4_096
 LEAST_STATISTIC = 28.4
 LEAST_DOCUMENTS = 4
 PREFIXES = (4, 5, 6)
 STEPS = 300
+#: Of the likelihood's value; with less gained the fit in parts ends.
+LEAST_GAIN = 1e-3
 EVIDENCE_SHARE = 0.9
 RIDGE = 1e-4
 #: Documents whose probability of any grade above 0 reaches this are toxic.
@@ -37,6 +38,8 @@ CUT = 0.4
 PIECE = 1 << 20
 BATCH_BYTES = 2 << 20
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Some documents of the training set, all as 32-bit numbers: feature numbers one behind the other, how many each document has, grades, doses.
+PART = ["cols", "sizes", "grades", "doses"]
 
 
 def features(text: str) -> set[str]:
@@ -89,7 +92,7 @@ class TrainingSet:
         self.grades.append(grade)
 
 
-def select_features(data: TrainingSet, most: int = MAX_FEATURES, least: int = LEAST_DOCUMENTS) -> list[str]:
+def select_features(data: TrainingSet, least: int = LEAST_DOCUMENTS) -> list[str]:
     """The features whose presence says most about whether the grade is above 0, by their chi-squared statistic."""
     flat = np.concatenate(data.rows) if data.rows else np.empty(0, np.int32)
     toxic = np.array(data.grades) > 0
@@ -100,7 +103,7 @@ def select_features(data: TrainingSet, most: int = MAX_FEATURES, least: int = LE
     expected = count * share
     statistic = (positive - expected) ** 2 / (expected * (1 - share) * (1 - count / max(len(toxic), 1)) + 1e-9)
     names = [(-round(float(statistic[i]), 6), f) for f, i in data.numbers.items() if count[i] >= least and statistic[i] >= LEAST_STATISTIC]
-    return [f for _, f in sorted(names)[:most]]
+    return [f for _, f in sorted(names)]
 
 
 def by_dose(data: TrainingSet, share: float = EVIDENCE_SHARE) -> TrainingSet:
@@ -121,8 +124,103 @@ def by_dose(data: TrainingSet, share: float = EVIDENCE_SHARE) -> TrainingSet:
     return data
 
 
+def sums(params: np.ndarray, cols: np.ndarray, rows: np.ndarray, grades: np.ndarray, k: int) -> np.ndarray:
+    """Over documents: their negative log-likelihood, then its slopes by weight and by each of the ``k`` thresholds."""
+    m = len(params) - k
+    weights, base, gaps = params[:m], params[m], np.exp(params[m + 1:])
+    limits = np.concatenate([[-np.inf, base], base + np.cumsum(gaps), [np.inf]])
+    score = np.bincount(rows, weights[cols], len(grades))
+    upper = 1 / (1 + np.exp(-np.clip(limits[grades + 1] - score, -40, 40)))
+    lower = 1 / (1 + np.exp(-np.clip(limits[grades] - score, -40, 40)))
+    upper, lower = np.where(grades == k, 1.0, upper), np.where(grades == 0, 0.0, lower)
+    likely = np.maximum(upper - lower, 1e-12)
+    up, low = upper * (1 - upper) / likely, lower * (1 - lower) / likely
+    by_limit = [low[grades == j + 1].sum() - up[grades == j].sum() for j in range(k)]
+    return np.concatenate([[-np.log(likely).sum()], np.bincount(cols, (up - low)[rows], m), by_limit])
+
+
+@dataclass(frozen=True)
+class Likelihood:
+    """The ridged mean negative log-likelihood of a training set, over weights, the first threshold and the logs of the steps between thresholds.
+
+    ``counts`` has the number of documents of each grade, ``total`` gives the
+    :func:`sums` of all documents at the parameters it is asked for.
+    """
+
+    names: list[str]
+    counts: np.ndarray
+    total: Callable[[np.ndarray], np.ndarray]
+    ridge: float = RIDGE
+
+    def start(self) -> np.ndarray:
+        n, k = int(self.counts.sum()), len(self.counts) - 1
+        share = np.array([(self.counts[j + 1:].sum() + 0.5) / (n + 1) for j in range(k)])
+        start = np.log((1 - share) / share)
+        # Steps between thresholds are exponentials, so they stay ordered.
+        return np.concatenate([np.zeros(len(self.names)), start[:1], np.log(np.maximum(np.diff(start), 1e-2))])
+
+    def at(self, params: np.ndarray) -> tuple[float, np.ndarray]:
+        """Its value and slopes."""
+        n, m, k = int(self.counts.sum()), len(self.names), len(self.counts) - 1
+        summed, gaps = self.total(params), np.exp(params[m + 1:])
+        by_limit = summed[1 + m:] / n
+        slope = np.zeros_like(params)
+        slope[:m] = summed[1:1 + m] / n + self.ridge * params[:m]
+        slope[m] = by_limit.sum()
+        slope[m + 1:] = [by_limit[j + 1:].sum() * gaps[j] for j in range(k - 1)]
+        return float(summed[0] / n + self.ridge / 2 * (params[:m] @ params[:m])), slope
+
+    def model(self, params: np.ndarray) -> OrdinalModel:
+        m = len(self.names)
+        limits = params[m] + np.concatenate([[0.0], np.cumsum(np.exp(params[m + 1:]))])
+        return OrdinalModel({f: float(w) for f, w in zip(self.names, params[:m])}, tuple(float(t) for t in limits[:len(self.counts) - 1]))
+
+
+def descend(goal: Likelihood, steps: int = STEPS) -> OrdinalModel:
+    """Full gradient steps with momentum and a step for each coordinate."""
+    params = goal.start()
+    first, second = np.zeros_like(params), np.zeros_like(params)
+    for turn in range(1, steps + 1):
+        _, slope = goal.at(params)
+        first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
+        rate = 0.1 * (0.1 ** (turn / steps))
+        params = params - rate * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.99**turn)) + 1e-8)
+    return goal.model(params)
+
+
+def descend_by_curvature(goal: Likelihood, steps: int = STEPS, remembered: int = 10) -> OrdinalModel:
+    """Quasi-Newton steps (L-BFGS), which need fewer readings of the training set, until ``remembered`` steps gain less than ``LEAST_GAIN``."""
+    params = goal.start()
+    value, slope = goal.at(params)
+    values, pairs = [value], []
+    for _ in range(steps):
+        way, shares = -slope, []
+        for s, y in reversed(pairs):
+            shares.append((s @ way) / (s @ y))
+            way = way - shares[-1] * y
+        # Without pairs no coordinate moves by more than a tenth.
+        way = way * ((pairs[-1][0] @ pairs[-1][1]) / (pairs[-1][1] @ pairs[-1][1]) if pairs else 0.1 / max(np.abs(slope).max(), 1e-30))
+        for (s, y), share in zip(pairs, reversed(shares)):
+            way = way + s * (share - (y @ way) / (s @ y))
+        length = 1.0
+        after, next_slope = goal.at(params + way)
+        while after > value + 1e-4 * length * (slope @ way) and length > 1e-6:
+            length /= 2
+            after, next_slope = goal.at(params + length * way)
+        if after >= value:
+            break
+        s, y = length * way, next_slope - slope
+        if s @ y > 1e-12 * np.sqrt((s @ s) * (y @ y)):
+            pairs = [*pairs, (s, y)][-remembered:]
+        params, value, slope = params + s, after, next_slope
+        values.append(value)
+        if len(values) > remembered and values[-1 - remembered] - value < LEAST_GAIN * value:
+            break
+    return goal.model(params)
+
+
 def fit(data: TrainingSet, n_grades: int, steps: int = STEPS, ridge: float = RIDGE) -> OrdinalModel:
-    """Fit by full gradient steps with momentum and a step for each coordinate."""
+    """Fit to documents in memory."""
     names = sorted(select_features(data))
     column = np.full(len(data.numbers), -1, np.int64)
     column[[data.numbers[f] for f in names]] = np.arange(len(names))
@@ -132,31 +230,59 @@ def fit(data: TrainingSet, n_grades: int, steps: int = STEPS, ridge: float = RID
     cols = cols[cols >= 0]
     order = np.lexsort((cols, rows))
     rows, cols = rows[order], cols[order]
-    n, m, k = len(grades), len(names), n_grades - 1
-    share = np.array([((grades > j).sum() + 0.5) / (n + 1) for j in range(k)])
-    start = np.log((1 - share) / share)
-    # Steps between thresholds are exponentials, so they stay ordered.
-    params = np.concatenate([np.zeros(m), start[:1], np.log(np.maximum(np.diff(start), 1e-2))])
-    first, second = np.zeros_like(params), np.zeros_like(params)
-    for turn in range(1, steps + 1):
-        weights, base, gaps = params[:m], params[m], np.exp(params[m + 1:])
-        limits = np.concatenate([[-np.inf, base], base + np.cumsum(gaps), [np.inf]])
-        score = np.bincount(rows, weights[cols], n)
-        upper = 1 / (1 + np.exp(-np.clip(limits[grades + 1] - score, -40, 40)))
-        lower = 1 / (1 + np.exp(-np.clip(limits[grades] - score, -40, 40)))
-        upper, lower = np.where(grades == k, 1.0, upper), np.where(grades == 0, 0.0, lower)
-        likely = np.maximum(upper - lower, 1e-12)
-        up, low = upper * (1 - upper) / likely, lower * (1 - lower) / likely
-        slope = np.zeros_like(params)
-        slope[:m] = np.bincount(cols, (up - low)[rows], m) / n + ridge * weights
-        by_limit = np.array([(low[grades == j + 1].sum() - up[grades == j].sum()) / n for j in range(k)])
-        slope[m] = by_limit.sum()
-        slope[m + 1:] = [by_limit[j + 1:].sum() * gaps[j] for j in range(k - 1)]
-        first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
-        rate = 0.1 * (0.1 ** (turn / steps))
-        params = params - rate * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.99**turn)) + 1e-8)
-    limits = params[m] + np.concatenate([[0.0], np.cumsum(np.exp(params[m + 1:]))])
-    return OrdinalModel({f: float(w) for f, w in zip(names, params[:m])}, tuple(float(t) for t in limits[:k]))
+    counts = np.bincount(grades, minlength=n_grades)
+    return descend(Likelihood(names, counts, lambda params: sums(params, cols, rows, grades, n_grades - 1), ridge), steps)
+
+
+def fit_in_parts(labelled: DataFrame, n_grades: int) -> OrdinalModel:
+    """Fit the likelihood of :func:`fit`, for two grades after :func:`by_dose`, to all rows of ``text`` and ``grade`` where they lie.
+
+    The texts are read once to count features and once to turn them into
+    numbers. Every step then sums over these in many tasks; only sums come to
+    the driver.
+    """
+    told = sorted(tell(labelled).select("feature", "n", "positive").collect())
+    names, evidence = [r.feature for r in told], np.array([r.positive >= EVIDENCE_SHARE * r.n for r in told], bool)
+    split = n_grades == 2
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = {f: i for i, f in enumerate(names)}
+        for batch in _slices(batches):
+            found = [np.sort(np.array([numbers[f] for f in features(t) if f in numbers], np.int32)) for t in batch.column("text").to_pylist()]
+            doses = np.array([evidence[r].sum() for r in found], np.int32)
+            sizes = np.array([len(r) for r in found], np.int32)
+            grades = batch.column("grade").to_numpy(zero_copy_only=False).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (np.concatenate(found), sizes, grades, doses)], PART)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+        for batch in batches:
+            for row in zip(*(batch.column(c) for c in PART)):
+                yield [np.frombuffer(x.as_buffer(), np.int32) for x in row]
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, grades, doses in parts(batches):
+            pairs, n = np.unique(np.stack([grades, doses]), axis=1, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (*pairs, n)], ["grade", "dose", "n"])
+
+    training = settle(labelled.mapInArrow(tidy(number), ", ".join(f"{c} binary" for c in PART)), "training")
+    tallied = settle(training.mapInArrow(tidy(tally), "grade long, dose long, n long").groupBy("grade", "dose").agg(F.sum("n").alias("n")), "tallied")
+    middle = tallied.where("grade > 0").agg(F.expr("percentile(dose, 0.5, n)")).first()[0] if split else None
+    grade = F.col("grade") + F.when((F.col("grade") > 0) & (F.col("dose") > middle), 1).otherwise(0) if middle is not None else F.col("grade")
+    by_grade = {r.grade: r.n for r in tallied.groupBy(grade.alias("grade")).agg(F.sum("n").alias("n")).collect()}
+    counts = np.array([by_grade.get(g, 0) for g in range(3 if split else n_grades)])
+
+    def total(params: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            summed = np.zeros(1 + len(params))
+            for cols, sizes, grades, doses in parts(batches):
+                if middle is not None:
+                    grades = grades + ((grades > 0) & (doses > middle))
+                summed += sums(params, cols, np.repeat(np.arange(len(sizes)), sizes), grades, len(counts) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array([summed.tobytes()], pa.binary())], ["sums"])
+
+        return np.sum([np.frombuffer(r.sums) for r in training.mapInArrow(tidy(run), "sums binary").collect()], axis=0)
+
+    return descend_by_curvature(Likelihood(names, counts, total))
 
 
 def graded(labels: DataFrame) -> DataFrame:
@@ -177,8 +303,8 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, step)
 
 
-def telling_features(labelled: DataFrame, most: int = MAX_FEATURES, least: int = LEAST_DOCUMENTS) -> list[str]:
-    """The features of ``text`` that :func:`select_features` takes, found by counting them over all rows in Spark."""
+def tell(labelled: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
+    """``feature``, ``n``, ``positive``, ``statistic``: the features of ``text`` that tell grades apart, with their documents, of any grade and above 0."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             counts: dict[str, list[int]] = {}
@@ -193,25 +319,34 @@ def telling_features(labelled: DataFrame, most: int = MAX_FEATURES, least: int =
     counted = labelled.mapInArrow(tidy(count), "feature string, n long, positive long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
     expected = F.col("n") * F.lit(size["share"] or 0.0)
     statistic = (F.col("positive") - expected) ** 2 / (expected * F.lit(1 - (size["share"] or 0.0)) * (1 - F.col("n") / F.lit(max(size["rows"], 1))) + 1e-9)
-    kept = counted.where(F.col("n") >= least).withColumn("statistic", statistic).where(F.col("statistic") >= LEAST_STATISTIC)
-    return [r.feature for r in kept.orderBy(F.round("statistic", 6).desc(), "feature").limit(most).collect()]
+    return counted.where(F.col("n") >= least).withColumn("statistic", statistic).where(F.col("statistic") >= LEAST_STATISTIC)
+
+
+def telling_features(labelled: DataFrame, least: int = LEAST_DOCUMENTS) -> list[str]:
+    """The features of ``text`` that :func:`select_features` takes, found by counting them over all rows in Spark."""
+    return [r.feature for r in tell(labelled, least).orderBy(F.round("statistic", 6).desc(), "feature").collect()]
 
 
-def train(docs: DataFrame, grades: DataFrame, n_grades: int = 2, id_col: str = "doc_id", text_col: str = "text",
-          most_rows: int = TRAINING_ROWS) -> OrdinalModel | None:
-    """Fit on at most ``most_rows`` labelled documents, in one task; only the weights come back.
+def train(docs: DataFrame, grades: DataFrame, n_grades: int = 2, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel | None:
+    """Fit on all labelled documents; only the weights come back.
 
     ``grades`` has ``doc_id`` and ``grade`` from 0 to ``n_grades - 1``; of two
-    grades the upper one is split by :func:`by_dose`, which makes three. The
-    sample is by hashed id, so it is the same in every run; of rows that repeat
-    an id the smallest text is taken. The features that tell grades apart are
-    found in Spark, so the fitting task holds these only. None if no document
-    has a label.
+    grades the upper one is split by :func:`by_dose`, which makes three. Of rows
+    that repeat an id the smallest text is taken. The features that tell grades
+    apart are found in Spark. Up to ``ALONE_ROWS`` documents are fitted in one
+    task, more by :func:`fit_in_parts`. None if no document has a label.
     """
     ship_package(docs.sparkSession)
-    sample = F.broadcast(grades.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows))  # at most most_rows rows of two numbers
-    labelled = docs.select(F.col(id_col).alias("doc_id"), or_empty(text_col).alias("text")).join(sample, "doc_id")
-    labelled = settle(labelled.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("grade").alias("grade")).select("text", "grade"), "labelled")
+    grades = settle(grades, "grades")
+    n = grades.count()
+    labelled = docs.select(F.col(id_col).alias("doc_id"), or_empty(text_col).alias("text")).join(small(grades, n, 16 * n), "doc_id")
+    labelled = settle(labelled.select("doc_id", "text", "grade"), "labelled")
+    counted = labelled.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("doc_id").alias("ids")).first()
+    if counted["rows"] != counted["ids"]:
+        labelled = settle(labelled.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("grade").alias("grade")), "labelled")
+    labelled = labelled.select("text", "grade")
+    if counted["ids"] > ALONE_ROWS:
+        return fit_in_parts(labelled, n_grades)
     names = telling_features(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from taxoweave.llm import queries, toxicity
 
@@ -117,3 +118,48 @@ def test_repeated_ids_train_once(spark):
     grades = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, grade int")
     model = toxicity.train(spark.createDataFrame(docs, "doc_id long, text string"), grades)
     assert model is not None and len(model.thresholds) == 2
+
+
+def test_all_labelled_documents_are_fitted_on(spark):
+    """Only the 2,000 labels whose hashed ids come last, behind 20,000 others, have toxic documents."""
+    ids = [r.id for r in spark.range(22_000).orderBy(F.xxhash64("id"), "id").collect()]
+    rude = {i: ("zzrude" if n % 2 else "zzrude qqmean xxvile") for n, i in enumerate(ids[20_000:])}
+    docs = spark.createDataFrame([(i, f"plain words {rude.get(i, '')}") for i in ids], "doc_id long, text string").repartition(5)
+    grades = spark.createDataFrame([(i, int(i in rude)) for i in ids], "doc_id long, grade int")
+    got = toxicity.severity(docs, toxicity.train(docs, grades)).collect()
+    assert {r.doc_id for r in got if r.toxic} == set(rude)
+    assert all(r.grade == (2 if "xxvile" in rude[r.doc_id] else 1) for r in got if r.toxic)
+
+
+def test_fit_in_parts_reaches_the_likelihood_of_one_task(spark):
+    rows = [(t, int(g > 0)) for _, t, g in sample(3000, 5)]
+    data = toxicity.TrainingSet()
+    for text, grade in rows:
+        data.add(text, grade)
+    alone = toxicity.fit(toxicity.by_dose(data), 3)
+    parts = toxicity.fit_in_parts(spark.createDataFrame(rows, "text string, grade int").repartition(6), 2)
+    assert parts.weights.keys() == alone.weights.keys() and list(parts.thresholds) == sorted(parts.thresholds)
+    names = sorted(alone.weights)
+    number = {f: i for i, f in enumerate(names)}
+    found = [[number[f] for f in toxicity.features(t) if f in number] for t, _ in rows]
+    cols, owner = np.array([c for r in found for c in r]), np.repeat(np.arange(len(rows)), [len(r) for r in found])
+
+    def value(model):
+        params = np.array([*(model.weights[f] for f in names), model.thresholds[0], np.log(model.thresholds[1] - model.thresholds[0])])
+        goal = toxicity.Likelihood(names, np.bincount(data.grades), lambda p: toxicity.sums(p, cols, owner, np.array(data.grades), 2))
+        return goal.at(params)[0]
+
+    assert value(parts) <= 1.01 * value(alone)
+    above = [m.above(np.array([m.score(t) for t, _ in rows])) >= toxicity.CUT for m in (alone, parts)]
+    assert (above[0] == above[1]).mean() > 0.99
+
+
+def test_every_telling_feature_is_kept():
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c for a in letters for b in letters for c in letters][:5000]
+    data = toxicity.TrainingSet()
+    for k in range(40):  # every word in four toxic documents
+        data.add(" ".join(words[i] for i in range(k % 10, 5000, 10)), 1)
+    for _ in range(500):
+        data.add("plain", 0)
+    assert set(toxicity.select_features(data)) == {*words, "plain", "plai*"}
