@@ -193,3 +193,23 @@ def test_few_keys_need_no_row_for_each_word(spark):
     assert "explode" not in found._jdf.queryExecution().executedPlan().toString().lower()  # one row for each text only
     plain = {r.query_id: r.tokens for r in R.expand_tokens(queries, R.Lexicon(synonyms={})).collect()}
     assert plain[4] == ["twinx", "xdigital"]
+
+
+def test_many_needles_of_few_letters_meet_few_texts(spark, monkeypatch):
+    """Numbered names share every short substring with many others; by places a text meets few of them still."""
+    from taxoweave.operators import matching as M
+
+    numbers = ["".join(str(i >> 2 * k & 3) for k in range(6)) for i in range(4096)]
+    needles = [f"{'old ring' if i % 2 else 'hot bolt'} {n}" for i, n in enumerate(numbers)] + ["ring", "hot bolt"]
+    rows = [(i, f"{needles[i * 7]}, urgent") for i in range(300)]
+    met = []
+
+    def join(*args, **kwargs):
+        met.append(M_join(*args, **kwargs))
+        return met[-1]
+
+    M_join = M.dimension_join
+    monkeypatch.setattr(M, "dimension_join", join)
+    hits = M.placed_hits(spark.createDataFrame(rows, "id int, t string"), "t", spark.createDataFrame([(n,) for n in needles], "needle string"))
+    assert sorted(map(tuple, hits.collect())) == sorted((i, n) for i, t in rows for n in needles if n in t)
+    assert len(met) == 1 and met[0].count() < 6 * len(rows)
